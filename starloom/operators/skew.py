@@ -1,0 +1,57 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+import math
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def hot_keys(df: DataFrame, keys, share=0.01) -> DataFrame:
+    """Hashes of the keys that may hold at least ``share`` of the rows.
+
+    One pass with a constant-size frequency sketch: no shuffle of the keys,
+    and at most ``1/share`` result rows. The sketch only steers balance; a key
+    wrongly in or out of the list changes no join result.
+    """
+    most = math.ceil(1 / share)
+    counts = df.select(F.xxhash64(*keys).alias("_hash")).agg(
+        F.expr(f"approx_top_k(_hash, {most}, {min(most * 64, 1_000_000)})").alias("top"),
+        F.count("*").alias("rows"),
+    )
+    return (
+        counts.select("rows", F.explode("top").alias("entry"))
+        .where(F.col("entry.count") >= F.col("rows") * share)
+        .select(F.col("entry.item").alias("_hash"))
+    )
+
+
+def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=None, share=0.01, salts=64):
+    """Equi-join whose hot keys are spread over ``salts`` tasks; the rows are those of a plain join.
+
+    ``big`` is the side that may be skewed. Rows of its hot keys get a salt
+    from the columns in ``spread_by`` (all columns unless given) and the
+    matching rows of ``other`` are repeated once per salt; all other rows join
+    on the key alone. ``how`` is ``inner``, ``left``, ``left_semi`` or
+    ``left_anti``.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join does not do {how!r}")
+    on = [on] if isinstance(on, str) else list(on)
+    spread_by = spread_by or big.columns
+    # At most 1/share rows, see hot_keys.
+    hot = F.broadcast(hot_keys(big, on, share).select("_hash", F.lit(True).alias("_hot")))
+
+    def marked(df):
+        return df.withColumn("_hash", F.xxhash64(*on)).join(hot, "_hash", "left").drop("_hash")
+
+    left = (
+        marked(big)
+        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0))
+        .drop("_hot")
+    )
+    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    right = (
+        marked(other)
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0).cast("long")))))
+        .drop("_hot")
+    )
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
