@@ -8,7 +8,7 @@ def hash_key(*columns) -> Column:
     return F.xxhash64(*columns)
 
 
-def add_dense_keys(df: DataFrame, keys, name="key", start=1, buckets=1024) -> DataFrame:
+def add_dense_keys(df: DataFrame, keys, name="key", start=1, buckets=8192) -> DataFrame:
     """Number the rows ``start, start+1, ...`` without one global sort.
 
     ``keys`` must be unique. Rows are numbered inside hash buckets of their

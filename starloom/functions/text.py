@@ -48,7 +48,7 @@ def full_name(first, last, sep=" ") -> Column:
 
 def capitalised(c) -> Column:
     """First letter upper case, the rest lower case."""
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2147483647)))
 
 
 def active_note(flag) -> Column:

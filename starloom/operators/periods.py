@@ -62,11 +62,9 @@ def period_counts(
     """
     rows = df.where(item | marker).withColumn("_item", item).withColumn("_marker", marker.cast("long"))
     phased = flag_phase(rows, user, ts, F.col("_marker"), frame, name="period", **options)
-    counts = phased.groupBy(user, "period").agg(
-        F.count_if("_item").alias("items"), F.sum("_marker").alias("_markers")
-    )
+    counts = phased.groupBy(user, "period").agg(F.count_if("_item").alias("items"))
     if closed_only:
-        markers = counts.groupBy(F.col(user).alias("_user")).agg(F.sum("_markers").alias("_last"))
+        markers = rows.groupBy(F.col(user).alias("_user")).agg(F.sum("_marker").alias("_last"))
         counts = counts.join(markers, F.col(user).eqNullSafe(F.col("_user"))).where("period > 0 and period < _last")
     return counts.where("items > 0").select(user, "period", "items")
 

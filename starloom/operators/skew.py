@@ -36,6 +36,10 @@ def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=Non
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not do {how!r}")
     on = [on] if isinstance(on, str) else list(on)
+    for key in on:
+        # Both sides are salted by a hash of the key, which depends on its type.
+        if big.schema[key].dataType != other.schema[key].dataType:
+            raise ValueError(f"{key!r} has two types: cast one side first")
     spread_by = spread_by or big.columns
     # At most 1/share rows, see hot_keys.
     hot = F.broadcast(hot_keys(big, on, share).select("_hash", F.lit(True).alias("_hot")))

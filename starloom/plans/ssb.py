@@ -1,12 +1,13 @@
-"""Star Schema Benchmark queries over ``lineorder, part, supplier, customer, dwdate`` views."""
+"""Star Schema Benchmark queries over ``lineorder, part, supplier, customer, dwdate``.
+
+The line table is first cut by its selective dimensions and summed per
+remaining key, then joined to the others.
+"""
 
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import dates
 
-TABLES = ("lineorder", "part", "supplier", "customer", "dwdate")
-
-
 def date_table(days: DataFrame, ts: str) -> DataFrame:
     """``dwdate`` for the days between the first and last of a time column."""
     span = days.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last"))
@@ -50,10 +51,12 @@ def drill(lineorder, dwdate, customer, supplier, cities, year_month) -> DataFram
     buyers = customer.where(F.col("c_city").isin(cities)).select("c_custkey", "c_city")
     sellers = supplier.where(F.col("s_city").isin(cities)).select("s_suppkey", "s_city")
     return (
-        lineorder.join(month, F.col("lo_orderdate") == F.col("d_datekey"))
-        .join(sellers, F.col("lo_suppkey") == F.col("s_suppkey"))
-        .groupBy("lo_custkey", "s_city", "d_year")
+        lineorder.join(sellers, F.col("lo_suppkey") == F.col("s_suppkey"))
+        .groupBy("lo_orderdate", "lo_custkey", "s_city")
         .agg(F.sum("lo_revenue").alias("revenue"))
+        .join(month, F.col("lo_orderdate") == F.col("d_datekey"))
+        .groupBy("lo_custkey", "s_city", "d_year")
+        .agg(F.sum("revenue").alias("revenue"))
         .join(buyers, F.col("lo_custkey") == F.col("c_custkey"))
         .groupBy("c_city", "s_city", "d_year")
         .agg(F.sum("revenue").alias("revenue"))

@@ -93,20 +93,22 @@ m as (select user_id, max(period) as last from p group by 1),
 c as (select p.user_id, period, last, count(*) as items from p join m on p.user_id = m.user_id
       where event_type = 'view' group by 1, 2, 3)
 """
-_VIEW = F.col("event_type") == "view"
-_SIGNUP = F.col("event_type") == "signup"
+
+
+def _is(page):
+    return F.col("event_type") == page
 
 
 @query(_PERIODS + "select round(avg(items), 6) as average from c")
 def avg_views_between_signups(spark, d):
-    average = period_average(_events(spark, d), "user_id", "ts", _VIEW, _SIGNUP)
+    average = period_average(_events(spark, d), "user_id", "ts", _is("view"), _is("signup"))
     return average.select(F.round("average", 6).alias("average"))
 
 
 @query(_PERIODS + "select user_id, cast(period as bigint) as period, items from c where period > 0 and period < last")
 def views_in_closed_periods(spark, d):
     """Plays in each period that both begins and ends with a home visit."""
-    return period_counts(_events(spark, d), "user_id", "ts", _VIEW, _SIGNUP, closed_only=True)
+    return period_counts(_events(spark, d), "user_id", "ts", _is("view"), _is("signup"), closed_only=True)
 
 
 @query("select round(avg(n), 6) as average from (select count(*) as n from events group by user_id, event_type)")

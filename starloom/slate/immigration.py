@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import day_number_date
+from starloom.functions.text import capitalised
 from starloom.plans import immigration
 from starloom.session import read_table
 from starloom.slate import query
@@ -40,7 +41,7 @@ def _temperature(spark, d):
         read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     kind = F.col("c_custkey") % 3
-    city = F.when(kind == 0, F.lower("n_name")).when(kind == 1, F.initcap("r_name")).otherwise(F.col("c_mktsegment"))
+    city = F.when(kind == 0, F.lower("n_name")).when(kind == 1, capitalised("r_name")).otherwise(F.col("c_mktsegment"))
     return (
         read_table(spark, d, "customer")
         .join(place, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def scan_json(spark: SparkSession, path, schema=None, recursive=False, pattern=None) -> DataFrame:
-    """JSON lines. Column names match the schema without regard to case; missing ones are NULL."""
+    """JSON lines. Keys match the schema by exact name; missing ones are NULL."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -19,6 +19,20 @@ def scan_json(spark: SparkSession, path, schema=None, recursive=False, pattern=N
     return reader.json(path)
 
 
+def scan_json_any_case(spark: SparkSession, path, schema) -> DataFrame:
+    """JSON lines of plain values, keys matched to a ``StructType`` without regard to case.
+
+    Of keys that differ in case only the first counts; text that does not fit its type is NULL.
+    """
+    pairs = F.map_entries(F.from_json("value", "map<string,string>")).alias("pairs")
+
+    def column(field):
+        found = F.filter("pairs", lambda pair: F.lower(pair["key"]) == field.name.lower())
+        return F.get(found, 0)["value"].try_cast(field.dataType).alias(field.name)
+
+    return spark.read.text(path).select(pairs).select(*[column(field) for field in schema.fields])
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows read from each source file."""
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("records"))
