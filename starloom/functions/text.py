@@ -19,21 +19,40 @@ ACCESS_LOG_FIELDS = [
 ]
 
 
+_MARK = "\x1f"
+
+
+def pattern_parts(line, pattern, count) -> Column:
+    """The first ``count`` groups of a pattern as an array; NULL where a line does not match.
+
+    One pass of the pattern rewrites the line to its groups between marks. Only
+    a line that itself holds a mark needs a pass per group.
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    marked = "".join(f"{_MARK}${n}" for n in range(1, count + 1))
+    rewritten = F.regexp_replace(line, rf"^[\s\S]*?(?:{pattern})[\s\S]*$", marked)
+    # A lambda variable holds the rewritten line, so it is made once.
+    groups = F.transform(
+        F.array(rewritten),
+        lambda r: F.when(F.startswith(r, F.lit(_MARK)), F.slice(F.split(r, _MARK), 2, count)),
+    )[0]
+    by_group = F.array(*[F.regexp_extract(line, pattern, n) for n in range(1, count + 1)])
+    return F.when(F.contains(line, F.lit(_MARK)), F.when(F.rlike(line, F.lit(pattern)), by_group)).otherwise(groups)
+
+
 def pattern_map(line, pattern, fields) -> Column:
     """Groups of a pattern as ``map<string,string>``; NULL where a line does not match."""
-    pairs = []
-    for number, field in enumerate(fields, start=1):
-        pairs += [F.lit(field), F.regexp_extract(line, pattern, number)]
-    return F.when(F.rlike(line, F.lit(pattern)), F.create_map(*pairs))
+    return F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), pattern_parts(line, pattern, len(fields)))
 
 
 def access_log_map(line) -> Column:
     """The nine fields of an access-log line; a size of ``-`` counts as 0."""
-    fields = pattern_map(line, ACCESS_LOG_PATTERN, ACCESS_LOG_FIELDS)
-    return F.transform_values(
-        fields,
-        lambda name, value: F.when((name == "content_size") & (value == "-"), "0").otherwise(value),
+    size = ACCESS_LOG_FIELDS.index("content_size")
+    parts = F.transform(
+        pattern_parts(line, ACCESS_LOG_PATTERN, len(ACCESS_LOG_FIELDS)),
+        lambda part, place: F.when((place == size) & (part == "-"), "0").otherwise(part),
     )
+    return F.map_from_arrays(F.array(*[F.lit(f) for f in ACCESS_LOG_FIELDS]), parts)
 
 
 def map_columns(parsed, fields) -> list[Column]:

@@ -66,11 +66,10 @@ def drill(lineorder, dwdate, customer, supplier, cities, year_month) -> DataFram
 
 def same_distribution(lineorder, part) -> DataFrame:
     """Discounted revenue per day of the lines whose part is known."""
-    lines = lineorder.groupBy("lo_partkey", "lo_orderdate").agg(F.sum(_discounted()).alias("revenue"))
     return (
-        lines.join(part, F.col("lo_partkey") == F.col("p_partkey"), "left_semi")
+        lineorder.join(part, F.col("lo_partkey") == F.col("p_partkey"), "left_semi")
         .groupBy("lo_orderdate")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(F.sum(_discounted()).alias("revenue"))
         .orderBy("lo_orderdate")
     )
 

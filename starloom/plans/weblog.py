@@ -7,8 +7,12 @@ from starloom.operators.aggregate import group_count, top_k
 
 
 def parse_log(lines: DataFrame, line="value") -> DataFrame:
-    """Lines with a map column ``parsed``; NULL where a line does not have the log's shape."""
-    return lines.withColumn("parsed", text.access_log_map(F.col(line)))
+    """Lines with a map column ``parsed``; NULL where a line does not have the log's shape.
+
+    The map comes out of an ``explode``, so that a line is parsed once and not
+    again for every column and filter taken from the map.
+    """
+    return lines.select("*", F.explode(F.array(text.access_log_map(F.col(line)))).alias("parsed"))
 
 
 def log_columns(parsed: DataFrame) -> DataFrame:

@@ -19,17 +19,16 @@ def _star(spark, d):
     """Sales with day, movie rating and customer place.
 
     Each join drops a key for something coarser (part to rating, order to day
-    and customer), and the amounts are summed before the next one. Filters on
-    the dimensions move below these sums into the dimension scans.
+    and customer), and the amounts are summed per customer before the last
+    one. Filters on the dimensions move below the sum into the dimension scans.
     """
     movie = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("rating"))
     sold = orders(spark, d).select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.dayofmonth("o_orderdate").alias("day")
     )
-    total = F.sum("amount").alias("amount")
-    rated = lines(spark, d, "l_orderkey", "l_partkey").join(movie, "l_partkey").groupBy("l_orderkey", "rating").agg(total)
-    bought = rated.join(sold, "l_orderkey").groupBy("day", "rating", "c_custkey").agg(total)
-    return bought.join(_customer_dim(spark, d), "c_custkey").withColumnRenamed("amount", "sales_amount")
+    rated = lines(spark, d, "l_orderkey", "l_partkey").join(movie, "l_partkey")
+    bought = rated.join(sold, "l_orderkey").groupBy("day", "rating", "c_custkey").agg(F.sum("amount").alias("sales_amount"))
+    return bought.join(_customer_dim(spark, d), "c_custkey")
 
 
 def _customer_dim(spark, d):

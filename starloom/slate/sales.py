@@ -15,7 +15,7 @@ from starloom.operators.aggregate import (
 from starloom.operators.joins import join_chain
 from starloom.session import read_table
 from starloom.slate import query
-from starloom.slate.roles import AMOUNT, amounts_by, money, orders
+from starloom.slate.roles import AMOUNT, amounts_by, lines, money, orders
 
 
 def _money(df, name="revenue"):
@@ -79,19 +79,14 @@ from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_
 join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 group by 1, 2, 3""")
 def revenue_part_nation_month(spark, d):
-    """Title x city x month. The amounts are cut down after every join that coarsens a key."""
+    """Title x city x month, summed per customer before the customers are joined."""
     part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title"))
     sold = orders(spark, d).select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.month("o_orderdate").alias("month")
     )
     buyer = read_table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nation = read_table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    titled = (
-        amounts_by(spark, d, "l_orderkey", "l_partkey")
-        .join(part, "l_partkey")
-        .groupBy("l_orderkey", "title")
-        .agg(F.sum("amount").alias("amount"))
-    )
+    titled = lines(spark, d, "l_orderkey", "l_partkey").join(part, "l_partkey")
     per_customer = (
         titled.join(sold, "l_orderkey").groupBy("title", "c_custkey", "month").agg(F.sum("amount").alias("amount"))
     )

@@ -73,7 +73,8 @@ def _log_lines(spark, d):
         F.when(F.col("event_type") == "error", "-").otherwise(F.floor(F.col("value") * 100).cast("string")),
     )
     broken = F.col("event_id") % 50 == 0
-    return read_table(spark, d, "events").select(F.when(broken, F.lit("broken line")).otherwise(line).alias("value"))
+    lines = F.array(F.when(broken, F.lit("broken line")).otherwise(line))
+    return read_table(spark, d, "events").select(F.explode(lines).alias("value"))
 
 
 def _log(spark, d):
