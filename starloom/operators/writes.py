@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starloom.schemas import empty_table
+
 
 def write_partitioned(df: DataFrame, path, *columns, mode="overwrite", dynamic=False) -> None:
     """Parquet with one folder per partition value.
@@ -22,6 +24,13 @@ def write_csv(df: DataFrame, path, sep=",", quote_all=False, compression=None, m
     writer.csv(path)
 
 
+def create_table(spark: SparkSession, root, name, replace=False) -> str:
+    """An empty table of the data model; one that exists stays unless it is to be replaced."""
+    path = f"{root}/{name}"
+    empty_table(spark, name).write.mode("overwrite" if replace else "ignore").parquet(path)
+    return path
+
+
 def load_table(df: DataFrame, path, mode="overwrite") -> None:
     """Replace the rows of a table, or add to them.
 

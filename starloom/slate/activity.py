@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from starloom.functions import dates
+from starloom.functions import dates, sql
 from starloom.operators.aggregate import average_group_count, group_count, summary_statistics
 from starloom.operators.clean import distinct_rows, drop_missing, first_per_key
 from starloom.operators.periods import flag_phase, period_average, period_counts
@@ -200,3 +200,53 @@ def dedup_city_segment(spark, d):
     rows = drop_missing(read_table(spark, d, "customer"), required=["c_acctbal"]).where("c_acctbal > 0")
     kept = first_per_key(rows, ["c_nationkey", "c_mktsegment"], [F.desc("c_acctbal"), "c_custkey"])
     return kept.select("c_nationkey", "c_mktsegment", "c_custkey", "c_acctbal")
+
+
+# The same questions as SQL text over a view
+
+
+def _view(spark, d):
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    sql.register_views(log_table=_events(spark, d).select("user_id", F.col("event_type").alias("page"), millis.alias("ts")))
+
+
+@query("""
+select cast(hour(ts) as integer) as hour, count(*) as count from events where event_type = 'view' group by 1""")
+def sql_plays_by_hour(spark, d):
+    """SQL text with a registered function; ``==`` is accepted."""
+    _view(spark, d)
+    sql.register_functions(spark, ["get_hour"])
+    return spark.sql("select get_hour(ts) as hour, count(*) as count from log_table where page == 'view' group by hour")
+
+
+@query("""
+select distinct event_type as page from events
+except select event_type from events where user_id = 7 and cast(ts as date) = date '2024-01-05'""")
+def sql_pages_not_visited(spark, d):
+    """Right join with IS NULL."""
+    _view(spark, d)
+    return spark.sql("""
+        select all_pages.page
+        from (select distinct page from log_table
+              where user_id = 7 and to_date(timestamp_millis(ts)) = date'2024-01-05') as user_pages
+        right join (select distinct page from log_table) as all_pages on user_pages.page = all_pages.page
+        where user_pages.page is null""")
+
+
+@query("""
+with c as (select user_id, count(user_id) as plays from events group by 1)
+select user_id, plays from c where plays = (select max(plays) from c)""")
+def sql_top_user(spark, d):
+    """Self-join of the counts with their maximum."""
+    _view(spark, d)
+    return spark.sql("""
+        with counts as (select user_id, count(user_id) as plays from log_table group by user_id)
+        select counts.user_id, counts.plays
+        from (select max(plays) as most from counts) as best join counts on best.most = counts.plays""")
+
+
+@query("select event_type as page, count(*) filter (where event_type = 'error') as flagged from events group by 1")
+def udf_page_flags(spark, d):
+    """A typed Python function on Arrow batches."""
+    flagged = _events(spark, d).select(F.col("event_type").alias("page"), sql.page_flag("error")("event_type").alias("flag"))
+    return flagged.groupBy("page").agg(F.sum("flag").alias("flagged"))

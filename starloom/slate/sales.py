@@ -79,7 +79,7 @@ from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_
 join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 group by 1, 2, 3""")
 def revenue_part_nation_month(spark, d):
-    """Title x city x month, summed per customer before the customers are joined."""
+    """Title x city x month, summed by nation key before the nation is named."""
     part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title"))
     sold = orders(spark, d).select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.month("o_orderdate").alias("month")
@@ -87,11 +87,11 @@ def revenue_part_nation_month(spark, d):
     buyer = read_table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nation = read_table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     titled = lines(spark, d, "l_orderkey", "l_partkey").join(part, "l_partkey")
-    per_customer = (
-        titled.join(sold, "l_orderkey").groupBy("title", "c_custkey", "month").agg(F.sum("amount").alias("amount"))
-    )
     per_nation = (
-        per_customer.join(buyer, "c_custkey").groupBy("title", "n_nationkey", "month").agg(F.sum("amount").alias("amount"))
+        titled.join(sold, "l_orderkey")
+        .join(buyer, "c_custkey")
+        .groupBy("title", "n_nationkey", "month")
+        .agg(F.sum("amount").alias("amount"))
     )
     return _money(
         per_nation.join(nation, "n_nationkey").groupBy("title", "city", "month").agg(F.sum("amount").alias("revenue"))

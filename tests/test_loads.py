@@ -68,6 +68,13 @@ def test_load_table(spark, tmp_path):
         writes.load_table(df, path, "merge")
 
 
+def test_create_table(spark, tmp_path):
+    path = writes.create_table(spark, str(tmp_path), "users")
+    writes.load_table(spark.createDataFrame([("1", "A", "L", "F", "free")], spark.read.parquet(path).schema), path, "append")
+    assert spark.read.parquet(writes.create_table(spark, str(tmp_path), "users")).count() == 1
+    assert spark.read.parquet(writes.create_table(spark, str(tmp_path), "users", replace=True)).count() == 0
+
+
 def test_versions(spark, tmp_path, target, new):
     root = str(tmp_path / "users")
     assert writes.latest_version(spark, root) is None

@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions import sql
 from starloom.operators.clean import last_per_key
 from starloom.plans import bikes, immigration, music, posts, rental, rental_star, shop, ssb, weblog
 from starloom.schemas import SCHEMAS
@@ -86,6 +87,21 @@ def test_stock(db):
     assert rows(rental.held_by_customer(db["rental"])) == [(1, 2)]
 
 
+def test_sql_functions(spark, db):
+    sql.register_views(inventory=db["inventory"], rental=db["rental"])
+    sql.register_functions(spark, [*sql.SCALAR_FUNCTIONS, *sql.TABLE_FUNCTIONS])
+    assert rows(spark.sql("select * from film_in_stock(1, 2)")) == [(2,)]
+    assert rows(spark.sql("select * from film_in_stock(1, 1)")) == []
+    assert rows(spark.sql("select * from film_not_in_stock(1, 1)")) == [(1,)]
+    got = spark.sql("select get_hour(1541105830796), day_key(date'2018-11-04'), days_late(date'2020-01-01', date'2020-01-09', 3)")
+    assert rows(got) == [(20, 20181104, 5)]
+    flag = sql.page_flag("Home")
+    pages = spark.createDataFrame([("Home",), ("Help",), (None,)], "page string")
+    assert rows(pages.select(flag("page"))) == [(0,), (0,), (1,)]
+    spark.udf.register("is_home", flag)
+    assert pages.selectExpr("sum(is_home(page))").first()[0] == 1
+
+
 def test_balance(db):
     got = rental.customer_balance(db["customer"], db["rental"], db["inventory"], db["film"], db["payment"], "2007-03-01")
     # customer 1: 0.99 + 4.99 fees + 4 days late - 9.98 paid; 2: open rental; 3: nothing
