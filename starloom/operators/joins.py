@@ -30,7 +30,7 @@ def match_plays(
     on=("title", "artist", "duration"),
     duration_scale=None,
     one_match=False,
-    spread_by=None,
+    salts=0,
 ) -> DataFrame:
     """Plays with the ``song_id`` and ``artist_id`` of the song they name.
 
@@ -38,7 +38,8 @@ def match_plays(
     artist_name, duration``. ``on`` picks the columns that must agree,
     ``duration_scale`` rounds durations first (0 = whole seconds, halves up),
     ``one_match`` keeps the song with the smallest id where several agree. A
-    popular song may hold much of the log, so the join is salted.
+    popular song may hold much of the log: Spark splits such a join while it
+    runs, and ``salts`` spreads it beforehand at the price of one more read.
     """
     names = {"title": ("song", "title"), "artist": ("artist", "artist_name"), "duration": ("length", "duration")}
 
@@ -52,13 +53,16 @@ def match_plays(
     songs = keyed(songs, 1).select(*keys, "song_id", "artist_id")
     if one_match:
         songs = first_per_key(songs, keys, ["song_id", "artist_id"])
-    return salted_join(keyed(plays, 0), songs, keys, how, spread_by).drop(*keys)
+    plays = keyed(plays, 0)
+    matched = salted_join(plays, songs, keys, how, salts=salts) if salts else plays.join(songs, keys, how)
+    return matched.drop(*keys)
 
 
 def anti_values(universe: DataFrame, seen: DataFrame, on) -> DataFrame:
     """Distinct values of ``universe`` that do not occur in ``seen``, NULL treated as a value."""
     on = [on] if isinstance(on, str) else list(on)
-    return universe.select(*on).subtract(seen.select(*on))
+    # Distinct first: EXCEPT would join all rows and drop repeats afterwards.
+    return universe.select(*on).distinct().subtract(seen.select(*on).distinct())
 
 
 def keep_ids(df: DataFrame, ids: DataFrame, on) -> DataFrame:

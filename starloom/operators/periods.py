@@ -1,53 +1,61 @@
 """Running totals per user: phases before and after an event, periods between events.
 
-A window over one user's whole history would put that history into one task.
-The total is therefore taken in two steps: inside time chunks of a user, and
-over the per-chunk totals, of which a user has few. Chunks hold whole
-timestamps, so the result is that of the single window for both frames.
+A window over one user's whole history puts that history into one task. For
+users with a large share of the rows the total is therefore taken in two
+steps: inside time chunks of the user, and over the per-chunk totals, of which
+a user has few. Chunks hold whole timestamps, so the result is that of the
+single window for both frames.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
+from starloom.operators.skew import hot_hashes, is_hot
+
 
 def _chunk(df: DataFrame, ts: str, width) -> Column:
-    if isinstance(df.schema[ts].dataType, NumericType):
-        return F.floor(F.col(ts) / width)
-    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width)
+    """Start of the chunk a time lies in."""
+    time = F.col(ts) if isinstance(df.schema[ts].dataType, NumericType) else F.unix_seconds(F.col(ts).cast("timestamp"))
+    return time - F.pmod(time, F.lit(width))
 
 
 def flag_phase(
-    df: DataFrame, user: str, ts: str, flag: Column, frame="range", tiebreak=(), width=3600, name="phase"
+    df: DataFrame, user: str, ts: str, flag: Column, frame="range", tiebreak=(), width=3600, share=0.0005, name="phase"
 ) -> DataFrame:
     """Number of flagged rows of the user at or after each row's time.
 
     ``frame="range"`` counts all rows that share the time; ``frame="rows"``
-    counts in the order newest first, then ``tiebreak``. ``width`` is the
-    length of a chunk in seconds (in units of ``ts`` where that is a number).
+    counts in the order newest first, then ``tiebreak``.
+
+    Users with at least ``share`` of the rows are split into chunks of
+    ``width`` seconds (units of ``ts`` where that is a number). What later
+    chunks add reaches a chunk as one more row that is sorted in front of it,
+    so the rows are shuffled and sorted once and not joined.
     """
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")
-    # A struct key compares NULL parts as equal, as window partitions do.
-    part = F.struct(F.col(user).alias("user"), _chunk(df, ts, width).alias("chunk"))
-    marked = df.withColumn("_part", part).withColumn("_flag", flag.cast("long"))
+    hot = hot_hashes(df, [user], share)
+    chunk = F.when(is_hot([user], hot), _chunk(df, ts, width))
+    marked = df.withColumns({"_chunk": chunk, "_flag": flag.cast("long"), "_carried": F.lit(0)})
+    if hot:
+        later = Window.partitionBy(user).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+        totals = marked.where(is_hot([user], hot)).groupBy(user, "_chunk").agg(F.sum("_flag").alias("_flags"))
+        carried = totals.select(
+            user, "_chunk", F.sum("_flags").over(later).alias("_flag"), F.lit(1).alias("_carried")
+        ).where("_flag > 0")
+        marked = marked.unionByName(carried, allowMissingColumns=True)
 
-    later = (
-        Window.partitionBy("_part.user")
-        .orderBy(F.desc("_part.chunk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(user, "_chunk").orderBy(
+        F.desc("_carried"), F.desc(ts), *(tiebreak if frame == "rows" else ())
     )
-    totals = marked.groupBy("_part").agg(F.sum("_flag").alias("_flags"))
-    before = totals.select("_part", F.coalesce(F.sum("_flags").over(later), F.lit(0)).alias("_before"))
-
-    inside = Window.partitionBy("_part").orderBy(F.desc(ts), *(tiebreak if frame == "rows" else ()))
     if frame == "range":
         inside = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        marked.join(before, "_part")
-        .withColumn(name, F.sum("_flag").over(inside) + F.col("_before"))
-        .drop("_part", "_flag", "_before")
+        marked.withColumn(name, F.coalesce(F.sum("_flag").over(inside), F.lit(0)))
+        .where("_carried = 0")
+        .drop("_chunk", "_flag", "_carried")
     )
 
 

@@ -1,30 +1,41 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Work that stays balanced when one key holds a large share of the rows."""
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def hot_keys(df: DataFrame, keys, share=0.01) -> DataFrame:
-    """Hashes of the keys that may hold at least ``share`` of the rows.
+def hot_hashes(df: DataFrame, keys, share) -> list[int]:
+    """Hashes of the keys that seem to hold at least ``share`` of the rows: at most ``1/share`` numbers.
 
-    One pass with a constant-size frequency sketch: no shuffle of the keys,
-    and at most ``1/share`` result rows. The sketch only steers balance; a key
-    wrongly in or out of the list changes no join result.
+    One pass over the key columns with frequency sketches of fixed size, merged
+    in two steps. The list is fetched here and now, so that all parts of a plan
+    built on it agree. It only steers how work is spread: a key wrongly in or
+    out of it changes no result.
     """
     most = math.ceil(1 / share)
-    counts = df.select(F.xxhash64(*keys).alias("_hash")).agg(
-        F.expr(f"approx_top_k(_hash, {most}, {min(most * 64, 1_000_000)})").alias("top"),
-        F.count("*").alias("rows"),
+    tracked = min(16 * most, 1_000_000)
+    sketches = (
+        df.select(F.xxhash64(*keys).alias("hash"), F.pmod(F.spark_partition_id(), F.lit(256)).alias("part"))
+        .groupBy("part")
+        .agg(F.expr(f"approx_top_k_accumulate(hash, {tracked})").alias("sketch"), F.count("*").alias("rows"))
     )
-    return (
-        counts.select("rows", F.explode("top").alias("entry"))
-        .where(F.col("entry.count") >= F.col("rows") * share)
-        .select(F.col("entry.item").alias("_hash"))
+    # The merge is grouped because an ungrouped one fails on an empty partition (Spark 4.1).
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("rows").alias("rows")
     )
+    top = (
+        merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"))
+        .where(F.col("top.count") >= F.col("rows") * share)
+    )
+    return [row[0] for row in top.select("top.item").collect()]
+
 
+def is_hot(keys, hashes) -> Column:
+    return F.xxhash64(*keys).isin(hashes) if hashes else F.lit(False)
 
-def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=None, share=0.01, salts=64):
+
+def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=None, share=0.01, salts=64) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks; the rows are those of a plain join.
 
     ``big`` is the side that may be skewed. Rows of its hot keys get a salt
@@ -32,6 +43,9 @@ def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=Non
     matching rows of ``other`` are repeated once per salt; all other rows join
     on the key alone. ``how`` is ``inner``, ``left``, ``left_semi`` or
     ``left_anti``.
+
+    Spark's own skew-join handling needs no extra read of the keys and is the
+    first choice; this is for plans where it does not apply.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not do {how!r}")
@@ -40,22 +54,12 @@ def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=Non
         # Both sides are salted by a hash of the key, which depends on its type.
         if big.schema[key].dataType != other.schema[key].dataType:
             raise ValueError(f"{key!r} has two types: cast one side first")
-    spread_by = spread_by or big.columns
-    # At most 1/share rows, see hot_keys.
-    hot = F.broadcast(hot_keys(big, on, share).select("_hash", F.lit(True).alias("_hot")))
-
-    def marked(df):
-        return df.withColumn("_hash", F.xxhash64(*on)).join(hot, "_hash", "left").drop("_hash")
-
-    left = (
-        marked(big)
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
-    right = (
-        marked(other)
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0).cast("long")))))
-        .drop("_hot")
-    )
+    hot = hot_hashes(big, on, share)
+    if not hot:
+        return big.join(other, on, how)
+    salt = F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(salts))
+    zero = F.lit(0).cast("long")
+    every_salt = F.sequence(zero, F.lit(salts - 1).cast("long"))
+    left = big.withColumn("_salt", F.when(is_hot(on, hot), salt).otherwise(zero))
+    right = other.withColumn("_salt", F.explode(F.when(is_hot(on, hot), every_salt).otherwise(F.array(zero))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -78,7 +78,7 @@ def compare(spark, con, name, function, sql, folder):
     return None, len(got), seconds
 
 
-def main(names, folder="/root/testdata/sf0.01"):
+def main(names, folder=os.environ.get("ORACLE_DIR", "/root/testdata/sf0.01")):
     from starloom.session import build_session
     from starloom.slate import load_all
 
