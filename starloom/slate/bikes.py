@@ -2,10 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from starloom.operators.writes import write_csv
 from starloom.plans import bikes
-from starloom.session import read_table
+from starloom.session import read_table, work_folder
 from starloom.slate import query
 
+_TRAFFIC = """
+with t as (select l_suppkey as station_id,
+                  'Station ' || l_suppkey || case when l_linenumber = 7 then ' (new)' else '' end as station_name,
+                  l_orderkey % 60 as to_id from lineitem),
+a as (select station_id, count(*) as num_departures from t group by 1),
+b as (select to_id, count(*) as num_arrivals from t group by 1)
+select distinct t.station_id, station_name, num_departures, num_arrivals
+from t join a on t.station_id = a.station_id join b on t.station_id = b.to_id"""
+
 
 def _trips(spark, d):
     return read_table(spark, d, "lineitem").select(
@@ -22,18 +32,21 @@ def _trips(spark, d):
     )
 
 
-@query("""
-with t as (select l_suppkey as station_id,
-                  'Station ' || l_suppkey || case when l_linenumber = 7 then ' (new)' else '' end as station_name,
-                  l_orderkey % 60 as to_id from lineitem),
-a as (select station_id, count(*) as num_departures from t group by 1),
-b as (select to_id, count(*) as num_arrivals from t group by 1)
-select distinct t.station_id, station_name, num_departures, num_arrivals
-from t join a on t.station_id = a.station_id join b on t.station_id = b.to_id""")
+@query(_TRAFFIC)
 def station_traffic(spark, d):
     return bikes.station_traffic(_trips(spark, d))
 
 
+@query(_TRAFFIC)
+def station_traffic_from_files(spark, d):
+    """Trip files staged, checked for rows, then counted."""
+    folder = work_folder(spark, "trips")
+    kept = ["from_station_id", "from_station_name", "to_station_id"]
+    write_csv(_trips(spark, d).select(*kept), f"{folder}/csv")
+    schema = "from_station_id long, from_station_name string, to_station_id long"
+    return bikes.station_traffic(bikes.stage_and_check(spark, f"{folder}/csv", schema, f"{folder}/trips"))
+
+
 @query("""
 select l_partkey as bikeid, cast(max(l_quantity) as double) as max_tripduration,
        cast(min(l_quantity) as double) as min_tripduration, round(avg(l_quantity), 6) as average_tripduration

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import day_number_date
 from starloom.functions.text import capitalised
 from starloom.plans import immigration
-from starloom.session import read_table
+from starloom.operators.quality import count_report
+from starloom.session import read_table, work_folder
 from starloom.slate import query
 from starloom.sources.labels import parse_labels
 
@@ -105,3 +106,14 @@ def immigration_fact(spark, d):
     records = immigration.valid_immigration(_arrivals(spark, d), found)
     cities = immigration.port_temperature(_temperature(spark, d), found, ["c_custkey"])
     return immigration.immigration_fact(records, cities)
+
+
+@query(_TEMPERATURE + """
+select 'immigration' as "check", count(*) as records, count(*) > 0 as passed from orders where o_custkey % 30 < 25
+union all select 'temperature', count(*), count(*) > 0 from located
+union all select 'fact', count(*), count(*) > 0 from orders join located on printf('P%02d', o_custkey % 30) = i94port""")
+def immigration_tables(spark, d):
+    """All three tables written by port, counted as read back."""
+    folder = work_folder(spark, "immigration")
+    immigration.write_tables(_arrivals(spark, d), _temperature(spark, d), ports(spark, d), folder, ["c_custkey"])
+    return count_report({n: spark.read.parquet(f"{folder}/{n}") for n in ("immigration", "temperature", "fact")})

@@ -224,3 +224,31 @@ def text_line_counts(spark, d):
     path = work_folder(spark, "text")
     read_table(spark, d, "events").select("event_type").write.text(path)
     return files.scan_text(spark, path).groupBy("value").agg(F.count("*").alias("count"))
+
+
+@query("""
+select cast(user_id * 100 + day(ts) as integer) as "sessionId", cast(event_id % 500 as integer) as "itemInSession",
+       arg_max('Artist ' || event_type, event_id) as artist, arg_max('Song ' || user_id, event_id) as song
+from events where event_type <> 'error' group by 1, 2""")
+def event_history_table(spark, d):
+    """Daily event files to one quoted file set, then to a table keyed by session and item; the last row of a key wins."""
+    folder = work_folder(spark, "history")
+    text = F.lit("x")
+    daily = read_table(spark, d, "events").select(
+        F.when(F.col("event_type") != "error", F.concat(F.lit("Artist "), "event_type")).alias("artist"),
+        text.alias("firstName"),
+        text.alias("gender"),
+        (F.col("event_id") % 500).alias("itemInSession"),
+        text.alias("lastName"),
+        F.col("event_id").alias("length"),
+        text.alias("level"),
+        text.alias("location"),
+        (F.col("user_id") * 100 + F.dayofmonth("ts")).alias("sessionId"),
+        F.concat(F.lit("Song "), F.col("user_id").cast("string")).alias("song"),
+        F.col("user_id").alias("userId"),
+    )
+    write_csv(daily, f"{folder}/daily")
+    query_tables.write_history(query_tables.event_history(spark, f"{folder}/daily"), f"{folder}/all")
+    events = query_tables.event_history(spark, f"{folder}/all")
+    table = query_tables.session_items(events, ["length"])
+    return table.select("sessionId", "itemInSession", "artist", "song")

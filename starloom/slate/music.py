@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from starloom.operators import quality
+from starloom.operators.aggregate import table_counts
+from starloom.operators.writes import load_table
 from starloom.plans import music
-from starloom.session import read_table
+from starloom.session import read_table, work_folder
 from starloom.slate import query
 
 _K = "cast(json_extract(props, '$.k') as integer)"
@@ -143,3 +146,51 @@ def time_warehouse(spark, d):
     """Time dimension of the matched plays, Sunday = 0."""
     plays = music.songplays(log(spark, d), songs(spark, d), "warehouse")
     return music.time_table(plays, "sun0").withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
+
+
+@query(f"""{_LOG}, m as (select * from log join song on song = title and artist = artist_name)
+select 'songs' as "table", count(*) as records from song
+union all select 'artists', count(distinct artist_id) from song
+union all select 'users', count(*) from (select distinct user_id, first_name, last_name, gender, level from log)
+union all select 'time', count(distinct start_time) from log
+union all select 'songplays', count(*) from m""")
+def lake_star_tables(spark, d):
+    """The lake variant written as partitioned tables and counted as read back."""
+    folder = work_folder(spark, "lake")
+    music.write_lake(log(spark, d), songs(spark, d), folder)
+    names = ["songs", "artists", "users", "time", "songplays"]
+    return table_counts({name: spark.read.parquet(f"{folder}/{name}") for name in names})
+
+
+@query(f"""{_LOG}, p as (select date_trunc('second', start_time) as start_time, session_id from log)
+select 'songplays: has rows' as "check", cast(0 as bigint) as failed, true as passed
+union all select 'songplays: start_time not null', 0, true
+union all select 'songplays: user_id not null', 0, true
+union all select 'time: start_time unique', 0, true
+union all select 'songplays: songplay_id unique', n, n = 0
+  from (select count(*) as n from (select 1 from p group by session_id, start_time having count(*) > 1))""")
+def scheduled_load_checks(spark, d):
+    """The scheduled variant loaded into tables, then checked."""
+    folder = work_folder(spark, "scheduled")
+    load_table(music.songplays(log(spark, d), songs(spark, d), "scheduled"), f"{folder}/songplays")
+    plays = spark.read.parquet(f"{folder}/songplays")
+    load_table(music.time_table(plays, "sun0"), f"{folder}/time")
+    times = spark.read.parquet(f"{folder}/time")
+    return quality.all_checks(
+        quality.check_rows(plays, "songplays"),
+        quality.check_columns(plays, "songplays", quality.not_null("start_time", "user_id")),
+        quality.check_unique(times, "time", ["start_time"]),
+        quality.check_unique(plays, "songplays", ["songplay_id"]),
+    )
+
+
+@query(f"""{_LOG}
+select start_time, cast(hour(start_time) as integer) as hour, cast(day(start_time) as integer) as day,
+cast(week(start_time) as integer) as week, cast(month(start_time) as integer) as month,
+cast(year(start_time) as integer) as year, strftime(start_time, '%a') as weekday
+from (select distinct start_time from log)""")
+def time_lake(spark, d):
+    """Time dimension of all plays, weekday as text."""
+    start = F.timestamp_millis("ts").alias("start_time")
+    times = music.time_table(music.song_plays(log(spark, d)).select(start), "name")
+    return times.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))

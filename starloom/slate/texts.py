@@ -6,8 +6,9 @@ from starloom.functions.text import map_columns, pattern_map
 from starloom.operators.aggregate import group_count, top_k, word_count
 from starloom.operators.joins import contains_lookup
 from starloom.plans import posts, weblog
-from starloom.session import read_table
+from starloom.session import read_table, work_folder
 from starloom.slate import query
+from starloom.sources.files import scan_text
 
 
 @query(r"""
@@ -101,6 +102,14 @@ def access_log_rejects(spark, d):
     return weblog.reject_count(weblog.parse_log(_log_lines(spark, d)))
 
 
+@query(f"select host, count(*) as count from ({_LOG}) group by 1 order by count desc, host limit 10")
+def popular_hosts_from_text(spark, d):
+    """Log lines written to text files, scanned and parsed."""
+    path = work_folder(spark, "access-log")
+    _log_lines(spark, d).write.option("compression", "gzip").text(path)
+    return weblog.popular(weblog.log_columns(weblog.parse_log(scan_text(spark, path))), "host")
+
+
 @query(f"select endpoint, count(*) as count from ({_LOG}) group by 1 order by count desc, endpoint limit 10")
 def popular_endpoints(spark, d):
     return weblog.popular(_log(spark, d), "endpoint")
