@@ -11,8 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs the next aggregate a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Build-side sizes are measured at run time; nothing larger is broadcast.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Columnar files grow when read; size estimates for broadcasts must know.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -13,7 +13,8 @@ def connect(folder):
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
     for path in glob.glob(f"{folder}/*.parquet"):
-        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{files}'")
     return con
 
 

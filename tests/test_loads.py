@@ -170,7 +170,7 @@ def test_bucketed_join_has_no_shuffle(spark):
         assert layout.shuffle_count(a.join(b, "k")) == 0
         assert layout.shuffle_count(df.join(b.select("k"), "k")) > 0
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_sorted_layout(spark, tmp_path):

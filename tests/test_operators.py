@@ -63,7 +63,7 @@ def test_salted_join_spreads_the_hot_key(spark):
         joined = salted_join(big, other, "k", salts=64)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", True)
     assert sum(sizes) == 10000 and max(sizes) < 4000
 
