@@ -31,6 +31,7 @@ def match_plays(
     duration_scale=None,
     one_match=False,
     salts=0,
+    min_rows=1_000_000,
 ) -> DataFrame:
     """Plays with the ``song_id`` and ``artist_id`` of the song they name.
 
@@ -54,7 +55,7 @@ def match_plays(
     if one_match:
         songs = first_per_key(songs, keys, ["song_id", "artist_id"])
     plays = keyed(plays, 0)
-    matched = salted_join(plays, songs, keys, how, salts=salts) if salts else plays.join(songs, keys, how)
+    matched = salted_join(plays, songs, keys, how, salts=salts, min_rows=min_rows) if salts else plays.join(songs, keys, how)
     return matched.drop(*keys)
 
 

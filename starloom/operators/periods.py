@@ -20,21 +20,31 @@ def _chunk(df: DataFrame, ts: str, width) -> Column:
 
 
 def flag_phase(
-    df: DataFrame, user: str, ts: str, flag: Column, frame="range", tiebreak=(), width=3600, share=0.0005, name="phase"
+    df: DataFrame,
+    user: str,
+    ts: str,
+    flag: Column,
+    frame="range",
+    tiebreak=(),
+    width=3600,
+    share=0.0005,
+    min_rows=1_000_000,
+    name="phase",
 ) -> DataFrame:
     """Number of flagged rows of the user at or after each row's time.
 
     ``frame="range"`` counts all rows that share the time; ``frame="rows"``
     counts in the order newest first, then ``tiebreak``.
 
-    Users with at least ``share`` of the rows are split into chunks of
-    ``width`` seconds (units of ``ts`` where that is a number). What later
+    Users with at least ``share`` of the rows (and ``min_rows`` of them) are
+    split into chunks of ``width`` seconds (units of ``ts`` where that is a
+    number). What later
     chunks add reaches a chunk as one more row that is sorted in front of it,
     so the rows are shuffled and sorted once and not joined.
     """
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")
-    hot = hot_hashes(df, [user], share)
+    hot = hot_hashes(df, [user], share, min_rows)
     chunk = F.when(is_hot([user], hot), _chunk(df, ts, width))
     marked = df.withColumns({"_chunk": chunk, "_flag": flag.cast("long"), "_carried": F.lit(0)})
     if hot:

@@ -5,9 +5,11 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def hot_hashes(df: DataFrame, keys, share) -> list[int]:
+def hot_hashes(df: DataFrame, keys, share, min_rows=1_000_000) -> list[int]:
     """Hashes of the keys that seem to hold at least ``share`` of the rows: at most ``1/share`` numbers.
 
+    Keys below ``min_rows`` rows are left to one task whatever their share.
+
     One pass over the key columns with frequency sketches of fixed size, merged
     in two steps. The list is fetched here and now, so that all parts of a plan
     built on it agree. It only steers how work is spread: a key wrongly in or
@@ -26,7 +28,7 @@ def hot_hashes(df: DataFrame, keys, share) -> list[int]:
     )
     top = (
         merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"))
-        .where(F.col("top.count") >= F.col("rows") * share)
+        .where((F.col("top.count") >= F.col("rows") * share) & (F.col("top.count") >= min_rows))
     )
     return [row[0] for row in top.select("top.item").collect()]
 
@@ -35,7 +37,9 @@ def is_hot(keys, hashes) -> Column:
     return F.xxhash64(*keys).isin(hashes) if hashes else F.lit(False)
 
 
-def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=None, share=0.01, salts=64) -> DataFrame:
+def salted_join(
+    big: DataFrame, other: DataFrame, on, how="inner", spread_by=None, share=0.01, salts=64, min_rows=1_000_000
+) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks; the rows are those of a plain join.
 
     ``big`` is the side that may be skewed. Rows of its hot keys get a salt
@@ -54,7 +58,7 @@ def salted_join(big: DataFrame, other: DataFrame, on, how="inner", spread_by=Non
         # Both sides are salted by a hash of the key, which depends on its type.
         if big.schema[key].dataType != other.schema[key].dataType:
             raise ValueError(f"{key!r} has two types: cast one side first")
-    hot = hot_hashes(big, on, share)
+    hot = hot_hashes(big, on, share, min_rows)
     if not hot:
         return big.join(other, on, how)
     salt = F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(salts))

@@ -39,28 +39,30 @@ def test_equals_the_single_window(log, width, frame, share):
         window = window.rowsBetween(Window.unboundedPreceding, 0)
     flag = (F.col("page") == "Home").cast("int")
     expected = log.withColumn("phase", F.sum(flag).over(window))
-    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], width, share)
+    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], width, share, min_rows=1)
     assert rows(got) == rows(expected)
 
 
 def test_range_and_rows_differ_on_ties(log):
     flag = F.col("page") == "Home"
-    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range").select("id", "phase")))
-    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"]).select("id", "phase")))
+    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range", min_rows=1).select("id", "phase")))
+    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"], min_rows=1).select("id", "phase")))
     assert (by_range[3], by_rows[3]) == (1, 0)
 
 
 def test_period_counts(log):
     item, marker = F.col("page") == "NextSong", F.col("page") == "Home"
     known = log.where("userId = 'u'")
-    assert rows(period_counts(known, "userId", "ts", item, marker)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
-    assert rows(period_counts(known, "userId", "ts", item, marker, closed_only=True)) == [("u", 1, 1)]
+    for least in (1, 1_000_000):
+        assert rows(period_counts(known, "userId", "ts", item, marker, min_rows=least)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
+        closed = period_counts(known, "userId", "ts", item, marker, closed_only=True, min_rows=least)
+        assert rows(closed) == [("u", 1, 1)]
     assert period_average(known, "userId", "ts", item, marker).first()[0] == pytest.approx(4 / 3)
 
 
 def test_no_window_holds_a_whole_user(log):
     """A large user's rows are windowed per chunk; only chunk totals are windowed per user."""
-    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range")
+    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range", min_rows=1)
     windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
     assert len(windows) == 2
     assert "_chunk#" in windows[0].split("], [")[1] and "_flags#" in windows[1]
