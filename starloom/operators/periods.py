@@ -7,16 +7,25 @@ a user has few. Chunks hold whole timestamps, so the result is that of the
 single window for both frames.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from starloom.operators.skew import hot_hashes, is_hot
 
 
-def _chunk(df: DataFrame, ts: str, width) -> Column:
-    """Start of the chunk a time lies in."""
-    time = F.col(ts) if isinstance(df.schema[ts].dataType, NumericType) else F.unix_seconds(F.col(ts).cast("timestamp"))
-    return time - F.pmod(time, F.lit(width))
+def _number(df: DataFrame, ts: str) -> Column:
+    """A time as a number: microseconds, or the column itself where it is a number."""
+    return F.col(ts) if isinstance(df.schema[ts].dataType, NumericType) else F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def _chunk_width(df: DataFrame, user: str, time: Column, hot: dict, chunk_rows: int) -> int:
+    """Length of a chunk that gives the largest user about ``chunk_rows`` rows in each."""
+    span = df.where(is_hot([user], hot)).agg(F.min(time).alias("first"), F.max(time).alias("last")).first()
+    if span.first is None:
+        return 1
+    return max(1, math.ceil((span.last - span.first + 1) / math.ceil(max(hot.values()) / chunk_rows)))
 
 
 def flag_phase(
@@ -26,9 +35,9 @@ def flag_phase(
     flag: Column,
     frame="range",
     tiebreak=(),
-    width=3600,
     share=0.0005,
     min_rows=1_000_000,
+    width=None,
     name="phase",
 ) -> DataFrame:
     """Number of flagged rows of the user at or after each row's time.
@@ -37,15 +46,19 @@ def flag_phase(
     counts in the order newest first, then ``tiebreak``.
 
     Users with at least ``share`` of the rows (and ``min_rows`` of them) are
-    split into chunks of ``width`` seconds (units of ``ts`` where that is a
-    number). What later
-    chunks add reaches a chunk as one more row that is sorted in front of it,
-    so the rows are shuffled and sorted once and not joined.
+    split into time chunks of about ``min_rows`` rows, or of ``width``
+    microseconds (units of ``ts`` where that is a number). What later chunks
+    add reaches a chunk as one more row that is sorted in front of it, so the
+    rows are shuffled and sorted once and not joined.
     """
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")
     hot = hot_hashes(df, [user], share, min_rows)
-    chunk = F.when(is_hot([user], hot), _chunk(df, ts, width))
+    chunk = F.lit(None).cast("long")
+    if hot:
+        time = _number(df, ts)
+        width = width or _chunk_width(df, user, time, hot, min_rows)
+        chunk = F.when(is_hot([user], hot), time - F.pmod(time, F.lit(width)))
     marked = df.withColumns({"_chunk": chunk, "_flag": flag.cast("long"), "_carried": F.lit(0)})
     if hot:
         later = Window.partitionBy(user).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)

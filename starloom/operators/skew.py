@@ -5,8 +5,8 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def hot_hashes(df: DataFrame, keys, share, min_rows=1_000_000) -> list[int]:
-    """Hashes of the keys that seem to hold at least ``share`` of the rows: at most ``1/share`` numbers.
+def hot_hashes(df: DataFrame, keys, share, min_rows=1_000_000) -> dict[int, int]:
+    """Hashes and estimated rows of the keys that seem to hold at least ``share`` of the rows: at most ``1/share``.
 
     Keys below ``min_rows`` rows are left to one task whatever their share.
 
@@ -30,11 +30,11 @@ def hot_hashes(df: DataFrame, keys, share, min_rows=1_000_000) -> list[int]:
         merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"))
         .where((F.col("top.count") >= F.col("rows") * share) & (F.col("top.count") >= min_rows))
     )
-    return [row[0] for row in top.select("top.item").collect()]
+    return {row.item: row["count"] for row in top.select("top.item", "top.count").collect()}
 
 
 def is_hot(keys, hashes) -> Column:
-    return F.xxhash64(*keys).isin(hashes) if hashes else F.lit(False)
+    return F.xxhash64(*keys).isin(list(hashes)) if hashes else F.lit(False)
 
 
 def salted_join(

@@ -74,11 +74,11 @@ def test_salted_join_refuses_mixed_key_types(spark):
 
 
 def test_hot_hashes(spark):
-    assert hot_hashes(spark.range(0), ["id"], 0.01, 1) == []
-    assert hot_hashes(spark.range(10000), ["id"], 0.01, 1) == []
+    assert hot_hashes(spark.range(0), ["id"], 0.01, 1) == {}
+    assert hot_hashes(spark.range(10000), ["id"], 0.01, 1) == {}
     mixed = spark.range(10000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert hot_hashes(mixed, ["k"], 0.01) == []  # far below the default number of rows
-    found = mixed.where(F.xxhash64("k").isin(hot_hashes(mixed, ["k"], 0.01, 1))).select("k").distinct()
+    assert hot_hashes(mixed, ["k"], 0.01) == {}  # far below the default number of rows
+    found = mixed.where(F.xxhash64("k").isin(list(hot_hashes(mixed, ["k"], 0.01, 1)))).select("k").distinct()
     assert rows(found) == [(-1,)]
 
 

@@ -29,7 +29,7 @@ def log(spark):
 
 
 @pytest.mark.parametrize("share", [0.0005, 0.3, 1.0])
-@pytest.mark.parametrize("width", [1, 7, 25, 1000])
+@pytest.mark.parametrize("width", [1, 7, 25, 1000, None])
 @pytest.mark.parametrize("frame", ["range", "rows"])
 def test_equals_the_single_window(log, width, frame, share):
     window = Window.partitionBy("userId").orderBy(F.desc("ts"), *(["id"] if frame == "rows" else []))
@@ -39,10 +39,24 @@ def test_equals_the_single_window(log, width, frame, share):
         window = window.rowsBetween(Window.unboundedPreceding, 0)
     flag = (F.col("page") == "Home").cast("int")
     expected = log.withColumn("phase", F.sum(flag).over(window))
-    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], width, share, min_rows=1)
+    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], share, 1, width)
     assert rows(got) == rows(expected)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "double"])
+def test_kinds_of_time(spark, kind):
+    df = spark.range(500).select(
+        "id",
+        (F.col("id") % 2).alias("u"),
+        (F.timestamp_millis(F.lit(1541105830000) + F.col("id") * 137 % 5000) if kind != "double" else F.col("id") * 137 % 5000)
+        .cast(kind)
+        .alias("t"),
+    )
+    window = Window.partitionBy("u").orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumn("phase", F.sum((F.col("id") % 5 == 0).cast("int")).over(window))
+    assert rows(flag_phase(df, "u", "t", F.col("id") % 5 == 0, min_rows=10)) == rows(expected)
+
+
 def test_range_and_rows_differ_on_ties(log):
     flag = F.col("page") == "Home"
     by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range", min_rows=1).select("id", "phase")))
