@@ -2,7 +2,8 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 class DataQualityError(Exception):
@@ -25,6 +26,18 @@ def check_rows(df: DataFrame, name: str) -> DataFrame:
     return _result(df.sparkSession.range(1).select(F.lit(int(empty)).alias("failed")), f"{name}: has rows")
 
 
+def check_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Every table is there and has a row."""
+    results = []
+    for name, path in paths.items():
+        try:
+            results.append(check_rows(spark.read.parquet(path), name))
+        except AnalysisException:
+            missing = spark.range(1).select(F.lit(1).alias("failed"))
+            results.append(_result(missing, f"{name}: has rows"))
+    return all_checks(*results)
+
+
 def check_columns(df: DataFrame, name: str, conditions: dict[str, Column]) -> DataFrame:
     """Count the rows that break each condition, all in one pass; NULL breaks a condition."""
     counts = df.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"_{n}") for n, c in enumerate(conditions.values())])

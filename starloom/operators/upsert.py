@@ -5,6 +5,8 @@ of the target; ``operators.writes`` stores it. Both sides are cut to one row
 per key before they meet, so no key is heavy in the join.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.operators.clean import first_per_key, last_per_key
@@ -13,7 +15,8 @@ from starloom.operators.clean import first_per_key, last_per_key
 def insert_ignore(target: DataFrame, new: DataFrame, keys, order_by) -> DataFrame:
     """Add the first new row of each key the target does not have."""
     fresh = first_per_key(new.select(*target.columns, *_extra(order_by, target)), keys, order_by)
-    return target.unionByName(fresh.select(*target.columns).join(target.select(*keys), keys, "left_anti"))
+    known = target.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return target.unionByName(fresh.select(*target.columns).join(known, _same(keys), "left_anti"))
 
 
 def upsert(target: DataFrame, new: DataFrame, keys, update_cols, order_by) -> DataFrame:
@@ -27,12 +30,12 @@ def upsert(target: DataFrame, new: DataFrame, keys, update_cols, order_by) -> Da
     aggregates = [F.max_by(F.struct(*update_cols), place).alias("_last")]
     if others:
         aggregates.append(F.min_by(F.struct(*others), place).alias("_first"))
-    batch = new.groupBy(*keys).agg(*aggregates).withColumn("_new", F.lit(True))
-    known = target.withColumn("_known", F.lit(True))
-    both = known.join(batch, keys, "full_outer")
-    columns = {c: F.when(F.col("_new"), F.col(f"_last.{c}")).otherwise(F.col(c)) for c in update_cols}
+    batch = new.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*aggregates).withColumn("_new", F.lit(True))
+    both = target.withColumn("_known", F.lit(True)).join(batch, _same(keys), "full_outer")
+    columns = {k: F.when(F.col("_known"), F.col(k)).otherwise(F.col(f"_{k}")) for k in keys}
+    columns |= {c: F.when(F.col("_new"), F.col(f"_last.{c}")).otherwise(F.col(c)) for c in update_cols}
     columns |= {c: F.when(F.col("_known"), F.col(c)).otherwise(F.col(f"_first.{c}")) for c in others}
-    return both.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in target.columns])
+    return both.select(*[columns[c].alias(c) for c in target.columns])
 
 
 def last_write(df: DataFrame, keys, order_by) -> DataFrame:
@@ -53,5 +56,10 @@ def build_query_table(df: DataFrame, partition_cols, clustering_cols, cols, orde
     return df.select(*wanted).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def _same(keys):
+    """Equal keys; a NULL is a value like others, so a repeated load adds nothing."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
 def _extra(order_by, target) -> list:
     return [c for c in order_by if isinstance(c, str) and c not in target.columns]

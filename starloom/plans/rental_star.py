@@ -100,12 +100,14 @@ def dim_store(store, staff, address, city, country, load_date) -> DataFrame:
 
 
 def fact_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame, payment_key=None) -> DataFrame:
-    """One row per payment. With ``payment_key`` the rows get a stable ``sales_key`` 1, 2, ..."""
-    fact = (
+    """One row per payment. With ``payment_key`` the rows get a stable ``sales_key``: the payment's number."""
+    if payment_key:
+        payment = add_dense_keys(payment, payment_key, "sales_key")
+    return (
         payment.join(rental.select("rental_id", "inventory_id"), "rental_id")
         .join(inventory.select("inventory_id", "film_id", "store_id"), "inventory_id")
         .select(
-            *([payment_key] if payment_key else []),
+            *(["sales_key"] if payment_key else []),
             dates.date_key("payment_date").alias("date_key"),
             F.col("customer_id").alias("customer_key"),
             F.col("film_id").alias("movie_key"),
@@ -113,4 +115,3 @@ def fact_sales(payment: DataFrame, rental: DataFrame, inventory: DataFrame, paym
             F.col("amount").alias("sales_amount"),
         )
     )
-    return add_dense_keys(fact, payment_key, "sales_key").drop(payment_key) if payment_key else fact

@@ -31,6 +31,9 @@ def test_upsert_updates_chosen_columns_only(target, new):
     got = upsert.upsert(target, new, ["user_id"], ["level"], ["ts"])
     assert rows(got) == [("1", "Ann", None), ("2", "Bob", "free"), ("3", "Cy", "paid")]
     assert rows(upsert.upsert(got, new, ["user_id"], ["level"], ["ts"])) == rows(got)
+    null_key = new.withColumn("user_id", F.lit(None).cast("string"))
+    once = upsert.upsert(target, null_key, ["user_id"], ["level"], ["ts"])
+    assert once.count() == 3 and rows(upsert.upsert(once, null_key, ["user_id"], ["level"], ["ts"])) == rows(once)
     assert rows(upsert.upsert(target, new.limit(0), ["user_id"], ["level"], ["ts"])) == rows(target)
 
 

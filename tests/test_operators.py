@@ -212,6 +212,21 @@ def test_checks(spark):
     quality.enforce(report.where("passed"))
 
 
+def test_check_tables(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "full"))
+    spark.range(0).write.parquet(str(tmp_path / "empty"))
+    report = quality.check_tables(spark, {n: str(tmp_path / n) for n in ("full", "empty", "missing")})
+    assert rows(report) == [("empty: has rows", 1, False), ("full: has rows", 0, True), ("missing: has rows", 1, False)]
+
+
+def test_star_join(spark):
+    fact = spark.createDataFrame([(1, 10, 5), (2, 11, 6), (1, 99, 7)], "d int, m int, amount int")
+    days = spark.createDataFrame([(1, "Mon"), (2, "Tue")], "day_key int, day string")
+    movies = spark.createDataFrame([(10, "PG"), (11, "G")], "movie_key int, rating string")
+    star = joins.star_join(fact, (days, "d", "day_key"), (movies, "m", "movie_key"))
+    assert rows(star.select("day", "rating", "amount")) == [("Mon", "PG", 5), ("Tue", "G", 6)]
+
+
 def test_count_report_and_primary_key(spark):
     df = spark.createDataFrame([(1,), (2,)], "id int")
     assert rows(quality.count_report({"t": df, "e": df.limit(0)})) == [("e", 0, False), ("t", 2, True)]

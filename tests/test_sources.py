@@ -80,6 +80,9 @@ def test_event_csv(spark, tmp_path):
     assert rows(events) == [("Ar", "Ann", "F", 1, "Lee", 10.5, "free", "X", 7, "So", 3)]
     query_tables.write_history(events, str(tmp_path / "out"))
     assert '"Ar","Ann"' in "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
+    sessions = query_tables.lookup(query_tables.user_sessions(events, ["length"]), userId=3, sessionId=7)
+    assert rows(sessions) == [(3, 7, 1, "Ar", "So", "Ann Lee")]
+    assert rows(query_tables.lookup(query_tables.song_users(events, ["length"]), song="So")) == [("So", 3, "Ann Lee")]
     assert rows(query_tables.lookup(query_tables.session_items(events, ["userId"]), sessionId=7, itemInSession=1)) == [
         (7, 1, "Ar", "So", 10.5)
     ]
