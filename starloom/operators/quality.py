@@ -41,7 +41,10 @@ def check_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 def check_columns(df: DataFrame, name: str, conditions: dict[str, Column]) -> DataFrame:
     """Count the rows that break each condition, all in one pass; NULL breaks a condition."""
     counts = df.agg(*[F.count_if(~F.coalesce(c, F.lit(False))).alias(f"_{n}") for n, c in enumerate(conditions.values())])
-    rows = [F.struct(F.lit(f"{name}: {label}").alias("check"), F.col(f"_{n}").alias("failed")) for n, label in enumerate(conditions)]
+    rows = [
+        F.struct(F.lit(f"{name}: {label}").alias("check"), F.col(f"_{n}").alias("failed"))
+        for n, label in enumerate(conditions)
+    ]
     return counts.select(F.explode(F.array(*rows)).alias("row")).select(
         "row.check", "row.failed", (F.col("row.failed") == 0).alias("passed")
     )
@@ -90,7 +93,9 @@ def check_expected(cases) -> DataFrame:
 def count_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Records of each table and whether there are any."""
     rows = [
-        df.agg(F.count("*").alias("records")).select(F.lit(name).alias("check"), "records", (F.col("records") > 0).alias("passed"))
+        df.agg(F.count("*").alias("records")).select(
+            F.lit(name).alias("check"), "records", (F.col("records") > 0).alias("passed")
+        )
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, rows)

@@ -6,8 +6,9 @@ from starloom.functions.dates import date_key
 from starloom.functions.money import hundredths, units_to_money
 from starloom.operators import cubes
 from starloom.operators.aggregate import top_k
+from starloom.operators.writes import load_table
 from starloom.plans import ssb
-from starloom.session import read_table
+from starloom.session import read_table, work_folder
 from starloom.slate import query
 from starloom.slate.roles import AMOUNT, lines, money, orders, sales_fact
 
@@ -24,7 +25,9 @@ def _star(spark, d):
     """
     movie = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("rating"))
     sold = orders(spark, d).select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.dayofmonth("o_orderdate").alias("day")
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_custkey").alias("c_custkey"),
+        F.dayofmonth("o_orderdate").alias("day"),
     )
     rated = lines(spark, d, "l_orderkey", "l_partkey").join(movie, "l_partkey")
     bought = rated.join(sold, "l_orderkey").join(_customer_dim(spark, d), "c_custkey")
@@ -147,6 +150,18 @@ def union_sales(spark, d):
     return _finish(cubes.union_totals(_month_country(spark, d), _DIMS, _SETS, "sales_amount"))
 
 
+@query(f"""
+select r_name as country, {money(f'sum({AMOUNT})')} as revenue
+from lineitem join supplier on l_suppkey = s_suppkey
+join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1""")
+def stored_cube_countries(spark, d):
+    """The cube stored as a table; a coarser report then reads cells instead of sales."""
+    path = work_folder(spark, "cube")
+    load_table(cubes.cube_totals(_month_country(spark, d), _DIMS, "sales_amount"), path)
+    totals = spark.read.parquet(path).where("grouping_id = 2")
+    return _finish(totals.select("country", "revenue"))
+
+
 # Star Schema Benchmark
 
 
@@ -200,7 +215,9 @@ join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
 join region on n_regionkey = r_regionkey
 where p_type = 'PROMO' and r_name = 'AMERICA' group by 1, 2""")
 def ssb_two_dim(spark, d):
-    part = read_table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("p_brand1"), F.col("p_type").alias("p_category"))
+    part = read_table(spark, d, "part").select(
+        "p_partkey", F.col("p_brand").alias("p_brand1"), F.col("p_type").alias("p_category")
+    )
     seller = (
         read_table(spark, d, "supplier")
         .join(_place(spark, d), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -244,5 +261,6 @@ def ssb_same_dist(spark, d):
     part = read_table(spark, d, "part").select("p_partkey")
     per_order = ssb.same_distribution(_lineorder(spark, d), part)
     day = orders(spark, d).select(F.col("o_orderkey").alias("lo_orderdate"), date_key("o_orderdate").alias("day"))
-    totals = per_order.join(day, "lo_orderdate").groupBy(F.col("day").alias("lo_orderdate")).agg(F.sum("revenue").alias("revenue"))
+    per_day = per_order.join(day, "lo_orderdate").groupBy(F.col("day").alias("lo_orderdate"))
+    totals = per_day.agg(F.sum("revenue").alias("revenue"))
     return totals.withColumn("revenue", F.round(F.col("revenue") / 100, 2).cast("double"))

@@ -17,7 +17,8 @@ def ports(spark, d):
         read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     lines = place.select(
-        F.col("n_nationkey").alias("line_no"), F.format_string("'P%02d'\t=\t'%s, %s   '", "n_nationkey", "n_name", "r_name").alias("value")
+        F.col("n_nationkey").alias("line_no"),
+        F.format_string("'P%02d'\t=\t'%s, %s   '", "n_nationkey", "n_name", "r_name").alias("value"),
     )
     return parse_labels(lines, keep=["line_no"])
 

@@ -126,7 +126,9 @@ def partition_slice(spark, d):
     return part.where("month = 1").select("event_id", "user_id", "value")
 
 
-@query("select n_nationkey, n_name, count(*) as suppliers from nation join supplier on n_nationkey = s_nationkey group by 1, 2 union all select 1000, 'total', count(*) from supplier")
+@query("""
+select n_nationkey, n_name, count(*) as suppliers from nation join supplier on n_nationkey = s_nationkey group by 1, 2
+union all select 1000, 'total', count(*) from supplier""")
 def append_load(spark, d):
     """A table replaced, then added to."""
     path = work_folder(spark, "append")

@@ -105,7 +105,9 @@ def staff_list(spark, d):
 def _cast(spark, d):
     """Nations that supply a part, as its actors: at most 25 per film."""
     supplied = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
-    seller = read_table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("actor_id"))
+    seller = read_table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("actor_id")
+    )
     return supplied.join(seller, "l_suppkey").select(F.col("l_partkey").alias("film_id"), "actor_id").distinct()
 
 
@@ -151,7 +153,8 @@ def nicer_film_list(spark, d):
 
 @query("""
 with t as (select distinct l_suppkey, p_brand, p_name from lineitem join part on l_partkey = p_partkey),
-b as (select l_suppkey, p_brand || ': ' || string_agg(p_name, ', ' order by p_name) as titles from t group by l_suppkey, p_brand)
+b as (select l_suppkey, p_brand || ': ' || string_agg(p_name, ', ' order by p_name) as titles
+      from t group by l_suppkey, p_brand)
 select s_suppkey as actor_id, s_name as first_name, string_agg(titles, ', ' order by titles) as film_info
 from supplier left join b on s_suppkey = l_suppkey group by 1, 2""")
 def actor_info(spark, d):

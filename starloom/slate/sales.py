@@ -13,6 +13,7 @@ from starloom.operators.aggregate import (
     top_with_ties,
 )
 from starloom.operators.joins import join_chain
+from starloom.plans import shop
 from starloom.session import read_table
 from starloom.slate import query
 from starloom.slate.roles import AMOUNT, amounts_by, lines, money, orders
@@ -134,13 +135,15 @@ def large_purchases(spark, d):
     big = orders(spark, d).where("o_totalprice > 400000").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("spent")
     )
-    items = read_table(spark, d, "lineitem").where("l_quantity > 40").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
+    lines_ = read_table(spark, d, "lineitem").where("l_quantity > 40")
+    items = lines_.select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
+    buyers = read_table(spark, d, "customer").select(
+        "c_custkey", F.col("c_name").alias("name"), F.col("c_nationkey").alias("n_nationkey")
+    )
+    titles = read_table(spark, d, "part").select("p_partkey", F.col("p_name").alias("item_name"))
+    states = read_table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("state"))
     return join_chain(
-        items,
-        (big, "l_orderkey"),
-        (read_table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_nationkey").alias("n_nationkey")), "c_custkey"),
-        (read_table(spark, d, "part").select("p_partkey", F.col("p_name").alias("item_name")), "p_partkey"),
-        (read_table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("state")), "n_nationkey"),
+        items, (big, "l_orderkey"), (buyers, "c_custkey"), (titles, "p_partkey"), (states, "n_nationkey")
     ).select("name", "item_name", "state", "spent")
 
 
@@ -217,3 +220,31 @@ def table_counts_all(spark, d):
 @query('select min(o_orderdate) as "first", max(o_orderdate) as "last" from orders')
 def period_covered(spark, d):
     return covered_period(orders(spark, d), "o_orderdate")
+
+
+@query("""
+select o_orderkey, o_orderdate, o_totalprice from orders
+where o_orderstatus = 'P' and o_orderpriority like '%HIGH%'
+  and o_orderdate >= date '1998-01-01' and o_orderdate <= date '1998-12-31'""")
+def filter_like_range(spark, d):
+    """Equality, pattern and date range; equality and range reach the Parquet scan."""
+    priority = F.col("o_orderpriority").like("%HIGH%")
+    kept = orders(spark, d).where("o_orderstatus = 'P'").where("o_orderdate >= '1998-01-01' and o_orderdate <= '1998-12-31'")
+    return kept.where(priority).select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@query("select p_brand as album_name, cast(sum(p_size) as bigint) as album_length from part group by 1")
+def album_lengths(spark, d):
+    """Total length per album of a denormalised song table."""
+    songs = read_table(spark, d, "part").select(F.col("p_brand").alias("album_name"), F.col("p_size").alias("song_length"))
+    return shop.album_lengths(songs)
+
+
+@query("""
+select o_custkey % 100 as store_id, cast(sum(cast(o_totalprice as decimal(14,2))) as double) as spent
+from orders group by 1""")
+def sales_per_store(spark, d):
+    paid = orders(spark, d).select(
+        (F.col("o_custkey") % 100).alias("store_id"), hundredths("o_totalprice").cast("decimal(18,0)").alias("spent")
+    )
+    return shop.sales_per_store(paid).withColumn("spent", cents_to_money(F.col("spent")))

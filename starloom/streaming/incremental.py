@@ -6,7 +6,10 @@ from starloom.operators.writes import write_partitioned
 
 
 def load_partition(df: DataFrame, path, ts, run_date) -> None:
-    """Load the month of a run date; a rerun replaces that month and no other."""
+    """Load the month of a run date; a rerun replaces that month and no other.
+
+    A month without rows leaves the table as it is.
+    """
     backfill(df, path, ts, run_date, run_date)
 
 
