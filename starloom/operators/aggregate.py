@@ -20,9 +20,13 @@ def group_count(df: DataFrame, *keys, name="count", column=None) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(column or "*").alias(name))
 
 
-def top_k(df: DataFrame, measure, k, *tiebreak) -> DataFrame:
-    """The ``k`` rows with the largest measure; ties go to the smaller tiebreak."""
-    return df.orderBy(F.desc(measure), *tiebreak).limit(k)
+def top_k(df: DataFrame, measure, k, *tiebreak, nulls_first=False) -> DataFrame:
+    """The ``k`` rows with the largest measure; ties go to the smaller tiebreak.
+
+    Spark puts NULL last in descending order, PostgreSQL first: ``nulls_first`` does as the latter.
+    """
+    order = F.desc_nulls_first(measure) if nulls_first else F.desc(measure)
+    return df.orderBy(order, *tiebreak).limit(k)
 
 
 def top_with_ties(df: DataFrame, measure) -> DataFrame:
@@ -47,15 +51,14 @@ def concat_by(df: DataFrame, keys, value: Column, name, sep=", ", distinct=False
     """Values of each group joined to one text in sorted order, NULLs skipped.
 
     The text holds the whole list, so its length is the bound of this
-    operator. With ``distinct`` repeats are dropped before the shuffle.
+    operator. With ``distinct`` repeats are dropped first, spread over all
+    tasks, so that a large group shrinks before it is put together.
     """
     rows = df.select(*keys, value.alias("_value"))
     if distinct:
-        joined = F.array_join(F.sort_array(F.collect_set("_value")), sep)
-        joined = F.when(F.count("_value") > 0, joined)
-    else:
-        text = sep.replace("\\", "\\\\").replace("'", "\\'")
-        joined = F.expr(f"listagg(_value, '{text}') within group (order by _value)")
+        rows = rows.distinct()
+    text = sep.replace("\\", "\\\\").replace("'", "\\'")
+    joined = F.expr(f"listagg(_value, '{text}') within group (order by _value)")
     return rows.groupBy(*keys).agg(joined.alias(name))
 
 

@@ -104,7 +104,7 @@ def staff_list(spark, d):
 
 def _cast(spark, d):
     """Nations that supply a part, as its actors: at most 25 per film."""
-    supplied = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    supplied = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
     seller = read_table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("actor_id")
     )
@@ -160,7 +160,7 @@ from supplier left join b on s_suppkey = l_suppkey group by 1, 2""")
 def actor_info(spark, d):
     """Suppliers with "brand: titles" of the parts they sold; both lists hold distinct vocabulary only."""
     part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name")
-    sold = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct().join(part, "l_partkey")
+    sold = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey").join(part, "l_partkey")
     films = concat_by(sold, ["l_suppkey", "p_brand"], F.col("p_name"), "titles", distinct=True)
     lists = concat_by(films, ["l_suppkey"], F.concat_ws(": ", "p_brand", "titles"), "film_info", distinct=True)
     return (

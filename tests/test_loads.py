@@ -188,3 +188,19 @@ def test_work_folder_is_under_the_shared_folder(spark):
     folder = work_folder(spark, "x")
     assert folder != work_folder(spark, "x")
     assert root is None or folder.startswith(root)
+
+
+def test_work_folder_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+    with pytest.raises(ValueError):
+        work_folder(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    assert "/x-" in work_folder(Session, "x")

@@ -127,6 +127,8 @@ def test_counts_ties_and_nulls(spark):
     assert rows(counts) == [("a", 2), ("b", 2), ("c", 1), (None, 0)]
     assert rows(aggregate.top_with_ties(counts, "n")) == [("a", 2), ("b", 2)]
     assert rows(aggregate.top_k(counts, "n", 1, "x")) == [("a", 2)]
+    assert rows(aggregate.top_k(df.distinct(), "x", 1, nulls_first=True)) == [(None,)]
+    assert rows(aggregate.top_k(df.distinct(), "x", 1)) == [("c",)]
     assert rows(aggregate.average_group_count(df, ["x"])) == [(1.5,)]
     assert rows(aggregate.table_counts({"t": df, "e": df.limit(0)})) == [("e", 0), ("t", 6)]
 
