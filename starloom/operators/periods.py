@@ -49,7 +49,8 @@ def flag_phase(
     split into time chunks of about ``min_rows`` rows, or of ``width``
     microseconds (units of ``ts`` where that is a number). What later chunks
     add reaches a chunk as one more row that is sorted in front of it, so the
-    rows are shuffled and sorted once and not joined.
+    rows are shuffled and sorted once and not joined. ``df`` is read once more
+    to find the large users: pass a table rather than a long plan.
     """
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")

@@ -17,10 +17,10 @@ def _events(spark, d):
 
 
 def _log(spark, d):
-    """Events with the column names of the user log; some users are logged out (blank id)."""
+    """Events with the column names of the user log; small values stand for logged-out users (blank id)."""
     return _events(spark, d).select(
         "event_id",
-        F.when(F.col("user_id") % 20 == 0, "").otherwise(F.col("user_id").cast("string")).alias("userId"),
+        F.when(F.col("value") < 5, "").otherwise(F.col("user_id").cast("string")).alias("userId"),
         F.when(F.col("event_type") != "click", F.dayofmonth("ts")).alias("sessionId"),
         "ts",
         F.col("event_type").alias("page"),
@@ -120,14 +120,14 @@ def average_events_per_page(spark, d):
 
 @query("""
 select event_type as page, count(*) as count from events
-where user_id % 20 <> 0 and event_type <> 'click' group by 1""")
+where value >= 5 and event_type <> 'click' group by 1""")
 def valid_page_counts(spark, d):
     """Rows per page without missing sessions and blank users."""
     return group_count(activity.valid_rows(_log(spark, d)), "page")
 
 
 @query("""
-select case when user_id % 20 = 0 then '' else cast(user_id as varchar) end as "userId", event_type as page
+select case when value < 5 then '' else cast(user_id as varchar) end as "userId", event_type as page
 from events group by 1, 2""")
 def distinct_user_pages(spark, d):
     return distinct_rows(_log(spark, d), "userId", "page")

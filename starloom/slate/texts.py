@@ -59,7 +59,7 @@ def url_top_hosts(spark, d):
 
 
 def _log_lines(spark, d):
-    """Access-log lines written from the events; every 50th is not a log line."""
+    """Access-log lines written from the events; those with a small value are broken."""
     number = F.from_json("props", "k int")["k"].cast("string")
     line = F.concat(
         F.lit("host"),
@@ -73,7 +73,7 @@ def _log_lines(spark, d):
         F.lit(' HTTP/1.0" 200 '),
         F.when(F.col("event_type") == "error", "-").otherwise(F.floor(F.col("value") * 100).cast("string")),
     )
-    broken = F.col("event_id") % 50 == 0
+    broken = F.col("value") < 1
     lines = F.array(F.when(broken, F.lit("broken line")).otherwise(line))
     return read_table(spark, d, "events").select(F.explode(lines).alias("value"))
 
@@ -86,7 +86,7 @@ _LOG = """
 select 'host' || user_id || '.example.com' as host, '/' || event_type || '/' || json_extract_string(props, '$.k') as endpoint,
        date_trunc('second', ts) as time, strftime(ts, '%d/%b/%Y:%H:%M:%S +0000') as date_time,
        case when event_type = 'error' then '0' else cast(cast(floor(value * 100) as bigint) as varchar) end as content_size
-from events where event_id % 50 <> 0"""
+from events where value >= 1"""
 
 
 @query(f"""
@@ -97,7 +97,7 @@ def access_log_fields(spark, d):
     return parsed.withColumn("time", F.col("time").cast("timestamp_ntz"))
 
 
-@query("select count(*) as lines, count(*) filter (where event_id % 50 = 0) as rejected from events")
+@query("select count(*) as lines, count(*) filter (where value < 1) as rejected from events")
 def access_log_rejects(spark, d):
     return weblog.reject_count(weblog.parse_log(_log_lines(spark, d)))
 
