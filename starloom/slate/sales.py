@@ -80,7 +80,7 @@ from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_
 join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 group by 1, 2, 3""")
 def revenue_part_nation_month(spark, d):
-    """Title x city x month, summed by nation key before the nation is named."""
+    """Title x city x month. Orders, fewer than lines, meet the customers first; nations are named after the sum."""
     part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title"))
     sold = orders(spark, d).select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"), F.month("o_orderdate").alias("month")
@@ -89,8 +89,7 @@ def revenue_part_nation_month(spark, d):
     nation = read_table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     titled = lines(spark, d, "l_orderkey", "l_partkey").join(part, "l_partkey")
     per_nation = (
-        titled.join(sold, "l_orderkey")
-        .join(buyer, "c_custkey")
+        titled.join(sold.join(buyer, "c_custkey"), "l_orderkey")
         .groupBy("title", "n_nationkey", "month")
         .agg(F.sum("amount").alias("amount"))
     )
