@@ -153,6 +153,26 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert writes.latest_version(spark, root) == 1
 
 
+def test_stream_repeats_a_batch_that_did_not_commit(spark, tmp_path):
+    incoming, root, checkpoint = (str(tmp_path / n) for n in ("in", "state", "progress"))
+    schema = USERS + ", ts long"
+    empty = spark.createDataFrame([], USERS)
+
+    def run():
+        source = spark.readStream.schema(schema).json(incoming)
+        upsert_stream(source, empty, root, checkpoint, ["user_id"], ["level"], ["ts"]).awaitTermination()
+
+    for row in (("1", "Ann", "free", 1), ("1", "Ann", "paid", 2)):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(incoming)
+        run()
+    # As after a failure between the write of the state and its commit.
+    (tmp_path / "progress/commits/1").unlink()
+    (tmp_path / "progress/commits/.1.crc").unlink(missing_ok=True)
+    run()
+    assert writes.latest_version(spark, root) == 1
+    assert rows(writes.read_version(spark, root, 1)) == [("1", "Ann", "paid")]
+
+
 def test_stage_and_check(spark, tmp_path):
     (tmp_path / "s.csv").write_text("id,city\n1,X\n")
     (tmp_path / "e.csv").write_text("id,city\n")

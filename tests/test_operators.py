@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,28 @@ def test_contains_lookup_takes_first_label(spark):
     assert got == {"york": "A", "New York": "B", "": "A", "Paris": None, None: None, "X": "C"}
 
 
+def test_contains_lookup_against_a_loop(spark):
+    rng = random.Random(3)
+
+    def word(low, high):
+        return "".join(rng.choice("abA %_") for _ in range(rng.randint(low, high)))
+
+    labels = [(n, f"C{n}", word(0, 9)) for n in rng.sample(range(100), 40)]
+    cities = sorted({word(0, 4) for _ in range(300)})
+    expected = {
+        city: next((code for _, code, label in sorted(labels) if city.lower() in label.lower()), None) for city in cities
+    }
+    got = joins.contains_lookup(
+        spark.createDataFrame([(c,) for c in cities], "city string"),
+        "city",
+        spark.createDataFrame(labels, "line int, code string, label string"),
+        "label",
+        "code",
+        "line",
+    )
+    assert dict(rows(got)) == expected
+
+
 def test_contains_lookup_of_empty_label(spark):
     labels = spark.createDataFrame([(1, "E", "")], "line int, code string, label string")
     cities = spark.createDataFrame([("",), ("a",)], "city string")
