@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starloom.functions.keys import add_dense_keys
 from starloom.schemas import empty_table
 
 
@@ -81,6 +82,16 @@ def normalise(df: DataFrame, key, items, item_name, parent_cols) -> tuple[DataFr
     return parents, children
 
 
+def normalise_values(df: DataFrame, column, key) -> tuple[DataFrame, DataFrame]:
+    """Move the values of a column into a table of their own.
+
+    Returns that table (``key``, ``column``) with keys 1, 2, ... and ``df`` with
+    the key in place of the value. NULL stays without a key.
+    """
+    values = add_dense_keys(df.select(column).where(F.col(column).isNotNull()).distinct(), column, key)
+    return values.select(key, column), df.join(values, column, "left").drop(column)
+
+
 def denormalise(parents: DataFrame, children: DataFrame, key) -> DataFrame:
     """Parent columns repeated on each child row."""
     return children.join(parents, key)

@@ -8,6 +8,7 @@ from starloom.operators.writes import (
     latest_version,
     load_table,
     normalise,
+    normalise_values,
     read_version,
     write_csv,
     write_partitioned,
@@ -103,6 +104,15 @@ def normalise_lists(spark, d):
     return denormalise(parents, children, "key").select("key.conv_id", "key.turn", "role", "position", "line")
 
 
+@query("select p_brand, count(*) as parts, sum(p_retailprice) > 0 as priced from part group by 1")
+def normalise_brands(spark, d):
+    """Brands moved to a keyed table, then joined again by key."""
+    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_retailprice")
+    brands, keyed_parts = normalise_values(part, "p_brand", "brand_id")
+    per_key = keyed_parts.groupBy("brand_id").agg(F.count("*").alias("parts"), (F.sum("p_retailprice") > 0).alias("priced"))
+    return denormalise(brands, per_key, "brand_id").select("p_brand", "parts", "priced")
+
+
 @query("""
 select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month, count(*) as orders
 from orders where o_orderdate >= date '1996-01-01' and o_orderdate < date '1999-01-01' group by 1, 2""")

@@ -108,6 +108,13 @@ def test_normalise_and_back(spark):
     assert rows(writes.denormalise(parents, children, "id").select("album", "song")) == [("Rubber Soul", "a"), ("Rubber Soul", "b")]
 
 
+def test_normalise_values(spark):
+    df = spark.createDataFrame([(1, "Beatles"), (2, "Beatles"), (3, "Wood"), (4, None)], "album int, artist string")
+    artists, albums = writes.normalise_values(df, "artist", "artist_id")
+    assert sorted(r.artist_id for r in artists.collect()) == [1, 2] and albums.columns == ["album", "artist_id"]
+    assert rows(albums.join(artists, "artist_id", "left").select("album", "artist")) == rows(df)
+
+
 # Scheduled loads
 
 
