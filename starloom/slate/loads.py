@@ -1,6 +1,7 @@
 """Keyed loads, query tables, file formats and scheduled loads."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom.operators import upsert as keyed
 from starloom.operators.writes import (
@@ -264,3 +265,24 @@ def event_history_table(spark, d):
     events = query_tables.event_history(spark, f"{folder}/all")
     table = query_tables.session_items(events, ["length"])
     return table.select("sessionId", "itemInSession", "artist", "song")
+
+
+@query("select cast(day(ts) as integer) as day, count(*) as records from events group by 1")
+def rows_per_day_folder(spark, d):
+    """Nested folders of JSON files walked at once, rows counted per file and folder."""
+    path = work_folder(spark, "walk")
+    dated = read_table(spark, d, "events").select("event_id", F.dayofmonth("ts").alias("day"))
+    dated.hint("rebalance", "day").write.partitionBy("day").json(path)
+    scanned = files.scan_json(spark, path, "event_id long", recursive=True, pattern="*.json")
+    folder = F.regexp_extract("file", r"day=(\d+)/", 1).cast("int").alias("day")
+    return files.rows_per_file(scanned).groupBy(folder).agg(F.sum("records").alias("records"))
+
+
+@query("select event_id, user_id, event_type from events")
+def stage_json_any_case(spark, d):
+    """JSON whose keys are written in another case than the table's columns."""
+    path = work_folder(spark, "any-case")
+    read_table(spark, d, "events").select(
+        F.col("event_id").alias("Event_ID"), F.col("user_id").alias("USER_ID"), "event_type", "value"
+    ).write.json(path)
+    return files.scan_json_any_case(spark, path, StructType.fromDDL("event_id long, user_id long, event_type string"))
