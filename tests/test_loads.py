@@ -96,6 +96,19 @@ def test_partitioned_write_is_one_file_per_small_partition(spark, tmp_path):
     assert {len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("k=*")} == {1}
 
 
+def test_partitioned_write_splits_a_large_partition(spark, tmp_path):
+    df = spark.range(0, 200000, 1, 8).select(F.xxhash64("id").alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 50).otherwise(7).alias("k"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        writes.write_partitioned(df, str(tmp_path / "t"), "k")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("k=*")}
+    assert files["k=7"] == max(files.values()) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200000
+
+
 def test_csv_quotes_all(spark, tmp_path):
     writes.write_csv(spark.createDataFrame([(1, "x")], "a int, b string").coalesce(1), str(tmp_path / "c"), quote_all=True)
     assert "".join(p.read_text() for p in (tmp_path / "c").glob("*.csv")) == '"a","b"\n"1","x"\n'
