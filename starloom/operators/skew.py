@@ -43,8 +43,8 @@ def salted_join(
     """Equi-join whose hot keys are spread over ``salts`` tasks; the rows are those of a plain join.
 
     ``big`` is the side that may be skewed. Rows of its hot keys get a salt
-    from the columns in ``spread_by`` (all columns unless given) and the
-    matching rows of ``other`` are repeated once per salt; all other rows join
+    from the columns in ``spread_by`` (all columns unless given; rows equal in
+    them stay together) and the matching rows of ``other`` are repeated once per salt; all other rows join
     on the key alone. ``how`` is ``inner``, ``left``, ``left_semi`` or
     ``left_anti``.
 
