@@ -11,8 +11,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import date_key
+from starloom.functions.money import hundredths
 from starloom.operators.layout import shuffle_count, write_bucketed, write_sorted
 from starloom.operators.writes import write_csv
+from starloom.plans import ssb
 from starloom.session import build_session, read_table
 from starloom.sources.files import stage_csv
 
@@ -72,6 +75,21 @@ def main():
     )
     times["join_plain"], times["join_bucketed"] = seconds(plain), seconds(bucketed)
     shuffles = {"join_plain": shuffle_count(plain), "join_bucketed": shuffle_count(bucketed)}
+
+    # Benchmark queries with the line table laid out by date or by part, or not at all.
+    days = ssb.date_table(lines, "l_shipdate")
+    layouts = {"plain": (lines, part), "sorted": (forms["parquet_sorted"], part), "bucketed": (line_table, part_table)}
+    for name, (line_form, part_form) in layouts.items():
+        order_lines = line_form.select(
+            date_key("l_shipdate").alias("lo_orderdate"),
+            F.col("l_partkey").alias("lo_partkey"),
+            F.col("l_quantity").alias("lo_quantity"),
+            hundredths("l_extendedprice").alias("lo_extendedprice"),
+            hundredths("l_discount").alias("lo_discount"),
+        )
+        one, same = ssb.one_dimension(order_lines, days, 1997, (1, 3), 24), ssb.same_distribution(order_lines, part_form)
+        times[f"one_dim_{name}"], times[f"same_dist_{name}"] = seconds(one), seconds(same)
+        shuffles[f"same_dist_{name}"] = shuffle_count(same)
     print(json.dumps({"metric": "layouts", "unit": "sec", "queries": times, "shuffles": shuffles, "cores": int(cores)}))
     spark.stop()
 
