@@ -1,10 +1,22 @@
 """The registered queries: each applies one operator to its whole table."""
 
 
-
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, outliers, packing, quality, query, substrings
+from starloom.llm import (
+    bpe,
+    hamming,
+    html_text,
+    jaccard,
+    outliers,
+    packing,
+    preference,
+    quality,
+    query,
+    substrings,
+    warc,
+)
 from starloom.session import read_table, work_folder
 
 
@@ -59,3 +71,93 @@ def op9_ngram_jaccard(spark, d):
 def op4_packing(spark, d):
     """Length bucket and batch of every piece of every document."""
     return packing.pack(read_table(spark, d, "documents"), packing.word_tokens(F.col("text")))
+
+
+_CODE = "list_sum([case when embedding[i] >= 0 then 1::bigint << (i - {0}) else 0 end for i in range({0}, {1})])"
+
+
+@query(f"""
+with codes as (
+    select vec_id, {_CODE.format(1, 33)} as low, {_CODE.format(33, 65)} as high from embeddings
+    where vec_id is not null and embedding is not null
+), met as (
+    select q.vec_id as query_id, r.vec_id as vec_id,
+        (bit_count(xor(q.low, r.low)::bigint) + bit_count(xor(q.high, r.high)::bigint))::integer as distance
+    from codes q, codes r where q.vec_id % 20 = 0
+)
+select query_id, vec_id, distance, rank::integer as rank
+from (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from met) where rank <= 10""")
+def op2_exact_topk(spark, d):
+    """The ten nearest sign codes of every vector whose id is divisible by 20, among all vectors."""
+    vectors = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = hamming.nearest_codes(vectors, vectors.where("id % 20 = 0"))
+    return found.select("query_id", F.col("id").alias("vec_id"), "distance", "rank")
+
+
+_TURN = "'<|im_start|>' || t.role || chr(10)"
+_MASK = """case when t.role = 'assistant'
+    then length({0}) || ':0,' || (length(t.text) + 11) || ':1' else (length({0}) + length(t.text) + 11) || ':0' end""".format(_TURN)
+
+
+@query(f"""
+with clean as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), lists as (
+    select conv_id, list({{'turn': turn, 'role': role, 'text': text}} order by turn nulls first, role, text) as turns,
+        sum(case when role = 'assistant' then length(text) else 0 end) as said
+    from clean group by conv_id
+), ranked as (
+    select *, row_number() over (partition by conv_id // 2 order by said desc, conv_id) as place from lists
+), pairs as (
+    select a.conv_id as chosen_id, b.conv_id as rejected_id, a.turns as one, b.turns as other
+    from ranked a join ranked b on a.conv_id // 2 = b.conv_id // 2 and a.place = 1 and b.place = 2
+), split as (
+    select *, coalesce(list_min([i for i in range(1, greatest(len(one), len(other)) + 1)
+        if one[i] is null or other[i] is null or one[i].role <> other[i].role or one[i].text <> other[i].text]) - 1,
+        len(one))::integer as n_common
+    from pairs
+)
+select chosen_id, rejected_id, n_common,
+    array_to_string([{_TURN} || t.text || '<|im_end|>' || chr(10) for t in one[1:n_common]], '') as prompt,
+    array_to_string([{_TURN} || t.text || '<|im_end|>' || chr(10) for t in one[n_common + 1:]], '') as chosen,
+    array_to_string([{_TURN} || t.text || '<|im_end|>' || chr(10) for t in other[n_common + 1:]], '') as rejected,
+    array_to_string([{_MASK} for t in one[n_common + 1:]], ',') as chosen_mask,
+    array_to_string([{_MASK} for t in other[n_common + 1:]], ',') as rejected_mask
+from split""")
+def op8_chat_formatting(spark, d):
+    """Preference examples of the conversations 2i and 2i + 1."""
+    conversations = read_table(spark, d, "conversations")
+    return preference.preference_examples(conversations, preference.neighbour_pairs(conversations))
+
+
+@query()
+def op5_bpe(spark, d, path=None):
+    """Tokens of every document and the text they decode to, as digests."""
+    source = bpe.load(spark, path or public_tokenizers.path("word_bpe_49k.json"))
+    documents = read_table(spark, d, "documents")
+    return documents.select("doc_id", bpe.digest_column(F.col("text"), source).alias("made")).select("doc_id", "made.*")
+
+
+@query("""
+with rows as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+    from pages
+), firsts as (
+    select payload_digest, min(page_id) as first from rows where payload_bytes >= 100 group by payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+    case when first is null or first is not distinct from page_id then 'response' else 'revisit' end as record_type,
+    case when first is not distinct from page_id then null else first end as refers_to
+from rows left join firsts using (payload_digest)""")
+def op6_warc(spark, d):
+    """The records of all pages, written as archives and read back."""
+    folder = work_folder(spark, "warc")
+    warc.write_archives(read_table(spark, d, "pages"), folder)
+    pages = warc.pages_of(warc.read_archives(spark, folder))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op10_html_text(spark, d):
+    """Visible text of every page."""
+    return read_table(spark, d, "pages").select("page_id", html_text.visible_text(F.col("html")).alias("text"))
