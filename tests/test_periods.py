@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from starloom.operators.periods import flag_phase, period_average, period_counts
+from starloom.operators import periods
+from starloom.operators.periods import chunk_limits, flag_phase, period_average, period_counts
 from starloom.plans import activity
 from tests.conftest import rows
 
@@ -28,10 +29,9 @@ def log(spark):
     return spark.createDataFrame(data, SCHEMA)
 
 
-@pytest.mark.parametrize("share", [0.0005, 0.3, 1.0])
-@pytest.mark.parametrize("width", [1, 7, 25, 1000, None])
+@pytest.mark.parametrize("chunk_rows", [1, 2, 3, 1000])
 @pytest.mark.parametrize("frame", ["range", "rows"])
-def test_equals_the_single_window(log, width, frame, share):
+def test_equals_the_single_window(log, chunk_rows, frame):
     window = Window.partitionBy("userId").orderBy(F.desc("ts"), *(["id"] if frame == "rows" else []))
     if frame == "range":
         window = window.rangeBetween(Window.unboundedPreceding, 0)
@@ -39,7 +39,7 @@ def test_equals_the_single_window(log, width, frame, share):
         window = window.rowsBetween(Window.unboundedPreceding, 0)
     flag = (F.col("page") == "Home").cast("int")
     expected = log.withColumn("phase", F.sum(flag).over(window))
-    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], share, 1, width)
+    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], chunk_rows)
     assert rows(got) == rows(expected)
 
 
@@ -54,13 +54,13 @@ def test_kinds_of_time(spark, kind):
     )
     window = Window.partitionBy("u").orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("phase", F.sum((F.col("id") % 5 == 0).cast("int")).over(window))
-    assert rows(flag_phase(df, "u", "t", F.col("id") % 5 == 0, min_rows=10)) == rows(expected)
+    assert rows(flag_phase(df, "u", "t", F.col("id") % 5 == 0, chunk_rows=10)) == rows(expected)
 
 
 def test_range_and_rows_differ_on_ties(log):
     flag = F.col("page") == "Home"
-    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range", min_rows=1).select("id", "phase")))
-    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"], min_rows=1).select("id", "phase")))
+    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range", chunk_rows=1).select("id", "phase")))
+    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"], chunk_rows=1).select("id", "phase")))
     assert (by_range[3], by_rows[3]) == (1, 0)
 
 
@@ -68,19 +68,37 @@ def test_period_counts(log):
     item, marker = F.col("page") == "NextSong", F.col("page") == "Home"
     known = log.where("userId = 'u'")
     for least in (1, 1_000_000):
-        assert rows(period_counts(known, "userId", "ts", item, marker, min_rows=least)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
-        closed = period_counts(known, "userId", "ts", item, marker, closed_only=True, min_rows=least)
+        assert rows(period_counts(known, "userId", "ts", item, marker, chunk_rows=least)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
+        closed = period_counts(known, "userId", "ts", item, marker, closed_only=True, chunk_rows=least)
         assert rows(closed) == [("u", 1, 1)]
     assert period_average(known, "userId", "ts", item, marker).first()[0] == pytest.approx(4 / 3)
 
 
 def test_no_window_holds_a_whole_user(log):
-    """A large user's rows are windowed per chunk; only chunk totals are windowed per user."""
-    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range", min_rows=1)
+    """Rows are windowed per chunk; only chunk totals are windowed per user."""
+    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range", chunk_rows=1)
     windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
     assert len(windows) == 2
     assert "_chunk#" in windows[0].split("], [")[1] and "_flags#" in windows[1]
-    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def chunk_sizes(df, chunk_rows):
+    cut = df.join(chunk_limits(df, "u", F.col("t"), chunk_rows), F.col("u").eqNullSafe(F.col("_user")), "left")
+    return {(r.u, r.chunk): r["count"] for r in cut.groupBy("u", periods._chunk(F.col("t")).alias("chunk")).count().collect()}
+
+
+def test_a_burst_is_cut_by_rows_not_by_time(spark):
+    """95 % of a user's rows lie in a short time; a user with few of all rows is cut as well."""
+    burst = spark.range(20_000).select(F.lit(1).alias("u"), F.when(F.col("id") < 19_000, F.col("id")).otherwise(F.col("id") * 10**6).alias("t"))
+    small = spark.range(300).select(F.lit(2).alias("u"), "id")
+    sizes = chunk_sizes(burst.union(small), 100)
+    assert max(sizes.values()) <= 200 and sum(sizes.values()) == 20_300
+    assert len([k for k in sizes if k[0] == 1]) >= 150 and len([k for k in sizes if k[0] == 2]) == 3
+
+
+def test_one_time_stays_in_one_chunk(spark):
+    df = spark.range(1000).select(F.lit(1).alias("u"), (F.col("id") % 3).alias("t"))
+    assert len(chunk_sizes(df, 10)) == 3
 
 
 def test_activity(spark):
