@@ -5,7 +5,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.operators.clean import first_per_key
-from starloom.operators.skew import salted_join
 
 
 def join_chain(first: DataFrame, *steps, how="inner") -> DataFrame:
@@ -30,8 +29,6 @@ def match_plays(
     on=("title", "artist", "duration"),
     duration_scale=None,
     one_match=False,
-    salts=0,
-    min_rows=1_000_000,
 ) -> DataFrame:
     """Plays with the ``song_id`` and ``artist_id`` of the song they name.
 
@@ -40,7 +37,7 @@ def match_plays(
     ``duration_scale`` rounds durations first (0 = whole seconds, halves up),
     ``one_match`` keeps the song with the smallest id where several agree. A
     popular song may hold much of the log: Spark splits such a join while it
-    runs, and ``salts`` spreads it beforehand at the price of one more read.
+    runs.
     """
     names = {"title": ("song", "title"), "artist": ("artist", "artist_name"), "duration": ("length", "duration")}
 
@@ -55,8 +52,7 @@ def match_plays(
     if one_match:
         songs = first_per_key(songs, keys, ["song_id", "artist_id"])
     plays = keyed(plays, 0)
-    matched = salted_join(plays, songs, keys, how, salts=salts, min_rows=min_rows) if salts else plays.join(songs, keys, how)
-    return matched.drop(*keys)
+    return plays.join(songs, keys, how).drop(*keys)
 
 
 def anti_values(universe: DataFrame, seen: DataFrame, on) -> DataFrame:

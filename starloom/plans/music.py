@@ -44,15 +44,12 @@ def song_plays(log: DataFrame) -> DataFrame:
     return log.where("page = 'NextSong'")
 
 
-def songplays(log: DataFrame, songs: DataFrame, variant: str, salts=0, min_rows=1_000_000) -> DataFrame:
-    """The fact table. Its key is the MD5 of session and time; see README for ties.
-
-    ``salts`` spreads popular songs in the join, see ``match_plays``.
-    """
+def songplays(log: DataFrame, songs: DataFrame, variant: str) -> DataFrame:
+    """The fact table. Its key is the MD5 of session and time; see README for ties."""
     v = VARIANTS[variant]
     start = dates.from_millis_whole_seconds("ts") if v.whole_seconds else dates.from_millis("ts")
     plays = song_plays(log).withColumn("start_time", start)
-    matched = match_plays(plays, songs, v.how, v.on, v.duration_scale, v.one_match, salts, min_rows).select(
+    matched = match_plays(plays, songs, v.how, v.on, v.duration_scale, v.one_match).select(
         text.md5_key("sessionId", "start_time").alias("songplay_id"),
         "start_time",
         F.col("userId").alias("user_id"),

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import aggregate, clean, cubes, joins, quality
-from starloom.operators.skew import hot_hashes, salted_join
 from tests.conftest import rows
 
 
@@ -47,43 +46,6 @@ def test_ranges(spark):
 # Joins
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int").alias("k"), "id")
-    big = hot.unionByName(spark.range(300).select(F.lit(None).cast("int").alias("k"), (F.col("id") + 5000).alias("id")))
-    other = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (None, "n")], "k int, v string")
-    assert rows(salted_join(big, other, "k", how, salts=8, min_rows=1)) == rows(big.join(other, "k", how))
-
-
-def test_salted_join_spreads_the_hot_key(spark):
-    big = spark.range(10000).select(F.lit(1).alias("k"), "id")
-    assert len(hot_hashes(big, ["k"], 0.01, 1)) == 1
-    other = spark.createDataFrame([(1, "a")], "k int, v string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
-    try:
-        joined = salted_join(big, other, "k", salts=64, min_rows=1)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", True)
-    assert sum(sizes) == 10000 and max(sizes) < 4000
-
-
-def test_salted_join_refuses_mixed_key_types(spark):
-    with pytest.raises(ValueError):
-        salted_join(spark.range(3).withColumnRenamed("id", "k"), spark.createDataFrame([(1,)], "k int"), "k")
-
-
-def test_hot_hashes(spark):
-    assert hot_hashes(spark.range(0), ["id"], 0.01, 1) == {}
-    assert hot_hashes(spark.range(10000), ["id"], 0.01, 1) == {}
-    mixed = spark.range(10000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert hot_hashes(mixed, ["k"], 0.01) == {}  # far below the default number of rows
-    found = mixed.where(F.xxhash64("k").isin(list(hot_hashes(mixed, ["k"], 0.01, 1)))).select("k").distinct()
-    assert rows(found) == [(-1,)]
-
-
 def test_contains_lookup_takes_first_label(spark):
     labels = spark.createDataFrame(
         [(2, "B", "NEW YORK, NY  "), (1, "A", "York Harbor"), (3, "C", "x")], "line int, code string, label string"
