@@ -91,9 +91,9 @@ def test_money(spark):
 
 def test_dense_keys_are_complete_and_stable(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1009).alias("k"))
-    keyed = add_dense_keys(df, "k", "n", start=5, buckets=16)
+    keyed = add_dense_keys(df, "k", "n", start=5, bucket_rows=30)
     assert sorted(r.n for r in keyed.collect()) == list(range(5, 1005))
-    again = add_dense_keys(df.repartition(3), "k", "n", start=5, buckets=16)
+    again = add_dense_keys(df.repartition(3), "k", "n", start=5, bucket_rows=30)
     assert rows(keyed) == rows(again)
 
 
