@@ -64,6 +64,21 @@ def drill(lineorder, dwdate, customer, supplier, cities, year_month) -> DataFram
     )
 
 
+def drill_orders(lineorder, orders, customer, supplier, cities, year_month) -> DataFrame:
+    """``drill`` where the date table is one of orders that also name the customer."""
+    month = orders.where(F.col("d_yearmonth") == year_month).select("d_datekey", "d_year", "lo_custkey")
+    buyers = customer.where(F.col("c_city").isin(cities)).select("c_custkey", "c_city")
+    sellers = supplier.where(F.col("s_city").isin(cities)).select("s_suppkey", "s_city")
+    bought = month.join(buyers, F.col("lo_custkey") == F.col("c_custkey"))
+    return (
+        lineorder.join(sellers, F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join(bought, F.col("lo_orderdate") == F.col("d_datekey"))
+        .groupBy("c_city", "s_city", "d_year")
+        .agg(F.sum("lo_revenue").alias("revenue"))
+        .orderBy("d_year", F.desc("revenue"), "c_city", "s_city")
+    )
+
+
 def same_distribution(lineorder, part) -> DataFrame:
     """Discounted revenue per day of the lines whose part is known."""
     return (
