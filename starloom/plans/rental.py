@@ -154,7 +154,7 @@ def actor_info(actor, film_actor, film_category, category, film) -> DataFrame:
         .join(category.select("category_id", "name"), "category_id")
     )
     films = concat_by(played, ["actor_id", "name"], F.col("title"), "titles")
-    lists = concat_by(films, ["actor_id"], F.concat("name", F.lit(": "), "titles"), "film_info", distinct=True)
+    lists = concat_by(films, ["actor_id"], F.concat("name", F.lit(": "), "titles"), "film_info")
     return actor.select("actor_id", "first_name", "last_name").join(lists, "actor_id", "left")
 
 

@@ -71,16 +71,19 @@ def fact_sales(spark, d):
 
 
 @query("""
-select count(*) as rows, min(n) as first_key, max(n) as last_key, count(distinct n) as keys
-from (select row_number() over (order by o_orderkey) as n from orders)""")
+select count(*) as rows, min(n) as first_key, max(n) as last_key, count(distinct n) as keys,
+    count(distinct o_orderkey) as orders, cast(sum(n) as bigint) as key_sum
+from (select o_orderkey, row_number() over (order by o_orderkey) as n from orders)""")
 def dense_order_keys(spark, d):
-    """Surrogate keys 1..n without a global sort: complete and without repeats."""
+    """Surrogate keys 1..n without a global sort: complete, without repeats, one for each order."""
     keyed = add_dense_keys(roles.orders(spark, d).select("o_orderkey"), "o_orderkey", "n")
     return keyed.agg(
         F.count("*").alias("rows"),
         F.min("n").alias("first_key"),
         F.max("n").alias("last_key"),
         F.count_distinct("n").alias("keys"),
+        F.count_distinct("o_orderkey").alias("orders"),
+        F.sum("n").alias("key_sum"),
     )
 
 
@@ -162,7 +165,7 @@ def actor_info(spark, d):
     part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name")
     sold = read_table(spark, d, "lineitem").select("l_partkey", "l_suppkey").join(part, "l_partkey")
     films = concat_by(sold, ["l_suppkey", "p_brand"], F.col("p_name"), "titles", distinct=True)
-    lists = concat_by(films, ["l_suppkey"], F.concat_ws(": ", "p_brand", "titles"), "film_info", distinct=True)
+    lists = concat_by(films, ["l_suppkey"], F.concat_ws(": ", "p_brand", "titles"), "film_info")
     return (
         read_table(spark, d, "supplier")
         .select(F.col("s_suppkey").alias("actor_id"), F.col("s_name").alias("first_name"))

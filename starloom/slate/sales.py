@@ -210,9 +210,13 @@ def top_part_with_ties(spark, d):
 select 'region' as "table", count(*) as records from region union all select 'nation', count(*) from nation
 union all select 'customer', count(*) from customer union all select 'supplier', count(*) from supplier
 union all select 'part', count(*) from part union all select 'orders', count(*) from orders
-union all select 'lineitem', count(*) from lineitem union all select 'events', count(*) from events""")
+union all select 'lineitem', count(*) from lineitem union all select 'events', count(*) from events
+union all select 'documents', count(*) from documents union all select 'embeddings', count(*) from embeddings
+union all select 'pages', count(*) from pages union all select 'benchmark', count(*) from benchmark
+union all select 'labels', count(*) from labels union all select 'conversations', count(*) from conversations""")
 def table_counts_all(spark, d):
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    names += ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
     return table_counts({name: read_table(spark, d, name) for name in names})
 
 
