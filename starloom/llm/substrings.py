@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import WordHasher, mix, ngram_hashes, split_words
+from starloom.llm.words import WordHasher, mix, ngram_hashes, split_words, slices
+from starloom.session import work_folder
 
 WINDOW = 35
 SEED = 8
@@ -48,11 +49,12 @@ _RESULT = "n_words bigint, n_removed bigint, kept string, spans array<struct<fir
 
 
 def cut_blocks(hashes, window=WINDOW, seed=SEED):
-    """First windows and seed positions of the blocks of a text, given its word hashes."""
+    """First windows and seed hashes of the blocks of a text, given its word hashes."""
     firsts, seeds = [], []
     for start in range(0, len(hashes) - window + 1, _STRETCH):
         part = hashes[start : start + _STRETCH + window - 1]
-        keys = (ngram_hashes(part, seed) & ~_POSITION) | np.arange(len(part) - seed + 1, dtype=np.uint64)
+        grams = ngram_hashes(part, seed)
+        keys = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
         # Least key of each run of window - seed + 1, by doubling.
         least, width, wanted = keys, 1, window - seed + 1
         while 2 * width <= wanted:
@@ -63,9 +65,9 @@ def cut_blocks(hashes, window=WINDOW, seed=SEED):
         at = (least & _POSITION).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         firsts.append(first + start)
-        seeds.append(at[first] + start)
+        seeds.append(grams[at[first]])
     if not firsts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(firsts), np.concatenate(seeds)
 
 
@@ -103,6 +105,11 @@ def _rows(batch, *names):
         yield [c[i].as_py() for c in columns]
 
 
+def _written(df, folder, name):
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+
 def _signed(parts, kind=np.int64):
     values = np.concatenate(parts) if parts else np.zeros(0, kind)
     return pa.array(values.astype(kind, copy=False) if values.dtype.itemsize != np.dtype(kind).itemsize else values.view(kind))
@@ -111,19 +118,19 @@ def _signed(parts, kind=np.int64):
 def _emit_blocks(window, seed):
     def emit(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             k1, k2, number, seeds, content = [], [], [], [], []
             for a, b, text in _rows(batch, "k1", "k2", "text"):
                 words = split_words(text)
                 if len(words) < window:
                     continue
                 hashes = hasher.hashes(words)
-                first, at = cut_blocks(hashes, window, seed)
+                first, grams = cut_blocks(hashes, window, seed)
                 end = np.concatenate((first[1:], [len(words) - window + 1])) + window - 1
                 k1.append(np.full(len(first), a))
                 k2.append(np.full(len(first), b, np.int32))
                 number.append(np.arange(len(first), dtype=np.int32))
-                seeds.append(ngram_hashes(hashes, seed)[at])
+                seeds.append(grams)
                 content.append(run_hashes(hashes, first, end))
             columns = [_signed(k1), _signed(k2, np.int32), _signed(number, np.int32), _signed(seeds), _signed(content)]
             yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "block", "seed", "content"])
@@ -148,7 +155,7 @@ def _block_windows(hashes, blocks, window, seed):
 def _emit_windows(window, seed):
     def emit(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             k1, k2, at, h1, h2 = [], [], [], [], []
             for a, b, text, edges in _rows(batch, "k1", "k2", "text", "edges"):
                 hashes = hasher.hashes(split_words(text))
@@ -193,7 +200,7 @@ def _kept_words(words, spans):
 def _apply(window, seed, digest):
     def apply(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             totals, removed, texts, all_spans = [], [], [], []
             for text, copies, checked in _rows(batch, "text", "copies", "checked"):
                 words = split_words(text)
@@ -233,8 +240,13 @@ def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -
         F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"), "text", row.alias("row")
     )
     keys = ["k1", "k2"]
-    blocks = keyed.select(*keys, "text").mapInArrow(
-        _emit_blocks(window, seed), "k1 bigint, k2 int, block int, seed bigint, content bigint"
+    folder = work_folder(documents.sparkSession, "substrings")
+    blocks = _written(
+        keyed.select(*keys, "text").mapInArrow(
+            _emit_blocks(window, seed), "k1 bigint, k2 int, block int, seed bigint, content bigint"
+        ),
+        folder,
+        "blocks",
     )
     index = (
         blocks.groupBy("seed")
@@ -242,9 +254,10 @@ def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -
         .where("n > 1")
         .select("seed", (F.col("low") == F.col("high")).alias("whole"))
     )
-    hits = blocks.join(index.hint("merge"), "seed")
+    mixed_only = [F.when(~F.col("whole"), F.col(c)).alias(c) for c in ("seed", "content")]
+    hits = _written(blocks.join(index.hint("merge"), "seed").select(*keys, "block", *mixed_only), folder, "hits")
     # Seeds in unequal blocks: equal blocks are copies, and one of each content stands for its windows.
-    mixed = hits.where(~F.col("whole"))
+    mixed = hits.where("seed is not null")
     place = F.struct(*keys, "block")
     contents = mixed.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     judged = mixed.join(contents.hint("merge"), ["seed", "content"]).select(
@@ -252,11 +265,13 @@ def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -
         F.when(F.col("n") > 1, F.col("block")).alias("copy"),
         F.when((F.col("n") == 1) | (place == F.col("first")), F.col("block")).alias("edge"),
     )
-    whole = hits.where("whole").select(*keys, F.col("block").alias("copy"), F.lit(None).cast("int").alias("edge"))
-    found = (
+    whole = hits.where("seed is null").select(*keys, F.col("block").alias("copy"), F.lit(None).cast("int").alias("edge"))
+    found = _written(
         whole.union(judged)
         .groupBy(*keys)
-        .agg(F.collect_set("copy").alias("copies"), F.collect_set("edge").alias("edges"))
+        .agg(F.collect_set("copy").alias("copies"), F.collect_set("edge").alias("edges")),
+        folder,
+        "found",
     )
     # Both joins with the texts ask for the same columns, so that the texts are shuffled once.
     edges = found.where(F.size("edges") > 0).select(*keys, "edges")

@@ -7,7 +7,8 @@ A word is a run of bytes other than space and the controls 9 to 13, that is
 import numpy as np
 import xxhash
 
-_KNOWN_LIMIT = 400_000
+_KNOWN_LIMIT = 300_000
+_SLICE = 500
 
 
 def split_words(text):
@@ -16,12 +17,12 @@ def split_words(text):
 
 
 class WordHasher(dict):
-    """Word -> 64-bit hash. Remembers a bounded number of words."""
+    """Word -> 64-bit hash. Remembers a bounded number of words, the first ones, among them all frequent ones."""
 
     def __missing__(self, word):
-        if len(self) >= _KNOWN_LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < _KNOWN_LIMIT:
+            self[word] = value
         return value
 
     def hashes(self, words):
@@ -46,3 +47,10 @@ def ngram_hashes(words, n, seed=0x9E3779B97F4A7C15):
         for i in range(n):
             total = total * base + words[i : i + count]
         return mix(total)
+
+
+def slices(batches):
+    """Arrow batches in pieces of a bounded number of rows, so that what is made of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(start, _SLICE)
