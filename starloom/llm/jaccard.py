@@ -38,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import WordHasher, mix, ngram_hashes, split_words
+from starloom.llm.words import WordHasher, mix, ngram_hashes, slices, split_words
 from starloom.session import work_folder
 
 SHINGLE = 3
 #: Least similarity, in hundredths.
 LEAST = 90
+#: Most shared signatures (8 bytes each) that are broadcast.
+BROADCAST_ROWS = 2_000_000
 
 
 def shingle_set(text, hasher, size=SHINGLE):
@@ -147,7 +149,7 @@ def _texts(batch):
 def _describe(size):
     def describe(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             nodes, counts = [], []
             for text in _texts(batch):
                 shingles = shingle_set(text, hasher, size)
@@ -162,7 +164,7 @@ def _describe(size):
 def _emit_signatures(size, bands, plan):
     def emit(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             sig, node, n, deletion = [], [], [], []
             for text in _texts(batch):
                 shingles = shingle_set(text, hasher, size)
@@ -186,7 +188,7 @@ def _emit_signatures(size, bands, plan):
 def _emit_sets(size):
     def emit(batches):
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text, hasher, size) for text in _texts(batch)]
             right = pa.array([set_id(m) == n.as_py() for m, n in zip(sets, batch.column(0))], pa.bool_())
             members = pa.array([m.tobytes() for m in sets], pa.binary())
@@ -205,7 +207,7 @@ def linked(a, b, least=LEAST):
 
 def _verify(least):
     def verify(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keep = np.zeros(batch.num_rows, bool)
             a, b = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
@@ -221,6 +223,12 @@ def _written(df, folder, name):
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def _fingerprint(edges):
+    """Number of edges and an exact sum of their hashes."""
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
+    return tuple(edges.agg(F.count(F.lit(1)), total).first())
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
     """``node, component`` (least node) for the nodes of undirected links ``a, b``.
 
@@ -230,19 +238,16 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     edges = _written(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), folder, "edges0"
     )
-    step = 0
-    while True:
+    step, state = 0, None
+    while state != (state := _fingerprint(edges)):
         step += 1
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(least, "u")
-        small = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        after = _written(small.distinct(), folder, f"edges{step}")
-        if not (after.exceptAll(edges).limit(1).count() or edges.exceptAll(after).limit(1).count()):
-            break
-        edges = after
+        met = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = met.union(least.select("u", F.col("m").alias("v")))
+        edges = _written(small.distinct(), folder, f"edges{step}")
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
@@ -255,6 +260,100 @@ def _links(pairs, sets, least):
     return both.mapInArrow(_verify(least), "a bigint, b bigint")
 
 
+_MEETING = ["family", "block", "chunk", "role", "node", "component", "members"]
+#: Sets that are held at once, and sets that stream past them in a task.
+_BLOCK, _CHUNK = 256, 50_000
+
+
+def _meet(least):
+    """Rows sorted by family, block and chunk, the held sets first -> links into other components."""
+
+    def meet(batches):
+        key, held, index = None, [], None
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in _MEETING[:-1]]
+            members = batch.column(batch.schema.get_field_index("members"))
+            for i, (family, block, chunk, role, node, component) in enumerate(zip(*columns)):
+                if (family, block, chunk) != key:
+                    key, held, index = (family, block, chunk), [], None
+                values = np.frombuffer(members[i].as_buffer(), np.uint64)
+                if role == 0:
+                    held.append((node, component, values.copy()))
+                else:
+                    index = index or _Held(held)
+                    for other in index.linked(values, component, least):
+                        a.append(node)
+                        b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return meet
+
+
+class _Held:
+    """Inverted index of a block of sets."""
+
+    def __init__(self, held):
+        self.node, self.component = ([r[i] for r in held] for i in range(2))
+        self.size = np.array([len(r[2]) for r in held])
+        values = np.concatenate([r[2] for r in held])
+        order = np.argsort(values, kind="stable")
+        self.owner = np.repeat(np.arange(len(held)), self.size)[order]
+        self.value, self.start = np.unique(values[order], return_index=True)
+        self.end = np.concatenate((self.start[1:], [len(values)]))
+        self.known = set()
+
+    def linked(self, values, component, least):
+        """Held sets of other components that link with a set; one for each pair of components."""
+        at = np.minimum(np.searchsorted(self.value, values), len(self.value) - 1)
+        at = at[self.value[at] == values]
+        length = self.end[at] - self.start[at]
+        places = np.repeat(self.start[at] - np.concatenate(([0], length.cumsum()[:-1])), length) + np.arange(length.sum())
+        common = np.bincount(self.owner[places], minlength=len(self.size))
+        for i in np.flatnonzero(100 * common >= least * (self.size + len(values) - common)):
+            pair = component, self.component[i]
+            if pair[0] != pair[1] and pair not in self.known:
+                self.known.add(pair)
+                yield self.node[i]
+
+
+def _across(labelled, sets, least, folder):
+    """Links between sets that share a signature and lie in different components.
+
+    A set outside the largest component of one of its signatures is held in a
+    block of its family (the least such component); all members of its
+    signatures stream past the block, each once.
+    """
+    counts = labelled.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    apart = largest.where("parts > 1").select("sig", F.col("top.component").alias("main"))
+    members = _written(labelled.join(apart.hint("merge"), "sig").select("sig", "node", "component", "main"), folder, "apart")
+    outside = members.where("component <> main")
+    owners = outside.groupBy("node").agg(F.min("main").alias("family"), F.min("component").alias("component"))
+    blocks = owners.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+    held = _written(owners.join(blocks.hint("merge"), "family").select("family", block, "node", "component"), folder, "held")
+    touched = outside.select("sig", "node").join(held.drop("component").hint("merge"), "node")
+    stream = _written(
+        touched.select("sig", "family", "block")
+        .distinct()
+        .join(members.select("sig", "node", "component").hint("merge"), "sig")
+        .select("family", "block", "node", "component")
+        .distinct(),
+        folder,
+        "stream",
+    )
+    place = ["family", "block"]
+    chunks = stream.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / _CHUNK).alias("chunks")).hint("merge")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("chunk")
+    chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).alias("chunk")
+    first = held.join(chunks, place).select(*place, every, F.lit(0).alias("role"), "node", "component")
+    after = stream.join(chunks, place).select(*place, chunk, F.lit(1).alias("role"), "node", "component")
+    placed = first.union(after).join(sets.hint("merge"), "node").select(*_MEETING)
+    dealt = placed.repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
+    return dealt.mapInArrow(_meet(least), "a bigint, b bigint").distinct()
+
+
 def describe(documents: DataFrame, folder, size=SHINGLE) -> DataFrame:
     """Written table of ``k1, k2`` (key of the row), ``doc_id, node, n``."""
     schema = T.StructType(
@@ -281,13 +380,17 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     signed = documents.select("text").mapInArrow(
         _emit_signatures(size, bands, plan), "sig bigint, node bigint, n int, deletion boolean"
     )
-    shared = (
+    shared = _written(
         signed.groupBy("sig")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("deletion").alias("deletion"))
         .where("low <> high and not deletion")
-        .select("sig")
+        .select("sig"),
+        folder,
+        "shared",
     )
-    met = _written(signed.join(shared.hint("merge"), "sig").distinct(), folder, "met")
+    # Few of all signatures are shared. Up to a checked number they are broadcast; beyond it, the signatures are shuffled again.
+    way = "broadcast" if shared.count() <= BROADCAST_ROWS else "merge"
+    met = _written(signed.join(shared.hint(way), "sig").distinct(), folder, "met")
     degrees = met.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     firsts = (
         rows.join(degrees.hint("merge"), "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("row"))
@@ -308,28 +411,10 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     tested = _written(stars.select(*ends).distinct(), folder, "stars")
     first = components(_links(tested, sets, least), f"{folder}/first")
 
-    # Where a signature's members are still apart, every pair across components is verified.
     labelled = met.join(first.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = (
-        labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    ).select("sig")
-    left = labelled.join(apart.hint("merge"), "sig")
-    right = left.select(
-        "sig",
-        F.col("node").alias("to"),
-        F.col("n").alias("m"),
-        F.col("deletion").alias("to_deletion"),
-        F.col("component").alias("to_component"),
-    )
-    across = (
-        left.join(right.hint("merge"), "sig")
-        .where("component < to_component and not (deletion and to_deletion)")
-        .where(similar)
-        .select(*ends)
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    found = _links(across, sets, least).select("a", "b")
+    found = _written(_across(labelled, sets, least, folder), folder, "across")
+    if found.isEmpty():
+        return first
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)
     return components(joined, f"{folder}/second")
 
