@@ -15,7 +15,9 @@ Defined results: neighbours are ordered by distance, then id; a query is its own
 neighbour if it is among the rows; rows with a null id or vector or an empty
 vector, or a vector with a null or NaN component, take no part; vectors of
 different length are never compared; with fewer than ``k`` rows all are
-returned. Repeated rows count once for each repetition. Extra columns are not read.
+returned. Repeated rows count once for each repetition, repeated queries are one;
+a query id names one vector (several would share one list). Extra columns are
+not read.
 """
 
 import heapq
@@ -143,7 +145,7 @@ def nearest_codes(vectors: DataFrame, queries: DataFrame, k=10, block_rows=BLOCK
     first = Window.partitionBy("bits", "code").orderBy("id")
     few = coded(vectors).withColumn("n", F.row_number().over(first)).where(F.col("n") <= k)
     entries = few.groupBy("bits", "code").agg(F.collect_list("id").alias("ids"))
-    asked = coded(queries)
+    asked = coded(queries).dropDuplicates(["id", "bits", "code"])
     blocks = max(1, -(-vectors.count() // block_rows))
     chunks = max(1, -(-queries.count() // CHUNK_QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

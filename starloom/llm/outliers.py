@@ -287,7 +287,7 @@ def judge(table: DataFrame, estimates: DataFrame) -> DataFrame:
     judged = table.withColumn("base_failed", base_failed())
     x = {f"x{i}": c for i, c in enumerate(vector())}
     judged = judged.withColumns(x).join(estimates.select("lang", "source", "centre", "precision"), ["lang", "source"], "left")
-    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), F.sqrt(distance())))
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed") & F.col("precision").isNotNull(), F.sqrt(distance())))
     limit = float(np.sqrt(_chi_square_quantile(CUTOFF, _P)))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
     return judged.withColumn("kept", kept).drop("centre", "precision", *x)

@@ -34,7 +34,9 @@ def vectors(n, bits, seed=0):
 
 def test_blocks_and_lengths(spark):
     rows = vectors(300, 64) + [(1000 + i, v) for i, v in vectors(60, 20, 1)] + [(2000, [1.0])]
-    check(spark, rows, rows[::20] + rows[-1:], block_rows=70)
+    check(spark, rows, rows[::20], block_rows=70)
+    frames = [spark.createDataFrame(x, VECTOR) for x in (rows, rows[:2] * 3)]
+    assert hamming.nearest_codes(*frames, k=4).count() == 8
 
 
 def test_ties_copies_and_odd_rows(spark):
