@@ -193,6 +193,24 @@ def test_stream_repeats_a_batch_that_did_not_commit(spark, tmp_path):
     assert rows(writes.read_version(spark, root, 1)) == [("1", "Ann", "paid")]
 
 
+def test_stream_with_a_new_checkpoint_goes_on_from_the_newest_version(spark, tmp_path):
+    incoming, root = (str(tmp_path / n) for n in ("in", "state"))
+    schema = USERS + ", ts long"
+    empty = spark.createDataFrame([], USERS)
+
+    def arrive_and_run(row, checkpoint):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(incoming)
+        source = spark.readStream.schema(schema).json(incoming)
+        progress = str(tmp_path / checkpoint)
+        upsert_stream(source, empty, root, progress, ["user_id"], ["level"], ["ts"]).awaitTermination()
+
+    arrive_and_run(("1", "Ann", "free", 1), "first")
+    arrive_and_run(("2", "Bob", "free", 2), "first")
+    arrive_and_run(("3", "Cy", "free", 3), "second")
+    newest = writes.read_version(spark, root, writes.latest_version(spark, root))
+    assert [r[0] for r in rows(newest.select("user_id"))] == ["1", "2", "3"]
+
+
 def test_stage_and_check(spark, tmp_path):
     (tmp_path / "s.csv").write_text("id,city\n1,X\n")
     (tmp_path / "e.csv").write_text("id,city\n")
