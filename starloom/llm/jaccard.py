@@ -45,7 +45,7 @@ SHINGLE = 3
 #: Least similarity, in hundredths.
 LEAST = 90
 #: Most shared signatures (8 bytes each) that are broadcast.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 3_000_000
 
 
 def shingle_set(text, hasher, size=SHINGLE):
