@@ -10,6 +10,7 @@ import os
 import time
 
 import pyspark
+from pyspark.sql import Observation, functions as F
 
 from starloom.session import build_session
 from starloom.slate import load_all
@@ -58,13 +59,15 @@ def main():
     queries, _ = load_all()
     # Start-up cost (class loading, first code generation) is not a query's.
     queries["top_nations_revenue"](spark, folder).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    seconds, rows = {}, {}
     for name in QUERIES:
         times = []
         for _ in range(runs):
-            started = time.perf_counter()
-            queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+            started, counted = time.perf_counter(), Observation()
+            result = queries[name](spark, folder).observe(counted, F.count(F.lit(1)).alias("rows"))
+            result.write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - started)
+            rows[name] = counted.get["rows"]
         seconds[name] = round(min(times), 3)
     print(
         json.dumps(
@@ -73,6 +76,7 @@ def main():
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows": rows,
                 "sf": os.path.basename(folder.rstrip("/")),
                 "cores": int(cores),
                 "spark": pyspark.__version__,
