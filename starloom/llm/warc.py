@@ -36,6 +36,7 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _END = b"\r\n\r\n"
 _NO_RECORD = gzip.compress(b"", mtime=0)
 _MEMBER = b"\x1f\x8b\x08"
+_BITE = 1 << 13
 _START = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r?\n")
 _VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 
@@ -126,14 +127,18 @@ def parse_record(data, at=0):
 
 def read_member(data, at):
     """``(content, end)`` of the gzip member at a place."""
-    machine = zlib.decompressobj(31)
-    try:
-        content = machine.decompress(memoryview(data)[at:]) + machine.flush()
-    except zlib.error as problem:
-        raise BadRecord("member checksum or data") from problem
-    if not machine.eof:
-        raise BadRecord("member without end")
-    return content, len(data) - len(machine.unused_data)
+    machine, parts = zlib.decompressobj(31), []
+    while not machine.eof:
+        # Bounded bites: what a member leaves over is copied.
+        bite = data[at : at + _BITE]
+        if not bite:
+            raise BadRecord("member without end")
+        try:
+            parts.append(machine.decompress(bite))
+        except zlib.error as problem:
+            raise BadRecord("member checksum or data") from problem
+        at += len(bite)
+    return b"".join(parts), at - len(machine.unused_data)
 
 
 def _at(data, at):
