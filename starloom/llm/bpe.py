@@ -10,7 +10,8 @@ what stands after a final boundary is merged independently of what was before.
 *Encoding.* A text is read in slices that end at a space, normalised and cut into
 pre-tokens. Inside a pre-token the transducer holds a buffer of bounded length:
 tokens that end before the lookahead are emitted, the rest waits for more. Merges
-of short pre-tokens are remembered in a table of bounded size.
+of short pre-tokens are remembered in a table of bounded size, which the frequent
+ones enter first.
 
 *Decoding.* A state machine takes ids one by one. For a vocabulary without a
 decoder, token strings are joined by spaces, as its library does; with a
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 _SLICE = 1 << 16
 _BUFFER = 4096
-_KNOWN_LIMIT = 200_000
+_KNOWN_LIMIT = 400_000
 _KNOWN_LENGTH = 48
 
 
@@ -97,12 +98,15 @@ class Transducer:
         """Tokens of a symbol sequence: the best-ranked pair first, the leftmost of equals."""
         rank = self.rank
         if len(symbols) <= 32:
-            while len(symbols) > 1:
-                best = min((rank.get(p, _NEVER), i) for i, p in enumerate(pairwise(symbols)))
-                if best[0] == _NEVER:
-                    break
-                i = best[1]
+            ranks = [rank.get(p, _NEVER) for p in pairwise(symbols)]
+            while ranks and (best := min(ranks)) != _NEVER:
+                i = ranks.index(best)
                 symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = rank.get((symbols[i - 1], symbols[i]), _NEVER)
+                if i < len(ranks):
+                    ranks[i] = rank.get((symbols[i], symbols[i + 1]), _NEVER)
             return symbols
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         symbols.append(None)
@@ -156,9 +160,8 @@ class Transducer:
         tokens = list(self.word_tokens(word))
         found = len(tokens), " ".join(str(self.vocabulary[t]) for t in tokens), " ".join(tokens)
         if len(word) <= _KNOWN_LENGTH:
-            if len(self.known) >= _KNOWN_LIMIT:
-                self.known.clear()
-            self.known[word] = found
+            if len(self.known) < _KNOWN_LIMIT:
+                self.known[word] = found
         return found
 
     def pretokens(self, text):
