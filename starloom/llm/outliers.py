@@ -34,10 +34,11 @@ MIN_GROUP = 100
 #: Share of a group that the concentration steps keep.
 CORE = 0.75
 STEPS = 5
-#: Share of normal vectors inside the cut-off distance.
-CUTOFF = 1 - 1e-9
-#: Smallest standard deviation of each component, in thousandths.
-FLOORS = (60.0, 60.0, 200.0, 120.0)
+#: Share of normal vectors inside the cut-off distance (5.78).
+CUTOFF = 1 - 1e-6
+#: Smallest standard deviation of each component, in thousandths. Cut-off distance times floor is less than the
+#: component can reach (1000 for repeated lines, 707 for repeated words under the base rule), so each can reject alone.
+FLOORS = (60.0, 60.0, 140.0, 100.0)
 
 _P = len(FLOORS)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]

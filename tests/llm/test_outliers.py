@@ -51,6 +51,19 @@ def test_outliers_go_and_clean_texts_stay(documents):
     assert all(rows[i].base_failed and not rows[i].kept for i in (2000, 2001, 2002))
 
 
+def test_a_text_that_only_repeats_lines_or_words_goes(documents):
+    draw = random.Random(7)
+    names = prose(500, 40).split()
+    lines = "\n".join(names + draw.choices(names, k=760))
+    words = (prose(501, 102) + " ") + " ".join(prose(502, 5).split() * 20)
+    counts = [outliers.base_statistics(t) for t in (lines, words)]
+    assert counts[0][3] * 100 >= 94 * counts[0][5] and counts[0][4] * 20 <= counts[0][0]
+    assert counts[1][3] == 0 and 48 * counts[1][0] <= 100 * counts[1][4] <= 50 * counts[1][0]
+    rows = {r.doc_id: r for r in outliers.quality_rules(documents([(i, prose(i)) for i in range(160)] + [(1000, lines), (1001, words)])).collect()}
+    assert all(rows[i].kept for i in range(160))
+    assert not any(rows[i].kept or rows[i].base_failed for i in (1000, 1001))
+
+
 def test_estimate_equals_a_direct_one(spark, documents, tmp_path):
     written = outliers.statistics_table(table(documents))
     written.write.parquet(f"{tmp_path}/t")
