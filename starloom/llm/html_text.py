@@ -1,8 +1,9 @@
 """Layout-aware text of HTML pages.
 
 A page is cut into tags and text. The tree builder keeps the stack of open
-elements, closes those that a tag implies to be over (``p`` before a block, list
-items, table parts and cells, options) and opens table parts that are missing.
+elements, closes those that a tag implies to be over (``head`` before what is not
+its content, ``p`` before a block, list items, table parts and cells, options) and
+opens table parts that are missing.
 The layout follows its start and end events: hidden elements give nothing, blocks
 start on a new line, paragraphs, headings, lists and tables have a blank line
 around them, list items are marked and indented, ``pre`` keeps its spaces, and
@@ -31,11 +32,14 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_PIECE = re.compile(r"[\s/]++|=?[^\s/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"?|'[^']*+'?|[^\s\"']\S*+)?+)?+|=")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
+HEAD = set("base link meta title style script noscript noframes template".split())
+FOREIGN = {"svg", "math"}
 HIDDEN = set(
     "script style template head title noscript iframe noembed noframes object audio video canvas svg math datalist param".split()
 )
@@ -53,6 +57,7 @@ PARTS = CELLS | GROUPS | {"tr", "caption", "colgroup", "col"}
 # What a start tag ends: the elements it closes, and those beyond which it does not look.
 _SCOPE = {"table", "td", "th", "caption", "template", "html"}
 _ENDS = {
+    "body": ({"head"}, {"template"}),
     "li": ({"li"}, _SCOPE | LISTS),
     "dt": ({"dt", "dd"}, _SCOPE | {"dl"}),
     "dd": ({"dt", "dd"}, _SCOPE | {"dl"}),
@@ -83,6 +88,9 @@ class Builder:
                 attributes = token["attributes"] or token["attributes2"] or ""
                 if token["close"] or token["close2"]:
                     self.close(name)
+                elif self._is_empty(name, attributes):
+                    self.open(name, attributes)
+                    self._pop()
                 else:
                     self.open(name, attributes)
                     if name in RAW:
@@ -92,7 +100,10 @@ class Builder:
                         self.layout.text(html.unescape(raw) if name in ("textarea", "title") else raw)
                         at = stop
             elif token["text"] is not None:
-                self.layout.text(html.unescape(token["text"]))
+                text = html.unescape(token["text"])
+                if text.strip(" \t\n\r\f"):
+                    self._end_head()
+                self.layout.text(text)
         while self.stack:
             self._pop()
 
@@ -120,7 +131,21 @@ class Builder:
             while len(self.stack) > found:
                 self._pop()
 
+    def _end_head(self):
+        while self.stack and self.stack[-1] == "head":
+            self._pop()
+
+    def _is_empty(self, name, attributes):
+        """Whether this is a self-closed ``svg`` or ``math``, or raw text in one; elsewhere the slash means nothing."""
+        if not attributes.endswith("/") or name not in FOREIGN | RAW:
+            return False
+        if name in RAW and not any(self.there[n] for n in FOREIGN):
+            return False
+        return not _PIECE.findall(attributes)[-1].strip(" \t\n\r\f/")
+
     def open(self, name, attributes):
+        if name not in HEAD:
+            self._end_head()
         if name in CLOSES_P:
             self._end_through({"p"}, _SCOPE | {"button", "object"})
         if name in _ENDS:

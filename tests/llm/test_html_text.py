@@ -36,6 +36,14 @@ CASES = {
     "<select><option>a<option>b</select>": "a\nb",
     "": "",
     " \n ": "",
+    "<html><head><title>t</title><body><p>Hello": "Hello",
+    "<head> <meta charset=x><style>s</style> <template>t</template><p>a</p></head>b": "a\n\nb",
+    "<head><title>t</title>&#32; x<link><div>y</div>": "x\ny",
+    "<head><head><noscript><link><body>x": "x",
+    "<div>a<svg/>b</div>c": "ab\nc",
+    "<p>a<svg d='x=1/'/>b<math/>c<svg><title/></svg>d": "abcd",
+    "a<svg width=1/>b</svg>c<svg / >d</svg>e": "ace",
+    "<head><svg/>a": "a",
 }
 
 
