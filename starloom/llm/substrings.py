@@ -1,4 +1,4 @@
-"""Substring dedup: relative Lempel-Ziv factors over content-defined reference blocks.
+"""Substring dedup: runs of repeated windows, counted over content-defined blocks; no Lempel-Ziv parse.
 
 Every text is cut into overlapping blocks at its own content: neighbouring
 35-word windows whose least 8-word hash (the block's *seed*) is the same one
@@ -11,7 +11,7 @@ from left to right against the index:
 * at any other seed the copies begin or end: these factor boundaries are checked
   window by window against the windows of all blocks with such seeds.
 
-A factor grows greedily while the next window is a copy. Each window lies inside
+A factor is a run of repeated windows, without a reference position. Each window lies inside
 one block, so a factor is at least a window long, no repeated window is missed,
 and every word of a factor is in a repeated window: factors are the duplicate
 spans. Blocks and windows are counted with map-side sums and texts are shuffled
