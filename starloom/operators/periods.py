@@ -1,92 +1,22 @@
 """Running totals per user: phases before and after an event, periods between events.
 
-A window over one user's whole history puts that history into one task. The
-total is therefore taken in two steps for every user: inside chunks of the
-user's rows, and over the per-chunk totals, of which a user has few. Chunks are
-cut at quantiles of the user's own rows, so that a burst is cut as finely as it
-is dense, and hold whole times, so the result is that of the single window for
-both frames.
+Totals are distributed prefix sums (``operators.prefix``): a user's history may
+fill any number of partitions.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql import Column, DataFrame, functions as F
 
-#: A user is cut into at most ``_STEPS ** 2`` chunks.
-_STEPS = 32
+from starloom.operators.prefix import running_sums
 
 
-def _number(df: DataFrame, ts: str) -> Column:
-    """A time as a number: microseconds, or the column itself where it is a number."""
-    return F.col(ts) if isinstance(df.schema[ts].dataType, NumericType) else F.unix_micros(F.col(ts).cast("timestamp"))
-
-
-def chunk_limits(df: DataFrame, user: str, time: Column, chunk_rows: int) -> DataFrame:
-    """``_user, _limits`` of the users with more than ``chunk_rows`` rows: times that cut them into equal parts.
-
-    The limits are lists of at most ``_STEPS`` times, so that the chunk of a
-    row is found in two short searches.
-    """
-    cuts = _STEPS**2
-    quantiles = F.percentile_approx(time, F.array(*[F.lit(i / cuts) for i in range(1, cuts)]), F.lit(10 * cuts))
-    found = df.groupBy(F.col(user).alias("_user")).agg(
-        F.least(F.lit(cuts), F.ceil(F.count("*") / chunk_rows)).cast("int").alias("_parts"), quantiles.alias("_quantiles")
-    )
-    used = F.transform(
-        F.sequence(F.lit(1), F.col("_parts") - 1),
-        lambda i: F.element_at("_quantiles", F.floor(i * cuts / F.col("_parts")).cast("int")),
-    )
-    distinct = found.where("_parts > 1 and _quantiles is not null").select("_user", F.array_distinct(used).alias("_times"))
-    lists = F.transform(
-        F.sequence(F.lit(1), F.size("_times"), F.lit(_STEPS)), lambda i: F.slice("_times", i, F.lit(_STEPS))
-    )
-    return distinct.select("_user", lists.alias("_limits"))
-
-
-def _chunk(time: Column) -> Column:
-    """Number of limits below the time; 0 for users without limits, -1 for rows of others without a time."""
-    full = F.size(F.filter("_limits", lambda part: F.element_at(part, -1) < time))
-    last = F.coalesce(F.get("_limits", full), F.array().cast("array<double>"))
-    number = full * _STEPS + F.size(F.filter(last, lambda limit: limit < time))
-    return F.when(F.col("_limits").isNull(), 0).when(time.isNull(), -1).otherwise(number)
-
-
-def flag_phase(
-    df: DataFrame, user: str, ts: str, flag: Column, frame="range", tiebreak=(), chunk_rows=1_000_000, name="phase"
-) -> DataFrame:
+def flag_phase(df: DataFrame, user: str, ts: str, flag: Column, frame="range", tiebreak=(), name="phase") -> DataFrame:
     """Number of flagged rows of the user at or after each row's time.
 
     ``frame="range"`` counts all rows that share the time; ``frame="rows"``
     counts in the order newest first, then ``tiebreak``.
-
-    A user's rows are cut into chunks of about ``chunk_rows`` rows. What later
-    chunks add reaches a chunk as one more row that is sorted in front of it.
-    ``df`` is read for the limits, the chunk totals and the rows: pass a table
-    rather than a long plan.
     """
-    if frame not in ("range", "rows"):
-        raise ValueError("frame is 'range' or 'rows'")
-    time = _number(df, ts)
-    limits = chunk_limits(df, user, time, chunk_rows)
-    cut = df.join(limits, F.col(user).eqNullSafe(F.col("_user")), "left")
-    marked = cut.withColumns({"_chunk": _chunk(time), "_flag": flag.cast("long"), "_carried": F.lit(0)})
-    marked = marked.drop("_user", "_limits")
-    later = Window.partitionBy(user).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = marked.groupBy(user, "_chunk").agg(F.sum("_flag").alias("_flags"))
-    carried = totals.select(user, "_chunk", F.sum("_flags").over(later).alias("_flag"), F.lit(1).alias("_carried"))
-    marked = marked.unionByName(carried.where("_flag > 0"), allowMissingColumns=True)
-
-    inside = Window.partitionBy(user, "_chunk").orderBy(
-        F.desc("_carried"), F.desc(ts), *(tiebreak if frame == "rows" else ())
-    )
-    if frame == "range":
-        inside = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        marked.withColumn(name, F.coalesce(F.sum("_flag").over(inside), F.lit(0)))
-        .where("_carried = 0")
-        .drop("_chunk", "_flag", "_carried")
-    )
+    order = [F.desc(ts), *(tiebreak if frame == "rows" else ())]
+    return running_sums(df, [user], order, {name: flag.cast("long")}, frame)
 
 
 def period_counts(

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from starloom.operators import periods
-from starloom.operators.periods import chunk_limits, flag_phase, period_average, period_counts
+from starloom.operators.periods import flag_phase, period_average, period_counts
+from starloom.operators.prefix import PART, carried_sums, place, running_sums
 from starloom.plans import activity
 from tests.conftest import rows
 
@@ -29,9 +29,23 @@ def log(spark):
     return spark.createDataFrame(data, SCHEMA)
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 2, 3, 1000])
+@pytest.fixture(params=[1, 3, 24])
+def parts(spark, request):
+    """The number of range partitions, which Spark otherwise merges for small tables."""
+    changed = {
+        "spark.sql.shuffle.partitions": str(request.param),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("frame", ["range", "rows"])
-def test_equals_the_single_window(log, chunk_rows, frame):
+def test_equals_the_single_window(log, parts, frame):
     window = Window.partitionBy("userId").orderBy(F.desc("ts"), *(["id"] if frame == "rows" else []))
     if frame == "range":
         window = window.rangeBetween(Window.unboundedPreceding, 0)
@@ -39,12 +53,12 @@ def test_equals_the_single_window(log, chunk_rows, frame):
         window = window.rowsBetween(Window.unboundedPreceding, 0)
     flag = (F.col("page") == "Home").cast("int")
     expected = log.withColumn("phase", F.sum(flag).over(window))
-    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"], chunk_rows)
+    got = flag_phase(log, "userId", "ts", F.col("page") == "Home", frame, ["id"])
     assert rows(got) == rows(expected)
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "double"])
-def test_kinds_of_time(spark, kind):
+def test_kinds_of_time(spark, parts, kind):
     df = spark.range(500).select(
         "id",
         (F.col("id") % 2).alias("u"),
@@ -54,51 +68,75 @@ def test_kinds_of_time(spark, kind):
     )
     window = Window.partitionBy("u").orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("phase", F.sum((F.col("id") % 5 == 0).cast("int")).over(window))
-    assert rows(flag_phase(df, "u", "t", F.col("id") % 5 == 0, chunk_rows=10)) == rows(expected)
+    assert rows(flag_phase(df, "u", "t", F.col("id") % 5 == 0)) == rows(expected)
 
 
-def test_range_and_rows_differ_on_ties(log):
+def test_range_and_rows_differ_on_ties(log, parts):
     flag = F.col("page") == "Home"
-    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range", chunk_rows=1).select("id", "phase")))
-    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"], chunk_rows=1).select("id", "phase")))
+    by_range = dict(rows(flag_phase(log, "userId", "ts", flag, "range").select("id", "phase")))
+    by_rows = dict(rows(flag_phase(log, "userId", "ts", flag, "rows", ["id"]).select("id", "phase")))
     assert (by_range[3], by_rows[3]) == (1, 0)
 
 
-def test_period_counts(log):
+def test_period_counts(log, parts):
     item, marker = F.col("page") == "NextSong", F.col("page") == "Home"
     known = log.where("userId = 'u'")
-    for least in (1, 1_000_000):
-        assert rows(period_counts(known, "userId", "ts", item, marker, chunk_rows=least)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
-        closed = period_counts(known, "userId", "ts", item, marker, closed_only=True, chunk_rows=least)
-        assert rows(closed) == [("u", 1, 1)]
+    assert rows(period_counts(known, "userId", "ts", item, marker)) == [("u", 0, 2), ("u", 1, 1), ("u", 2, 1)]
+    closed = period_counts(known, "userId", "ts", item, marker, closed_only=True)
+    assert rows(closed) == [("u", 1, 1)]
     assert period_average(known, "userId", "ts", item, marker).first()[0] == pytest.approx(4 / 3)
 
 
+def test_several_sums_of_several_types(spark, parts):
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("b"))
+    sums = {"n": F.lit(1), "total": F.col("id").cast("decimal(20,0)"), "odd": F.when(F.col("id") % 2 == 1, 1)}
+    got = running_sums(df, ["a", "b"], ["id"], sums)
+    window = Window.partitionBy("a", "b").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumns({name: F.coalesce(F.sum(column).over(window), F.lit(0)) for name, column in sums.items()})
+    assert rows(got) == rows(expected.select(got.columns))
+
+
+def test_empty_table(spark):
+    df = spark.range(0).select(F.lit(1).alias("u"), F.col("id").alias("t"))
+    assert running_sums(df, ["u"], ["t"], {"n": F.lit(1)}).count() == 0
+
+
 def test_no_window_holds_a_whole_user(log):
-    """Rows are windowed per chunk; only chunk totals are windowed per user."""
-    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range", chunk_rows=1)
+    """Rows are windowed per partition; only one row per partition is windowed per user."""
+    df = flag_phase(log, "userId", "ts", F.col("page") == "Home", "range")
     windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
     assert len(windows) == 2
-    assert "_chunk#" in windows[0].split("], [")[1] and "_flags#" in windows[1]
+    assert f"{PART}#" in windows[0].split("], [")[1] and f"{PART}#" not in windows[1].split("], [")[1]
 
 
-def chunk_sizes(df, chunk_rows):
-    cut = df.join(chunk_limits(df, "u", F.col("t"), chunk_rows), F.col("u").eqNullSafe(F.col("_user")), "left")
-    return {(r.u, r.chunk): r["count"] for r in cut.groupBy("u", periods._chunk(F.col("t")).alias("chunk")).count().collect()}
+@pytest.fixture
+def many_parts(spark):
+    changed = {"spark.sql.shuffle.partitions": "1500", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
 
 
-def test_a_burst_is_cut_by_rows_not_by_time(spark):
-    """95 % of a user's rows lie in a short time; a user with few of all rows is cut as well."""
-    burst = spark.range(20_000).select(F.lit(1).alias("u"), F.when(F.col("id") < 19_000, F.col("id")).otherwise(F.col("id") * 10**6).alias("t"))
-    small = spark.range(300).select(F.lit(2).alias("u"), "id")
-    sizes = chunk_sizes(burst.union(small), 100)
-    assert max(sizes.values()) <= 200 and sum(sizes.values()) == 20_300
-    assert len([k for k in sizes if k[0] == 1]) >= 150 and len([k for k in sizes if k[0] == 2]) == 3
+def test_a_user_fills_any_number_of_partitions(spark, many_parts):
+    """One user has nearly all rows, 95 % of them in a burst: the rows are cut evenly, beyond any fixed number of pieces."""
+    burst = spark.range(30_000).select(
+        F.lit(1).alias("u"), F.when(F.col("id") < 28_500, F.col("id")).otherwise(F.col("id") * 10**6).alias("t")
+    )
+    few = spark.range(300).select(F.lit(2).alias("u"), F.col("id").alias("t"))
+    placed = place(burst.union(few), ["u"], ["t"])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    sizes = [r["count"] for r in placed.where("u = 1").groupBy(PART).count().collect()]
+    assert len(sizes) > 1_200 and max(sizes) <= 200 and sum(sizes) == 30_000
+    carried = carried_sums(placed.withColumn("n", F.lit(1)), ["u"], ["n"]).where("u = 1")
+    assert carried.agg(F.count("*"), F.max("n")).first()[0] == len(sizes) - 1
 
 
-def test_one_time_stays_in_one_chunk(spark):
+def test_one_time_stays_in_one_partition(spark, parts):
     df = spark.range(1000).select(F.lit(1).alias("u"), (F.col("id") % 3).alias("t"))
-    assert len(chunk_sizes(df, 10)) == 3
+    assert place(df, ["u"], ["t"]).select("t", PART).distinct().count() == 3
 
 
 def test_activity(spark):

@@ -38,7 +38,8 @@ def skewed(spark, tmp_path_factory):
         "events": {"user_id": hot("user_id", 9, "event_id")},
         "customer": {"c_nationkey": F.when(third("c_custkey"), 4).otherwise(F.col("c_nationkey"))},
     }
-    for name in "region nation customer supplier part orders lineitem events documents pages conversations".split():
+    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    for name in names.split():
         df = spark.read.parquet(f"{SOURCE}/{name}.parquet")
         df.withColumns(changes.get(name, {})).repartition(4).write.parquet(f"{folder}/{name}.parquet")
     old = {name: spark.conf.get(name) for name in SETTINGS}
