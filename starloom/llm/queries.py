@@ -11,6 +11,7 @@ from starloom.llm import (
     jaccard,
     outliers,
     packing,
+    prefix_trie,
     preference,
     quality,
     query,
@@ -161,3 +162,56 @@ def op6_warc(spark, d):
 def op10_html_text(spark, d):
     """Visible text of every page."""
     return read_table(spark, d, "pages").select("page_id", html_text.visible_text(F.col("html")).alias("text"))
+
+
+@query("""
+with own as (
+    select conv_id as conv, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+        partition by conv_id order by turn nulls first, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+    ) as pos from conversations where conv_id is not null
+), poly as (
+    select n, list_reduce(range(0, 9), lambda c, i: case when i = 0 then c when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n) as v
+    from range(0, 256) t(n)
+), tables as (select list(v order by n) as crcs from poly
+), convs as (
+    select conv, count(*) as own, conv - conv % 100 as base, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(1, length(conv::varchar) + 1), lambda i: ascii(substr(conv::varchar, i, 1))::bigint)),
+        lambda c, b: xor(c >> 8, any_value(crcs)[(xor(c, b) & 255) + 1])
+    ), 4294967295) % 6 as h
+    from own, tables group by conv
+), turns as (
+    select c.conv, o.pos as depth, o.role, o.text from convs c join own o on o.conv = c.base and o.pos <= c.h
+    union all
+    select c.conv, o.pos - c.h + least(c.h, coalesce(b.own, 0)), o.role, o.text
+    from convs c join own o on o.conv = c.conv and o.pos > c.h left join convs b on b.conv = c.base
+), paths as (
+    select conv, depth, length(text) as chars,
+        md5(string_agg(length(role) || ':' || length(text) || ':' || role || text, '' order by depth) over (
+            partition by conv order by depth rows between unbounded preceding and current row)) as node
+    from turns
+    union all select conv, 0, 0, '' from convs
+), nodes as (
+    select node, any_value(depth) as depth, min(conv) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(chars) as saved
+    from paths group by node
+), ends as (
+    select node, sha256(string_agg(conv::varchar, ',' order by conv)) as ends_sha256
+    from (select conv, arg_max(node, depth) as node from paths group by conv) group by node
+), parents as (
+    select distinct a.node, b.node as parent from paths a join paths b on a.conv = b.conv and a.depth = b.depth + 1
+), under as (
+    select distinct a.node as top, b.node from paths a join paths b on a.conv = b.conv and a.depth <= b.depth
+), children as (select parent, count(*) as n from parents group by parent
+), sums as (
+    select top, sum(saved) as saved, count(*) filter (where c.n is null) as leaves
+    from under join nodes using (node) left join children c on c.parent = under.node group by top
+)
+select n.conv_id::bigint as conv_id, n.depth::bigint as depth, p.conv_id::bigint as parent_conv_id, n.n_convs::bigint as n_convs,
+    coalesce(c.n, 0)::bigint as n_children, s.leaves::bigint as n_leaves, s.saved::bigint as saved_tokens,
+    coalesce(ends_sha256, sha256('')) as ends_sha256
+from nodes n join sums s on s.top = n.node left join children c on c.parent = n.node left join parents on parents.node = n.node
+    left join nodes p on p.node = parents.parent left join ends on ends.node = n.node""")
+def op11_prefix_trie(spark, d):
+    """The trie of all conversations, each rebuilt on the first turns of its hundred's conversation."""
+    turns = prefix_trie.ordered_turns(read_table(spark, d, "conversations"))
+    shared = F.crc32(F.col("conv").cast("string")) % 6
+    return prefix_trie.prefix_trie(*prefix_trie.share_openings(turns, F.col("conv") - F.col("conv") % 100, shared, 5))

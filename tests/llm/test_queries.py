@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
