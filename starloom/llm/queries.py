@@ -9,6 +9,7 @@ from starloom.llm import (
     hamming,
     html_text,
     jaccard,
+    lexical,
     outliers,
     packing,
     prefix_trie,
@@ -215,3 +216,29 @@ def op11_prefix_trie(spark, d):
     turns = prefix_trie.ordered_turns(read_table(spark, d, "conversations"))
     shared = F.crc32(F.col("conv").cast("string")) % 6
     return prefix_trie.prefix_trie(*prefix_trie.share_openings(turns, F.col("conv") - F.col("conv") % 100, shared, 5))
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term"""
+
+
+@query(f"""
+with words as (select doc_id, {_TERMS} from documents
+), held as (select doc_id, term, count(*) as tf from words group by 1, 2
+), sizes as (select doc_id, count(*) as n from words group by 1
+), whole as (select count(*) as docs, sum(n)::bigint as total from sizes
+), weights as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from held, whole group by term, docs
+), asked as (select item_id, term, count(*) as times from (select item_id, {_TERMS} from benchmark) group by 1, 2
+), scores as (
+    select item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::bigint as score
+    from asked join held using (term) join weights using (term) join sizes using (doc_id), whole group by 1, 2
+)
+select item_id, rank::integer as rank, doc_id, score from (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0
+) where rank <= 20""")
+def op12_lexical_search(spark, d):
+    """The twenty best documents for every benchmark item."""
+    items = read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = lexical.best_documents(read_table(spark, d, "documents"), items)
+    return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
