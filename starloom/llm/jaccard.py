@@ -265,7 +265,7 @@ _MEETING = ["family", "block", "chunk", "role", "node", "component", "members"]
 _BLOCK, _CHUNK = 256, 50_000
 
 
-def _meet(least):
+def _meet(hold):
     """Rows sorted by family, block and chunk, the held sets first -> links into other components."""
 
     def meet(batches):
@@ -281,8 +281,8 @@ def _meet(least):
                 if role == 0:
                     held.append((node, component, values.copy()))
                 else:
-                    index = index or _Held(held)
-                    for other in index.linked(values, component, least):
+                    index = index or hold(held)
+                    for other in index.linked(values, component):
                         a.append(node)
                         b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -293,7 +293,8 @@ def _meet(least):
 class _Held:
     """Inverted index of a block of sets."""
 
-    def __init__(self, held):
+    def __init__(self, held, least):
+        self.least = least
         self.node, self.component = ([r[i] for r in held] for i in range(2))
         self.size = np.array([len(r[2]) for r in held])
         values = np.concatenate([r[2] for r in held])
@@ -303,23 +304,26 @@ class _Held:
         self.end = np.concatenate((self.start[1:], [len(values)]))
         self.known = set()
 
-    def linked(self, values, component, least):
+    def linked(self, values, component):
         """Held sets of other components that link with a set; one for each pair of components."""
         at = np.minimum(np.searchsorted(self.value, values), len(self.value) - 1)
         at = at[self.value[at] == values]
         length = self.end[at] - self.start[at]
         places = np.repeat(self.start[at] - np.concatenate(([0], length.cumsum()[:-1])), length) + np.arange(length.sum())
         common = np.bincount(self.owner[places], minlength=len(self.size))
-        for i in np.flatnonzero(100 * common >= least * (self.size + len(values) - common)):
+        for i in np.flatnonzero(100 * common >= self.least * (self.size + len(values) - common)):
             pair = component, self.component[i]
             if pair[0] != pair[1] and pair not in self.known:
                 self.known.add(pair)
                 yield self.node[i]
 
 
-def _across(labelled, sets, least, folder):
+def across(labelled, sets, hold, folder):
     """Links between sets that share a signature and lie in different components.
 
+    ``labelled`` has ``sig, node, component``, ``sets`` has ``node, members``;
+    ``hold`` makes the index of a block of ``(node, component, members)``.
+
     A set outside the largest component of one of its signatures is held in a
     block of its family (the least such component); all members of its
     signatures stream past the block, each once.
@@ -351,7 +355,7 @@ def _across(labelled, sets, least, folder):
     after = stream.join(chunks, place).select(*place, chunk, F.lit(1).alias("role"), "node", "component")
     placed = first.union(after).join(sets.hint("merge"), "node").select(*_MEETING)
     dealt = placed.repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
-    return dealt.mapInArrow(_meet(least), "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(_meet(hold), "a bigint, b bigint").distinct()
 
 
 def describe(documents: DataFrame, folder, size=SHINGLE) -> DataFrame:
@@ -412,7 +416,7 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     first = components(_links(tested, sets, least), f"{folder}/first")
 
     labelled = met.join(first.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = _written(_across(labelled, sets, least, folder), folder, "across")
+    found = _written(across(labelled, sets, lambda held: _Held(held, least), folder), folder, "across")
     if found.isEmpty():
         return first
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)

@@ -9,6 +9,7 @@ from starloom.llm import (
     hamming,
     html_text,
     jaccard,
+    lattice,
     lexical,
     outliers,
     packing,
@@ -242,3 +243,21 @@ def op12_lexical_search(spark, d):
     items = read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     found = lexical.best_documents(read_table(spark, d, "documents"), items)
     return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
+
+
+@query("""
+with recursive units as (
+    select vec_id, embedding, list_sum(list_transform(embedding, lambda x: x::double * x::double)) as square from embeddings
+    where embedding is not null
+), links as (
+    select a.vec_id as a, b.vec_id as b from units a join units b on a.vec_id <> b.vec_id and len(a.embedding) = len(b.embedding)
+    where list_dot_product(a.embedding::double[], b.embedding::double[]) / sqrt(a.square * b.square) >= 0.95
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union select reach.vec_id, links.b from reach join links on links.a = reach.other
+)
+select vec_id, (select count(*) from links where a = vec_id)::bigint as n_links, min(other) as component_id, vec_id = min(other) as kept
+from reach group by vec_id""")
+def op13_lattice_dedup(spark, d):
+    """Number of links and near-duplicate class of every vector."""
+    return lattice.near_vectors(read_table(spark, d, "embeddings"))
