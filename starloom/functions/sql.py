@@ -14,7 +14,7 @@ SCALAR_FUNCTIONS = {
     " return greatest(datediff(returned, rented) - allowed, 0)",
 }
 
-# Need the views ``inventory`` and ``rental``.
+# Need the views ``inventory`` and ``rental``, the report ``customer`` and ``payment``.
 STOCK = """
   select i.inventory_id from inventory i left anti join
     (select inventory_id from rental where return_date is null) o on i.inventory_id = o.inventory_id
@@ -23,6 +23,11 @@ TABLE_FUNCTIONS = {
     "film_in_stock": f"(p_film int, p_store int) returns table (inventory_id int) return {STOCK}",
     "film_not_in_stock": f"(p_film int, p_store int) returns table (inventory_id int) return"
     f" {STOCK.replace('left anti', 'left semi')}",
+    "rewards_report": "(p_purchases int, p_amount decimal(20,4), p_as_of date) returns table (customer_id bigint)"
+    """ return select c.customer_id from customer c left semi join (
+      select customer_id from payment
+      where payment_date >= trunc(add_months(p_as_of, -3), 'month') and payment_date < trunc(add_months(p_as_of, -2), 'month')
+      group by customer_id having sum(amount) > p_amount and count(*) > p_purchases) s on c.customer_id = s.customer_id""",
 }
 
 

@@ -76,3 +76,21 @@ def union_totals(star: DataFrame, dims, sets, measure, name="revenue") -> DataFr
         )
 
     return reduce(DataFrame.unionByName, [one(s) for s in sets])
+
+
+def partial_cells(star: DataFrame, dims, measure, name="revenue", count="sales") -> DataFrame:
+    """Sum and count of the measure in every finest cell: what can be merged later."""
+    return star.groupBy(*dims).agg(F.sum(measure).alias(name), F.count(measure).alias(count))
+
+
+def merge_cells(cells: DataFrame, more: DataFrame, dims, name="revenue", count="sales") -> DataFrame:
+    """Cells of both, cell by cell."""
+    both = cells.select(*dims, name, count).unionByName(more.select(*dims, name, count))
+    kinds = {c: cells.schema[c].dataType for c in (name, count)}
+    return both.groupBy(*dims).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in (name, count)])
+
+
+def coarser(cells: DataFrame, dims, name="revenue", count="sales", average="average_sale") -> DataFrame:
+    """Sum, count and average for fewer dimensions, from stored cells instead of rows."""
+    totals = cells.groupBy(*dims).agg(F.sum(name).alias(name), F.sum(count).alias(count))
+    return totals.withColumn(average, F.col(name) / F.col(count))

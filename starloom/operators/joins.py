@@ -67,37 +67,64 @@ def keep_ids(df: DataFrame, ids: DataFrame, on) -> DataFrame:
     return df.join(ids, on, "left_semi")
 
 
+#: Length of the grams by which labels are found.
+_GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct pieces of a length."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    pieces = F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(size))))
+    return F.when(F.length(text) >= size, pieces).otherwise(F.array().cast("array<string>"))
+
+
 def contains_lookup(
     left: DataFrame, text: str, labels: DataFrame, label: str, code: str, order: Column | str
 ) -> DataFrame:
     """``left`` with the code of the first label (by ``order``) that contains ``text``, without regard to case.
 
-    Containment is turned into equality: every substring of every label is
-    listed once with the code of its first label, and ``left`` joins on it.
-    The list grows with the square of a label's length, not with the rows of
-    ``left``. An empty text is in every label; NULL and unmatched text get a
-    NULL code.
+    Labels are indexed by their grams of one to three characters, so the index
+    is linear in their length. A text of up to three characters is a gram
+    itself: the first label of each gram is known without looking at labels. A
+    longer text meets only the labels that have the rarest of its grams (none if
+    a gram is in no label) and is then searched in them. Every distinct text is
+    looked up once. An empty text is in every label; NULL and unmatched text
+    get a NULL code.
     """
-    lowered = F.lower(F.col(label))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_label"), F.lit(1)))
     order = F.col(order) if isinstance(order, str) else order
-    pieces = (
-        labels.select(lowered.alias("_label"), F.col(code).alias("_code"), order.alias("_order"))
-        .select("_label", "_code", "_order", F.explode(starts).alias("_start"))
-        .select(
-            "_label",
-            "_code",
-            "_order",
-            "_start",
-            F.explode(F.sequence(F.lit(0), F.length("_label") - F.col("_start") + 1)).alias("_length"),
-        )
-        # The empty piece is listed once per label only.
-        .where("_length > 0 or _start = 1")
-        .select(F.substr("_label", F.col("_start"), F.col("_length")).alias("_piece"), "_code", "_order")
-        .groupBy("_piece")
-        .agg(F.min_by("_code", "_order").alias(code))
+    listed = labels.select(F.lower(label).alias("_label"), F.struct(F.col(code).alias("code")).alias("_code"), order.alias("_order"))
+    entries = (
+        listed.where("_label is not null")
+        .groupBy("_label")
+        .agg(F.min_by("_code", "_order").alias("_code"), F.min("_order").alias("_order"))
+        .withColumn("_id", F.xxhash64("_label"))
+    )
+    by_size = [_grams(F.col("_label"), size) for size in range(1, _GRAM + 1)]
+    pieces = entries.select("_id", "_code", "_order", F.explode(F.concat(F.array(F.lit("")), *by_size)).alias("_gram"))
+    by_gram = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_labels"), F.min_by("_code", "_order").alias("_code"))
+    texts = left.select(F.lower(text).alias("_text")).where("_text is not null").distinct()
+
+    short = texts.where(F.length("_text") <= _GRAM).join(by_gram, F.col("_text") == F.col("_gram")).select("_text", "_code")
+    # min() of a struct takes the rarest gram; a gram without labels sorts first and ends the search.
+    rarity = F.struct(F.coalesce("_labels", F.lit(0)).alias("labels"), F.col("_gram").alias("gram"))
+    rarest = (
+        texts.where(F.length("_text") > _GRAM)
+        .select("_text", F.explode(_grams(F.col("_text"), _GRAM)).alias("_gram"))
+        .join(by_gram.select("_gram", "_labels"), "_gram", "left")
+        .groupBy("_text")
+        .agg(F.min(rarity).alias("_rarest"))
+        .where("_rarest.labels > 0")
+        .select("_text", F.col("_rarest.gram").alias("_gram"))
+    )
+    long = (
+        rarest.join(pieces.select("_gram", "_id"), "_gram")
+        .join(entries, "_id")
+        .where(F.contains("_label", "_text"))
+        .groupBy("_text")
+        .agg(F.min_by("_code", "_order").alias("_code"))
     )
-    return left.withColumn("_piece", F.lower(F.col(text))).join(pieces, "_piece", "left").drop("_piece")
+    found = short.unionByName(long).select("_text", F.col("_code.code").alias(code))
+    return left.withColumn("_text", F.lower(F.col(text))).join(found, "_text", "left").drop("_text")
 
 
 def join_two_counts(df: DataFrame, key_a, name_a, key_b, count_a="count_a", count_b="count_b") -> DataFrame:

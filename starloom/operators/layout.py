@@ -3,13 +3,27 @@
 from pyspark.sql import DataFrame
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, *keys) -> DataFrame:
-    """A managed table bucketed and sorted on its join keys.
+#: Bytes of a bucket, about.
+BUCKET_BYTES = 256 << 20
+
+
+def bucket_count(*tables: DataFrame, bucket_bytes=BUCKET_BYTES) -> int:
+    """Buckets for tables that are joined with each other: enough for the largest, by Spark's size estimate."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables]
+    return max(1, -(-max(sizes) // bucket_bytes))
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, *keys, path=None) -> DataFrame:
+    """A table bucketed and sorted on its join keys, at ``path`` or in the warehouse.
 
     Two tables with the same number of buckets on the join key are joined
-    without a shuffle.
+    without a shuffle. Rows are first brought together by bucket, so a bucket
+    is a few files, not one from every task.
     """
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.keys import add_dense_keys
+from starloom.operators.snapshots import append_rows, newest, read_state, replace_rows
 from starloom.schemas import empty_table
 
 
@@ -28,48 +29,27 @@ def write_csv(df: DataFrame, path, sep=",", quote_all=False, compression=None, m
 def create_table(spark: SparkSession, root, name, replace=False) -> str:
     """An empty table of the data model; one that exists stays unless it is to be replaced."""
     path = f"{root}/{name}"
-    empty_table(spark, name).write.mode("overwrite" if replace else "ignore").parquet(path)
+    if replace or newest(spark, path) is None:
+        replace_rows(empty_table(spark, name), path)
     return path
 
 
-def load_table(df: DataFrame, path, mode="overwrite") -> None:
-    """Replace the rows of a table, or add to them.
+def load_table(df: DataFrame, path, mode="overwrite") -> DataFrame:
+    """Replace the rows of a table, or add to them; returns the table as read back.
 
-    A frame that reads the table itself belongs in ``write_version``: Spark
-    refuses to overwrite what is being read.
+    The rows are written aside and published in one step
+    (``operators.snapshots``): until then, and after a failure, the old rows are
+    what is read, also by ``df`` itself.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode is 'overwrite' or 'append'")
-    df.write.mode(mode).parquet(path)
+    (replace_rows if mode == "overwrite" else append_rows)(df, path)
+    return read_loaded(df.sparkSession, path)
 
 
-def version_path(root: str, number: int) -> str:
-    return f"{root.rstrip('/')}/v{number:012d}"
-
-
-def write_version(df: DataFrame, root: str, number: int) -> DataFrame:
-    """Store a table state under its number and return it as read back.
-
-    A state is complete once Spark's ``_SUCCESS`` file is there. Writing a
-    number again replaces it, so a rerun after a failure does no harm.
-    """
-    path = version_path(root, number)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    """The newest complete version, or the newest below ``before``."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "v*/_SUCCESS")) or []
-    numbers = [int(status.getPath().getParent().getName()[1:]) for status in done]
-    return max((n for n in numbers if before is None or n < before), default=None)
-
-
-def read_version(spark: SparkSession, root: str, number: int) -> DataFrame:
-    return spark.read.parquet(version_path(root, number))
+def read_loaded(spark: SparkSession, path) -> DataFrame:
+    """The newest published rows of a table."""
+    return read_state(spark, path)
 
 
 def normalise(df: DataFrame, key, items, item_name, parent_cols) -> tuple[DataFrame, DataFrame]:

@@ -51,7 +51,6 @@ def city_station_counts(stations: DataFrame) -> DataFrame:
 
 def stage_and_check(spark, source, schema, target, sep=",", mode="overwrite") -> DataFrame:
     """Load a delimited file into a table and raise unless it has rows."""
-    load_table(stage_csv(spark, source, schema, sep=sep), target, mode)
-    table = spark.read.parquet(target)
+    table = load_table(stage_csv(spark, source, schema, sep=sep), target, mode)
     quality.enforce(quality.check_rows(table, target))
     return table

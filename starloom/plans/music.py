@@ -18,7 +18,7 @@ from starloom.functions import dates, text
 from starloom.operators.clean import first_per_key
 from starloom.operators.joins import match_plays
 from starloom.operators.upsert import insert_ignore, upsert
-from starloom.operators.writes import write_partitioned
+from starloom.operators.snapshots import newest, publish, read_state, stage
 
 
 @dataclass(frozen=True)
@@ -138,12 +138,53 @@ def time_table(times: DataFrame, weekday="mon0", start="start_time") -> DataFram
     return times.select(F.col(start).alias("start_time")).distinct().withColumns(parts)
 
 
-def write_lake(log: DataFrame, songs: DataFrame, folder: str) -> None:
-    """The lake variant as Parquet tables below a folder."""
-    plays = songplays(log, songs, "lake").withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
-    write_partitioned(songs_table(songs), f"{folder}/songs", "year", "artist_id")
-    write_partitioned(artists_table(songs), f"{folder}/artists")
-    write_partitioned(users(log), f"{folder}/users")
-    times = time_table(song_plays(log).select(dates.from_millis("ts").alias("start_time")), "name")
-    write_partitioned(times, f"{folder}/time", "year", "month")
-    write_partitioned(plays, f"{folder}/songplays", "year", "month")
+def with_time(plays: DataFrame, times: DataFrame) -> DataFrame:
+    """Plays with the year and month of their start in the time table."""
+    return plays.join(times.select("start_time", "year", "month"), "start_time")
+
+
+#: Rows of the songs table in a bucket of artists, about.
+ARTIST_ROWS = 1_000_000
+
+
+def artist_bucket(buckets: int, artist="artist_id"):
+    return F.pmod(F.xxhash64(artist), F.lit(buckets)).cast("int")
+
+
+def write_lake(log: DataFrame, songs: DataFrame, folder: str, artist_rows=ARTIST_ROWS) -> None:
+    """The lake variant as Parquet tables below a folder, each published in one step.
+
+    Plays and times lie in folders by year and month. Songs lie in folders by
+    year and bucket of the artist: the buckets follow the rows, so folders and
+    files do not grow in number with the artists.
+    """
+    spark = log.sparkSession
+    song_rows = songs_table(songs)
+    buckets = max(1, -(-song_rows.count() // artist_rows))
+    bucketed = song_rows.withColumn("artist_bucket", artist_bucket(buckets))
+    _publish(bucketed, f"{folder}/songs", "year", "artist_bucket", buckets=buckets)
+    _publish(artists_table(songs), f"{folder}/artists")
+    _publish(users(log), f"{folder}/users")
+    starts = song_plays(log).select(dates.from_millis("ts").alias("start_time"))
+    _publish(time_table(starts, "name"), f"{folder}/time", "year", "month")
+    plays = with_time(songplays(log, songs, "lake"), read_state(spark, f"{folder}/time"))
+    _publish(plays, f"{folder}/songplays", "year", "month")
+
+
+def _publish(df, root, *partition_by, **notes):
+    spark = df.sparkSession
+    state = newest(spark, root)
+    part = stage(df, root, *partition_by)
+    publish(spark, root, state.number + 1 if state else 0, {part: part}, **notes)
+
+
+def lake_table(spark, folder: str, name: str) -> DataFrame:
+    return read_state(spark, f"{folder}/{name}")
+
+
+def artist_songs(spark, folder: str, artist) -> DataFrame:
+    """Songs of an artist; only the artist's bucket is read."""
+    buckets = newest(spark, f"{folder}/songs").notes["buckets"]
+    rows = lake_table(spark, folder, "songs")
+    wanted = artist_bucket(buckets, F.lit(artist))
+    return rows.where((F.col("artist_bucket") == wanted) & (F.col("artist_id") == artist)).drop("artist_bucket")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.functions.text import full_name
-from starloom.operators.upsert import build_query_table
+from starloom.operators.query_table import lookup_stored, store_query_table
 from starloom.operators.writes import write_csv
 from starloom.sources.files import scan_event_csv
 
@@ -39,27 +39,35 @@ def write_history(events: DataFrame, path) -> None:
     write_csv(events, path, quote_all=True)
 
 
-def session_items(events: DataFrame, order_by) -> DataFrame:
-    """Song of an item of a session."""
-    return build_query_table(events, ["sessionId"], ["itemInSession"], ["artist", "song", "length"], order_by)
+def named_events(events: DataFrame) -> DataFrame:
+    return events.withColumn("user_name", full_name("firstName", "lastName"))
 
 
-def user_sessions(events: DataFrame, order_by) -> DataFrame:
-    """Songs of a user's session in the order played."""
-    named = events.withColumn("user_name", full_name("firstName", "lastName"))
-    return build_query_table(
-        named, ["userId", "sessionId"], ["itemInSession"], ["artist", "song", "user_name"], order_by
-    )
+# The table of each question: partition columns, clustering columns, other columns.
+SESSION_ITEMS = (["sessionId"], ["itemInSession"], ["artist", "song", "length"])
+USER_SESSIONS = (["userId", "sessionId"], ["itemInSession"], ["artist", "song", "user_name"])
+SONG_USERS = (["song"], ["userId"], ["user_name"])
 
 
-def song_users(events: DataFrame, order_by) -> DataFrame:
-    """Users who heard a song."""
-    named = events.withColumn("user_name", full_name("firstName", "lastName"))
-    return build_query_table(named, ["song"], ["userId"], ["user_name"], order_by)
+def store_tables(events: DataFrame, root, order_by) -> None:
+    """Write the three tables below ``root``; of rows that share a key the last by ``order_by`` stays."""
+    events = named_events(events)
+    for name, layout in {"session_items": SESSION_ITEMS, "user_sessions": USER_SESSIONS, "song_users": SONG_USERS}.items():
+        store_query_table(events, f"{root}/{name}", *layout, order_by)
+
+
+def session_item(spark: SparkSession, root, session, item) -> DataFrame:
+    """Artist, song and length of an item of a session."""
+    found = lookup_stored(spark, f"{root}/session_items", sessionId=session, itemInSession=item)
+    return found.select("artist", "song", "length")
 
 
-def lookup(table: DataFrame, **key) -> DataFrame:
-    """Rows of a query table for the given key values."""
-    for column, value in key.items():
-        table = table.where(F.col(column) == value)
-    return table
+def user_session(spark: SparkSession, root, user, session) -> DataFrame:
+    """Songs of a user's session in the order played."""
+    found = lookup_stored(spark, f"{root}/user_sessions", userId=user, sessionId=session)
+    return found.orderBy("itemInSession").select("itemInSession", "artist", "song", "user_name")
+
+
+def song_users(spark: SparkSession, root, song) -> DataFrame:
+    """Users who heard a song."""
+    return lookup_stored(spark, f"{root}/song_users", song=song).select("userId", "user_name")

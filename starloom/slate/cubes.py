@@ -158,8 +158,7 @@ join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionke
 def stored_cube_countries(spark, d):
     """The cube stored as a table; a coarser report then reads cells instead of sales."""
     path = work_folder(spark, "cube")
-    load_table(cubes.cube_totals(_month_country(spark, d), _DIMS, "sales_amount"), path)
-    totals = spark.read.parquet(path).where("grouping_id = 2")
+    totals = load_table(cubes.cube_totals(_month_country(spark, d), _DIMS, "sales_amount"), path).where("grouping_id = 2")
     return _finish(totals.select("country", "revenue"))
 
 

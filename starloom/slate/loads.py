@@ -3,17 +3,16 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starloom.operators import keyed_state, snapshots
 from starloom.operators import upsert as keyed
+from starloom.operators.query_table import lookup
 from starloom.operators.writes import (
     denormalise,
-    latest_version,
     load_table,
     normalise,
     normalise_values,
-    read_version,
     write_csv,
     write_partitioned,
-    write_version,
 )
 from starloom.plans import payments, query_tables
 from starloom.session import read_table, work_folder
@@ -90,7 +89,7 @@ where n = 1 and event_type = 'view'""")
 def song_users_lookup(spark, d):
     """Users who heard a song: a table keyed by song and user, read for one song."""
     table = keyed.build_query_table(read_table(spark, d, "events"), ["event_type"], ["user_id"], ["value"], _ORDER)
-    return query_tables.lookup(table, event_type="view")
+    return lookup(table, event_type="view")
 
 
 @query(r"""
@@ -153,18 +152,30 @@ def append_load(spark, d):
     load_table(per_nation, path)
     load_table(per_nation, path)
     total = supplier.agg(F.count("*").alias("suppliers"))
-    load_table(total.select(F.lit(1000).alias("n_nationkey"), F.lit("total").alias("n_name"), "suppliers"), path, "append")
-    return spark.read.parquet(path)
+    named = total.select(F.lit(1000).alias("n_nationkey"), F.lit("total").alias("n_name"), "suppliers")
+    return load_table(named, path, "append")
 
 
 @query(_USERS)
 def versioned_users(spark, d):
-    """The upsert stored as numbered table states; the newest complete one is read."""
+    """The upsert stored as published states of a keyed table; a batch rewrites the buckets it touches."""
     root = work_folder(spark, "users")
-    old, new = _halves(spark, d)
-    first = write_version(_known_users(old), root, 1)
-    write_version(keyed.upsert(first, new, ["user_id"], ["value"], _ORDER), root, 2)
-    return read_version(spark, root, latest_version(spark, root))
+    empty = spark.createDataFrame([], "user_id long, event_type string, value double")
+    merge = lambda rows, new: keyed.upsert(rows, new, ["user_id"], ["value"], _ORDER)
+    for number, lot in enumerate(_halves(spark, d)):
+        keyed_state.fold(root, number, lot, empty, ["user_id"], merge)
+    return snapshots.read_state(spark, root)
+
+
+@query("""
+select user_id, arg_max(value, (ts, event_id)) as value from events where user_id = 7 group by user_id""")
+def user_state_lookup(spark, d):
+    """One user of a keyed table: only the bucket of the key is read."""
+    root = work_folder(spark, "users")
+    empty = spark.createDataFrame([], "user_id long, value double")
+    merge = lambda rows, new: keyed.upsert(rows, new, ["user_id"], ["value"], _ORDER)
+    keyed_state.fold(root, 0, read_table(spark, d, "events"), empty, ["user_id"], merge)
+    return keyed_state.read_key(spark, root, user_id=7)
 
 
 @query(_USERS)
@@ -178,7 +189,7 @@ def stream_user_upsert(spark, d):
         lot.select(*names).write.mode("append").json(incoming)
         source = spark.readStream.schema(schema).json(incoming)
         upsert_stream(source, empty, root, checkpoint, ["user_id"], ["value"], _ORDER).awaitTermination()
-    return read_version(spark, root, latest_version(spark, root))
+    return snapshots.read_state(spark, root)
 
 
 @query("""
@@ -263,7 +274,7 @@ def event_history_table(spark, d):
     write_csv(daily, f"{folder}/daily")
     query_tables.write_history(query_tables.event_history(spark, f"{folder}/daily"), f"{folder}/all")
     events = query_tables.event_history(spark, f"{folder}/all")
-    table = query_tables.session_items(events, ["length"])
+    table = keyed.build_query_table(events, *query_tables.SESSION_ITEMS, ["length"])
     return table.select("sessionId", "itemInSession", "artist", "song")
 
 

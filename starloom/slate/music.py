@@ -159,7 +159,26 @@ def lake_star_tables(spark, d):
     folder = work_folder(spark, "lake")
     music.write_lake(log(spark, d), songs(spark, d), folder)
     names = ["songs", "artists", "users", "time", "songplays"]
-    return table_counts({name: spark.read.parquet(f"{folder}/{name}") for name in names})
+    return table_counts({name: music.lake_table(spark, folder, name) for name in names})
+
+
+@query(f"""{_LOG} select song_id, title, artist_id, cast(duration as double) as duration, year
+from song where artist_id = 'A7'""")
+def lake_artist_songs(spark, d):
+    """Songs of one artist, from the artist's bucket of the lake."""
+    folder = work_folder(spark, "lake")
+    music.write_lake(log(spark, d), songs(spark, d), folder, artist_rows=200)
+    return music.artist_songs(spark, folder, "A7").select("song_id", "title", "artist_id", "duration", "year")
+
+
+@query(f"""{_LOG} select {_COLUMNS.format(start='start_time')}, cast(year(start_time) as integer) as year,
+cast(month(start_time) as integer) as month from log join song on song = title and artist = artist_name""")
+def lake_songplays_rows(spark, d):
+    """The fact of the lake as read back, with year and month from the time table."""
+    folder = work_folder(spark, "lake")
+    music.write_lake(log(spark, d), songs(spark, d), folder)
+    plays = music.lake_table(spark, folder, "songplays")
+    return plays.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
 @query(f"""{_LOG}, p as (select date_trunc('second', start_time) as start_time, session_id from log)
@@ -172,10 +191,8 @@ union all select 'songplays: songplay_id unique', n, n = 0
 def scheduled_load_checks(spark, d):
     """The scheduled variant loaded into tables, then checked."""
     folder = work_folder(spark, "scheduled")
-    load_table(music.songplays(log(spark, d), songs(spark, d), "scheduled"), f"{folder}/songplays")
-    plays = spark.read.parquet(f"{folder}/songplays")
-    load_table(music.time_table(plays, "sun0"), f"{folder}/time")
-    times = spark.read.parquet(f"{folder}/time")
+    plays = load_table(music.songplays(log(spark, d), songs(spark, d), "scheduled"), f"{folder}/songplays")
+    times = load_table(music.time_table(plays, "sun0"), f"{folder}/time")
     return quality.all_checks(
         quality.check_rows(plays, "songplays"),
         quality.check_columns(plays, "songplays", quality.not_null("start_time", "user_id")),

@@ -164,6 +164,46 @@ def payment(spark, d) -> DataFrame:
     return lines(spark, d, "l_orderkey", F.col("l_shipdate").alias("payment_date")).join(payer, "l_orderkey")
 
 
+# A line has no key of its own: all that tells it from others is its rental's.
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+def line_rental(spark, d) -> DataFrame:
+    """Lines as rentals of the one copy of their part."""
+    return read_table(spark, d, "lineitem").select(
+        F.xxhash64(*_LINE).alias("rental_id"), F.col("l_partkey").alias("inventory_id")
+    )
+
+
+def line_payment(spark, d) -> DataFrame:
+    """Lines as payments of their rental by the order's customer, on the day of the order; money in ten-thousandths."""
+    payer = orders(spark, d).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("payment_date")
+    )
+    paid = read_table(spark, d, "lineitem").select(F.xxhash64(*_LINE).alias("rental_id"), "l_orderkey", net_units().alias("amount"))
+    return paid.join(payer, "l_orderkey").select("rental_id", "customer_id", "payment_date", "amount")
+
+
+def rental_tables(spark, d) -> dict:
+    """The rental database: the given tables in all its roles."""
+    people = customer(spark, d).withColumns({"email": F.lit(None).cast("string"), "active": F.lit(1), "create_date": F.lit(None).cast("date")})
+    return {
+        "customer": people,
+        "address": address(spark, d),
+        "city": city(spark, d),
+        "country": country(spark, d),
+        "film": film(spark, d),
+        "language": language(spark, d),
+        "film_category": film_category(spark, d),
+        "category": category(spark, d),
+        "inventory": inventory(spark, d),
+        "store": store(spark, d),
+        "staff": staff(spark, d).drop("address_id", "store_id"),
+        "rental": line_rental(spark, d),
+        "payment": line_payment(spark, d),
+    }
+
+
 def sales_fact(spark, d) -> DataFrame:
     """Sales star fact: one row per line, keyed by order day, customer, part and supplier."""
     from starloom.functions.dates import date_key

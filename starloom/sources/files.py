@@ -93,16 +93,23 @@ def stage_csv(
 
 
 def _stage_skipping(spark, path, schema, sep, skip_lines, partitions, options):
-    """Only the first block of a file can hold lines to skip; later blocks pass without a shuffle."""
+    """Lines to skip are found by counting: per file and block the first line id and the number of lines.
+
+    Line ids rise by one within a block, so what is left of a block is a range
+    of ids. Only blocks that lose lines are in the small table that the lines
+    meet, which usually is the first block of each file.
+    """
     if schema is None:
         raise ValueError("skip_lines above 1 needs a schema")
-    lines = scan_lines(spark, path)
-    first = lines.where("line_no.block = 0")
-    place = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
-    kept = first.withColumn("_place", place).where(F.col("_place") > skip_lines).drop("_place")
+    lines = scan_lines(spark, path).select("file", "line_no.block", "line_no.line", "value")
+    blocks = lines.groupBy("file", "block").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("lines"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("lines").over(earlier), F.lit(0))
+    skipped = F.least(F.col("lines"), F.lit(skip_lines) - before)
+    starts = blocks.select("file", "block", (F.col("first") + skipped).alias("start"), skipped.alias("skipped"))
+    kept = lines.join(starts.where("skipped > 0"), ["file", "block"], "left").where("start is null or line >= start")
     parsed = (
-        kept.unionByName(lines.where("line_no.block > 0"))
-        .where("value <> ''")
+        kept.where("value <> ''")
         .select(F.from_csv("value", _ddl(schema), {"sep": sep, **options}).alias("row"))
         .select("row.*")
     )

@@ -4,38 +4,40 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from starloom.operators.keyed_state import fold
+from starloom.operators.snapshots import newest
 from starloom.operators.upsert import upsert
-from starloom.operators.writes import latest_version, read_version, write_version
 
 
-def _first_version(spark: SparkSession, root: str, checkpoint: str) -> int:
-    """Number of batch 0's version; kept with the checkpoint, so that both are lost together."""
+def _first_state(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Number of batch 0's state; kept with the checkpoint, so that both are lost together."""
     path = f"{checkpoint.rstrip('/')}/first_version"
     try:
         return spark.read.parquet(path).first()[0]
     except AnalysisException:
-        newest = latest_version(spark, root)
-        number = 0 if newest is None else newest + 1
+        state = newest(spark, root)
+        number = state.number + 1 if state else 0
         spark.range(number, number + 1, 1, 1).write.mode("overwrite").parquet(path)
         return number
 
 
-def upsert_stream(source: DataFrame, empty: DataFrame, root, checkpoint, keys, update_cols, order_by) -> StreamingQuery:
-    """Fold the files that arrived since the last run into the versions of a table, then stop.
+def upsert_stream(
+    source: DataFrame, empty: DataFrame, root, checkpoint, keys, update_cols, order_by, buckets=64
+) -> StreamingQuery:
+    """Fold the files that arrived since the last run into a keyed table, then stop.
 
-    A checkpoint numbers its versions from the first one that was free when it
-    was new; batch ``n`` reads the newest version below its own and writes its
-    own. The checkpoint hands every file to exactly one batch, and a batch that
-    is repeated after a failure writes the same version again. After the loss of
-    a checkpoint the files are folded in once more, into newer versions.
+    A batch rewrites only the buckets that hold its keys. A checkpoint numbers
+    its states from the first one that was free when it was new; batch ``n``
+    starts from the newest state below its own and publishes its own. The
+    checkpoint hands every file to exactly one batch, and a batch that is repeated
+    after a failure finds or publishes the same state. After the loss of a
+    checkpoint the files are folded in once more, into newer states.
     """
-    first = _first_version(source.sparkSession, root, checkpoint)
+    first = _first_state(source.sparkSession, root, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark, number = batch.sparkSession, first + batch_id
-        previous = latest_version(spark, root, before=number)
-        target = empty if previous is None else read_version(spark, root, previous)
-        write_version(upsert(target, batch, keys, update_cols, order_by), root, number)
+        merge = lambda rows, new: upsert(rows, new, keys, update_cols, order_by)
+        fold(root, first + batch_id, batch, empty, keys, merge, buckets)
 
     return (
         source.writeStream.foreachBatch(apply)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import layout, upsert, writes
+from starloom.operators import keyed_state, layout, snapshots, upsert, writes
 from starloom.plans import bikes
 from starloom.operators.quality import DataQualityError
 from starloom.session import work_folder
@@ -64,30 +64,127 @@ def test_load_table(spark, tmp_path):
     df = spark.range(3)
     for _ in range(2):
         writes.load_table(df, path)
-    assert spark.read.parquet(path).count() == 3
-    writes.load_table(df, path, "append")
-    assert spark.read.parquet(path).count() == 6
+    assert writes.read_loaded(spark, path).count() == 3
+    assert writes.load_table(df, path, "append").count() == 6
     with pytest.raises(ValueError):
         writes.load_table(df, path, "merge")
 
 
-def test_create_table(spark, tmp_path):
-    path = writes.create_table(spark, str(tmp_path), "users")
-    writes.load_table(spark.createDataFrame([("1", "A", "L", "F", "free")], spark.read.parquet(path).schema), path, "append")
-    assert spark.read.parquet(writes.create_table(spark, str(tmp_path), "users")).count() == 1
-    assert spark.read.parquet(writes.create_table(spark, str(tmp_path), "users", replace=True)).count() == 0
+def test_a_load_may_read_its_own_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = writes.load_table(spark.range(3), path)
+    table = writes.load_table(table.select(F.col("id") + 1).toDF("id"), path)
+    assert rows(writes.load_table(table, path, "append")) == [(1,), (1,), (2,), (2,), (3,), (3,)]
 
 
-def test_versions(spark, tmp_path, target, new):
-    root = str(tmp_path / "users")
-    assert writes.latest_version(spark, root) is None
-    writes.write_version(target, root, 1)
-    for _ in range(2):
-        old = writes.read_version(spark, root, writes.latest_version(spark, root, before=2))
-        writes.write_version(upsert.upsert(old, new, ["user_id"], ["level"], ["ts"]), root, 2)
-    (tmp_path / "users" / "v000000000003").mkdir()  # a write that did not finish
-    assert writes.latest_version(spark, root) == 2
-    assert writes.read_version(spark, root, 2).count() == 3
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+@pytest.mark.parametrize("point", ["write", "publish", "half a list"])
+def test_a_load_that_fails_leaves_the_old_rows(spark, tmp_path, monkeypatch, mode, point):
+    """The load dies while it writes rows, before it publishes them, or in the middle of the list."""
+    path = str(tmp_path / "t")
+    writes.load_table(spark.range(3), path)
+    rows_ = spark.range(10, 20)
+    if point == "write":
+        rows_ = rows_.select(F.when(F.col("id") < 19, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+        with pytest.raises(Exception, match="lost"):
+            writes.load_table(rows_, path, mode)
+    else:
+        with monkeypatch.context() as patch:
+            patch.setattr(snapshots, "publish", lambda *a, **b: (_ for _ in ()).throw(OSError("killed")))
+            with pytest.raises(OSError):
+                writes.load_table(rows_, path, mode)
+        if point == "half a list":
+            (tmp_path / "t/_states/000000000001.json").write_text('{"number": 1, "parts": {"data')
+    assert len(list((tmp_path / "t/data").iterdir())) == 2  # The rows that count for nothing.
+    assert rows(writes.read_loaded(spark, path)) == [(0,), (1,), (2,)]
+    writes.load_table(spark.range(10, 20), path, mode)
+    assert writes.read_loaded(spark, path).count() == (10 if mode == "overwrite" else 13)
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writes.load_table(spark.range(3), path)
+    parts = {"a": snapshots.stage(spark.range(1), path)}
+    snapshots.publish(spark, path, 1, parts)
+    with pytest.raises(snapshots.StateExists):
+        snapshots.publish(spark, path, 1, {"b": snapshots.stage(spark.range(2), path)})
+    assert snapshots.newest(spark, path).parts == parts and snapshots.newest(spark, path, before=1).number == 0
+
+
+def test_create_table(spark, tmp_path):
+    path = writes.create_table(spark, str(tmp_path), "users")
+    empty = writes.read_loaded(spark, path)
+    writes.load_table(spark.createDataFrame([("1", "A", "L", "F", "free")], empty.schema), path, "append")
+    assert writes.read_loaded(spark, writes.create_table(spark, str(tmp_path), "users")).count() == 1
+    assert writes.read_loaded(spark, writes.create_table(spark, str(tmp_path), "users", replace=True)).count() == 0
+
+
+def level_fold(root, number, batch, empty, buckets=16):
+    merge = lambda known, new: upsert.upsert(known, new, ["user_id"], ["level"], ["ts"])
+    return keyed_state.fold(root, number, batch, empty, ["user_id"], merge, buckets)
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    root, empty = str(tmp_path / "users"), spark.createDataFrame([], USERS)
+    many = spark.range(500).select(F.col("id").cast("string").alias("user_id"), F.lit("n").alias("name"), F.lit("free").alias("level"), "id")
+    first = level_fold(root, 0, many.withColumnRenamed("id", "ts"), empty)
+    assert len(first.parts) == 16 and snapshots.read_state(spark, root).count() == 500
+    files = lambda state: {b: sorted(p.name for p in (tmp_path / "users" / f).glob("*.parquet")) for b, f in state.parts.items()}
+    old = files(first)
+    few = spark.createDataFrame([("7", "n", "paid", 1000), ("new", "n", "paid", 1001)], USERS + ", ts long")
+    touched = {r[0] for r in few.select(keyed_state.bucket_of(["user_id"], 16).cast("string")).collect()}
+    second = level_fold(root, 1, few, empty)
+    assert {b for b in second.parts if second.parts[b] != first.parts[b]} == touched
+    assert {b for b, names in files(second).items() if names != old[b]} == touched
+    expected = sorted([(str(i), "n", "paid" if i == 7 else "free") for i in range(500)] + [("new", "n", "paid")], key=repr)
+    assert rows(snapshots.read_state(spark, root)) == expected
+    # Each state stays readable as it was.
+    assert snapshots.read_state(spark, root, first).where("level = 'paid'").count() == 0
+
+
+def test_a_repeated_or_failed_fold_gives_the_same_state(spark, tmp_path, monkeypatch, target, new):
+    root, empty = str(tmp_path / "users"), spark.createDataFrame([], USERS)
+    level_fold(root, 0, target.withColumn("ts", F.lit(0).cast("long")), empty)
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "publish", lambda *a, **b: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            level_fold(root, 1, new, empty)
+    assert rows(snapshots.read_state(spark, root)) == rows(target)
+    states = [level_fold(root, 1, new, empty) for _ in range(2)]
+    assert states[0] == states[1] and snapshots.newest(spark, root) == states[0]
+    assert rows(snapshots.read_state(spark, root)) == [("1", "Ann", None), ("2", "Bob", "free"), ("3", "Cy", "paid")]
+
+
+def test_null_keys_key_types_and_empty_batches(spark, tmp_path):
+    root, empty = str(tmp_path / "users"), spark.createDataFrame([], USERS)
+    batch = spark.createDataFrame([(5, "Ann", "free", 1), (None, "Who", "free", 1)], "user_id int, name string, level string, ts long")
+    for number in range(2):
+        level_fold(root, number, batch, empty)
+    state = level_fold(root, 2, batch.limit(0), empty)
+    assert rows(snapshots.read_state(spark, root)) == [("5", "Ann", "free"), (None, "Who", "free")]
+    assert state.parts == snapshots.newest(spark, root, before=2).parts
+    assert rows(keyed_state.read_key(spark, root, user_id=5)) == [("5", "Ann", "free")]
+    assert rows(keyed_state.read_key(spark, root, user_id=None)) == [(None, "Who", "free")]
+    missing = keyed_state.read_key(spark, root, user_id="nobody")
+    assert missing is None or missing.count() == 0
+
+
+def test_resize_keeps_rows_and_later_folds_use_the_new_number(spark, tmp_path):
+    root, empty = str(tmp_path / "users"), spark.createDataFrame([], USERS)
+    many = spark.range(100).select(F.col("id").cast("string").alias("user_id"), F.lit("n").alias("name"), F.lit("free").alias("level"), F.col("id").alias("ts"))
+    level_fold(root, 0, many, empty, buckets=4)
+    assert keyed_state.resize(spark, root, 32).notes["buckets"] == 32
+    state = level_fold(root, 2, many.limit(1).withColumn("level", F.lit("paid")), empty, buckets=4)
+    assert state.notes["buckets"] == 32 and len(state.parts) > 4
+    assert snapshots.read_state(spark, root).count() == 100 and snapshots.read_state(spark, root).where("level = 'paid'").count() == 1
+
+
+def test_one_key_is_read_from_one_bucket(spark, tmp_path):
+    root, empty = str(tmp_path / "users"), spark.createDataFrame([], USERS)
+    many = spark.range(200).select(F.col("id").cast("string").alias("user_id"), F.lit("n").alias("name"), F.lit("free").alias("level"), F.col("id").alias("ts"))
+    level_fold(root, 0, many, empty)
+    found = keyed_state.read_key(spark, root, user_id="42")
+    assert rows(found) == [("42", "n", "free")] and len({f.rsplit("/", 1)[0] for f in found.inputFiles()}) == 1
 
 
 def test_partitioned_write_is_one_file_per_small_partition(spark, tmp_path):
@@ -160,7 +257,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     def arrive_and_run(rows_, expected_version):
         spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").json(incoming)
         run()
-        assert writes.latest_version(spark, root) == expected_version
+        assert snapshots.newest(spark, root).number == expected_version
 
     def run():
         source = spark.readStream.schema(schema).json(incoming)
@@ -169,8 +266,8 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     arrive_and_run([("1", "Ann", "free", 1)], 0)
     arrive_and_run([("1", "Anna", "paid", 2), ("2", "Bob", "free", 2)], 1)
     run()  # nothing new
-    assert rows(writes.read_version(spark, root, 1)) == [("1", "Ann", "paid"), ("2", "Bob", "free")]
-    assert writes.latest_version(spark, root) == 1
+    assert rows(snapshots.read_state(spark, root)) == [("1", "Ann", "paid"), ("2", "Bob", "free")]
+    assert snapshots.newest(spark, root).number == 1
 
 
 def test_stream_repeats_a_batch_that_did_not_commit(spark, tmp_path):
@@ -189,8 +286,8 @@ def test_stream_repeats_a_batch_that_did_not_commit(spark, tmp_path):
     (tmp_path / "progress/commits/1").unlink()
     (tmp_path / "progress/commits/.1.crc").unlink(missing_ok=True)
     run()
-    assert writes.latest_version(spark, root) == 1
-    assert rows(writes.read_version(spark, root, 1)) == [("1", "Ann", "paid")]
+    assert snapshots.newest(spark, root).number == 1
+    assert rows(snapshots.read_state(spark, root)) == [("1", "Ann", "paid")]
 
 
 def test_stream_with_a_new_checkpoint_goes_on_from_the_newest_version(spark, tmp_path):
@@ -207,7 +304,7 @@ def test_stream_with_a_new_checkpoint_goes_on_from_the_newest_version(spark, tmp
     arrive_and_run(("1", "Ann", "free", 1), "first")
     arrive_and_run(("2", "Bob", "free", 2), "first")
     arrive_and_run(("3", "Cy", "free", 3), "second")
-    newest = writes.read_version(spark, root, writes.latest_version(spark, root))
+    newest = snapshots.read_state(spark, root)
     assert [r[0] for r in rows(newest.select("user_id"))] == ["1", "2", "3"]
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions import sql
 from starloom.operators.clean import last_per_key
-from starloom.plans import bikes, immigration, music, posts, rental, rental_star, shop, ssb, weblog
+from starloom.operators.query_table import rows_scanned
+from starloom.operators.snapshots import newest
+from starloom.plans import bikes, immigration, music, posts, rental, rental_star, rental_warehouse, shop, ssb, weblog
 from starloom.schemas import SCHEMAS
 from tests.conftest import rows, ts
 
@@ -88,11 +90,16 @@ def test_stock(db):
 
 
 def test_sql_functions(spark, db):
-    sql.register_views(inventory=db["inventory"], rental=db["rental"])
+    sql.register_views(**{name: db[name] for name in ("inventory", "rental", "customer", "payment")})
     sql.register_functions(spark, [*sql.SCALAR_FUNCTIONS, *sql.TABLE_FUNCTIONS])
     assert rows(spark.sql("select * from film_in_stock(1, 2)")) == [(2,)]
     assert rows(spark.sql("select * from film_in_stock(1, 1)")) == []
     assert rows(spark.sql("select * from film_not_in_stock(1, 1)")) == [(1,)]
+    assert rows(spark.sql("select * from rewards_report(1, 4.0, date'2007-04-30')")) == [(1,)]
+    pairs = "values (1, 1), (1, 2), (2, 1) as pairs(film, store)"
+    each = spark.sql(f"select film, store, inventory_id from {pairs}, lateral film_in_stock(film, store)")
+    one_by_one = [(f, s, r[0]) for f, s in ((1, 1), (1, 2), (2, 1)) for r in rows(spark.sql(f"select * from film_in_stock({f}, {s})"))]
+    assert rows(each) == one_by_one
     got = spark.sql("select get_hour(1541105830796), day_key(date'2018-11-04'), days_late(date'2020-01-01', date'2020-01-09', 3)")
     assert rows(got) == [(20, 20181104, 5)]
     flag = sql.page_flag("Home")
@@ -229,10 +236,29 @@ def test_users_songs_artists_time(spark, log, songs):
 def test_write_lake(spark, tmp_path, log, songs):
     for _ in range(2):
         music.write_lake(log, songs, str(tmp_path))
-    read = {n: spark.read.parquet(str(tmp_path / n)) for n in ("songs", "artists", "users", "time", "songplays")}
+    read = {n: music.lake_table(spark, str(tmp_path), n) for n in ("songs", "artists", "users", "time", "songplays")}
     assert {n: df.count() for n, df in read.items()} == {"songs": 4, "artists": 3, "users": 4, "time": 3, "songplays": 4}
     assert {"year", "artist_id"} <= set(read["songs"].columns)
     assert rows(read["time"].select("weekday").distinct()) == [("Fri",), ("Thu",)]
+    assert rows(read["songplays"].select("year", "month").distinct()) == [(2018, 11)]
+
+
+@pytest.mark.parametrize("artists", [50, 1500])
+def test_lake_folders_do_not_grow_with_artists(spark, tmp_path, log, artists):
+    songs = table(spark, "song_files", []).limit(0)
+    n = F.col("id")
+    made = {"song_id": F.format_string("S%d", n), "title": F.lit("t"), "artist_id": F.format_string("A%d", n % artists), "year": F.lit(2000), "duration": F.lit(1.0)}
+    songs = spark.range(3000).select("id").withColumns(made).select(
+        *[F.col(c) if c in made else F.lit(None).cast(songs.schema[c].dataType).alias(c) for c in songs.columns]
+    )
+    music.write_lake(log, songs, str(tmp_path), artist_rows=500)
+    stored = newest(spark, str(tmp_path / "songs"))
+    folders = list((tmp_path / "songs" / next(iter(stored.parts.values()))).glob("year=*/artist_bucket=*"))
+    assert stored.notes["buckets"] == 6 and len(folders) <= 6
+    found = music.artist_songs(spark, str(tmp_path), "A7")
+    assert found.count() == 3000 // artists
+    buckets = music.lake_table(spark, str(tmp_path), "songs").groupBy("artist_bucket").count().collect()
+    assert rows_scanned(found) <= max(r["count"] for r in buckets) < 1500
 
 
 # Other plans

@@ -80,12 +80,34 @@ def test_event_csv(spark, tmp_path):
     assert rows(events) == [("Ar", "Ann", "F", 1, "Lee", 10.5, "free", "X", 7, "So", 3)]
     query_tables.write_history(events, str(tmp_path / "out"))
     assert '"Ar","Ann"' in "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
-    sessions = query_tables.lookup(query_tables.user_sessions(events, ["length"]), userId=3, sessionId=7)
-    assert rows(sessions) == [(3, 7, 1, "Ar", "So", "Ann Lee")]
-    assert rows(query_tables.lookup(query_tables.song_users(events, ["length"]), song="So")) == [("So", 3, "Ann Lee")]
-    assert rows(query_tables.lookup(query_tables.session_items(events, ["userId"]), sessionId=7, itemInSession=1)) == [
-        (7, 1, "Ar", "So", 10.5)
-    ]
+    query_tables.store_tables(events, str(tmp_path / "tables"), ["length"])
+    root = str(tmp_path / "tables")
+    assert rows(query_tables.user_session(spark, root, 3, 7)) == [(1, "Ar", "So", "Ann Lee")]
+    assert rows(query_tables.song_users(spark, root, "So")) == [(3, "Ann Lee")]
+    assert rows(query_tables.session_item(spark, root, 7, 1)) == [("Ar", "So", 10.5)]
+    assert rows(query_tables.session_item(spark, root, 7, 2)) == []
+
+
+def test_skipped_lines_run_on_into_the_next_block(spark, tmp_path):
+    """Blocks so small that the lines to skip fill several of them; the lines that stay keep their number."""
+    write_lines(tmp_path / "a.csv", [f"head {n};" + "x" * 50 for n in range(40)] + [f"{n};x" for n in range(500)])
+    write_lines(tmp_path / "b.csv", ["h", "h"])
+    write_lines(tmp_path / "c.csv", [f"{n};c" for n in range(45)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512b")
+    try:
+        df = files.stage_csv(spark, str(tmp_path), "a int, b string", sep=";", skip_lines=40)
+        assert rows(df.where("b = 'x'")) == [(n, "x") for n in sorted(range(500), key=lambda n: repr((n, "x")))]
+        assert rows(df.where("b = 'c'")) == [(n, "c") for n in range(40, 45)] and df.count() == 505
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_skipping_lines_does_not_sort_them(spark, tmp_path):
+    write_lines(tmp_path / "a.csv", ["h", "h", "1,x"])
+    plan = files.stage_csv(spark, str(tmp_path), "a int, b string", skip_lines=2)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "value#" not in windows[0] and "sum(lines#" in windows[0]
 
 
 def test_parquet_leaf_glob_keeps_partitions(spark, tmp_path):

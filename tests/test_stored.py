@@ -1,0 +1,184 @@
+"""Stored tables: files written for skipping, bucketed layouts, a cube kept by merging cells."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators import cubes, keyed_state, query_table, snapshots
+from starloom.operators.layout import bucket_count
+from starloom.plans import rental_warehouse
+from starloom.session import read_table
+from starloom.slate import load_all, roles
+from tests.conftest import rows
+
+FOLDER = "/root/testdata/sf0.001"
+QUERIES, _ = load_all()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+
+
+# Query tables
+
+
+@pytest.fixture(scope="module")
+def listens(spark, tmp_path_factory):
+    """200,000 rows of 2,000 songs, in row groups of some thousand rows."""
+    root = str(tmp_path_factory.mktemp("tables") / "listens")
+    n = F.col("id")
+    events = spark.range(200_000).select(
+        F.md5((n % 2_000).cast("string")).alias("song"), F.floor(n / 2_000).alias("user"), F.repeat(F.md5(n.cast("string")), 4).alias("note")
+    )
+    query_table.store_query_table(events, root, ["song"], ["user"], ["note"], row_group=256 << 10)
+    return root
+
+
+def test_a_lookup_reads_few_rows(spark, listens):
+    song = spark.range(1).select(F.md5(F.lit("77"))).first()[0]
+    found = query_table.lookup_stored(spark, listens, song=song)
+    assert found.count() == 100 and [r.user for r in found.collect()] == list(range(100))
+    assert rows_scanned_of(spark, listens, song=song) < 20_000
+    assert rows_scanned_of(spark, listens, song=song, user=5) < 20_000
+
+
+def rows_scanned_of(spark, root, **key):
+    return query_table.rows_scanned(query_table.lookup_stored(spark, root, **key))
+
+
+def test_the_bloom_filter_excludes_values_inside_the_range(spark, tmp_path):
+    """Values that no row has but that lie between those of a row group. Columns of few values have dictionaries instead."""
+    root = str(tmp_path / "keys")
+    keys = spark.range(100_000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
+    query_table.store_query_table(keys, root, ["key"], [], ["id"], row_group=256 << 10)
+    folders = [f"{root}/{p}" for p in snapshots.newest(spark, root).parts.values()]
+    # Page ranges can exclude values as well: off, to see the filter alone.
+    options = {"parquet.filter.columnindex.enabled": "false"}
+    plain = spark.read.options(**options, **{"parquet.filter.bloom.enabled": "false"}).parquet(*folders)
+    filtered = spark.read.options(**options).parquet(*folders)
+    absent = [spark.range(1).select(F.md5(F.lit(f"none {i}"))).first()[0] for i in range(8)]
+    assert all(query_table.rows_scanned(query_table.lookup(plain, key=key)) > 0 for key in absent)
+    assert [query_table.rows_scanned(query_table.lookup(filtered, key=key)) for key in absent].count(0) >= 6
+
+
+def test_lookup_values_take_the_type_of_the_column(spark, tmp_path):
+    root = str(tmp_path / "t")
+    query_table.store_query_table(spark.range(10).select(F.col("id").cast("int").alias("k"), "id"), root, ["k"], [], ["id"])
+    assert rows(query_table.lookup_stored(spark, root, k="7")) == [(7, 7)]
+    assert "EqualTo(k,7)" in query_table.lookup_stored(spark, root, k="7")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_key_fills_several_ordered_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        query_table.store_query_table(spark.range(20_000).select(F.lit(1).alias("k"), "id"), root, ["k"], ["id"], [])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    spans = snapshots.read_state(spark, root).groupBy("_metadata.file_path").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a")
+    spans = [(r.a, r.b) for r in spans.collect()]
+    assert len(spans) == 8 and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+# Co-located tables
+
+
+@pytest.mark.parametrize("name", ["colocated_part_sales", "colocated_order_lines"])
+def test_bucketed_joins_do_not_shuffle(spark, no_broadcast, name):
+    plan = final_plan(QUERIES[name](spark, FOLDER))
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "SortMergeJoin" in plan
+
+
+def test_buckets_follow_the_larger_table(spark):
+    lines = read_table(spark, FOLDER, "lineitem").select("l_orderkey", "l_quantity")
+    region = read_table(spark, FOLDER, "region")
+    assert bucket_count(region) == 1
+    assert bucket_count(region, lines, bucket_bytes=10_000) == bucket_count(lines, bucket_bytes=10_000) > 3
+
+
+# Table functions
+
+
+@pytest.mark.parametrize("name", ["films_in_stock", "films_not_in_stock", "rewards_report_function"])
+def test_table_functions_become_equality_joins(spark, no_broadcast, name):
+    plan = final_plan(QUERIES[name](spark, FOLDER))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+# Star and cube
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return roles.rental_tables(spark, FOLDER)
+
+
+def load(spark, tables, root, *lots):
+    rental_warehouse.load_dimensions(tables, root, "2024-01-01")
+    for number, lot in enumerate(lots):
+        rental_warehouse.load_sales_lot(tables["payment"].where(lot), tables, root, number, buckets=16)
+    return root
+
+
+def test_lots_and_one_load_give_the_same_cells(spark, tmp_path, tables):
+    """Lots cut by day, and lots that share days."""
+    one = load(spark, tables, str(tmp_path / "one"), F.lit(True))
+    day, turn = F.year("payment_date") < 1998, F.col("rental_id") % 2 == 0
+    expected = rows(rental_warehouse.cube(spark, one))
+    assert len(expected) > 1_000
+    for name, cut in {"days": day, "mixed": turn}.items():
+        root = load(spark, tables, str(tmp_path / name), cut, ~cut)
+        assert rows(rental_warehouse.cube(spark, root)) == expected
+        assert rental_warehouse.read_star(spark, root)["fact_sales"].count() == read_table(spark, FOLDER, "lineitem").count()
+    cells = rental_warehouse.cube(spark, one)
+    assert rows(cells) == rows(rental_warehouse.day_cells(spark, one, rental_warehouse.read_star(spark, one)["fact_sales"]))
+
+
+@pytest.mark.parametrize("point", ["before the fact", "before the cube"])
+def test_a_lot_that_failed_is_loaded_once(spark, tmp_path, tables, monkeypatch, point):
+    old = F.year("payment_date") < 1998
+    root = load(spark, tables, str(tmp_path / "w"), old)
+    before = rows(rental_warehouse.cube(spark, root))
+    real, calls = snapshots.publish, []
+
+    def dies(*args, **notes):
+        calls.append(args)
+        if len(calls) == (1 if point == "before the fact" else 2):
+            raise OSError("killed")
+        return real(*args, **notes)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "publish", dies)
+        patch.setattr(rental_warehouse, "publish", dies)
+        with pytest.raises(OSError):
+            rental_warehouse.load_sales_lot(tables["payment"].where(~old), tables, root, 1)
+    assert rows(rental_warehouse.cube(spark, root)) == before
+    for _ in range(2):
+        rental_warehouse.load_sales_lot(tables["payment"].where(~old), tables, root, 1)
+    one = load(spark, tables, str(tmp_path / "one"), F.lit(True))
+    assert rows(rental_warehouse.cube(spark, root)) == rows(rental_warehouse.cube(spark, one))
+    assert rental_warehouse.read_star(spark, root)["fact_sales"].count() == read_table(spark, FOLDER, "lineitem").count()
+
+
+def test_a_lot_of_one_day_rewrites_one_bucket(spark, tmp_path, tables):
+    day = F.to_date("payment_date") == F.lit("1997-05-05").cast("date")
+    root = load(spark, tables, str(tmp_path / "w"), ~day)
+    first = snapshots.newest(spark, f"{root}/cube")
+    rental_warehouse.load_sales_lot(tables["payment"].where(day), tables, root, 1)
+    second = snapshots.newest(spark, f"{root}/cube")
+    bucket = spark.range(1).select(keyed_state.bucket_of([F.lit(19970505)], 16)).first()[0]
+    assert {b for b in second.parts if second.parts[b] != first.parts.get(b)} == {str(bucket)}
+
+
+def test_coarser_cells(spark):
+    cells = spark.createDataFrame([("a", "x", 6.0, 2), ("a", "y", 3.0, 1), ("b", "x", 5.0, 1)], "p string, q string, revenue double, sales long")
+    assert rows(cubes.coarser(cells, ["p"])) == [("a", 9.0, 3, 3.0), ("b", 5.0, 1, 5.0)]
+    merged = cubes.merge_cells(cells, cells.limit(0).unionByName(cells), ["p", "q"])
+    assert rows(merged) == [("a", "x", 12.0, 4), ("a", "y", 6.0, 2), ("b", "x", 10.0, 2)]
