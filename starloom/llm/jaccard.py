@@ -9,12 +9,18 @@ a set is entered in the scheme of its band, and in the next one if it is large
 enough to link into it. In a scheme the symmetric difference of linked sets is
 at most ``H``.
 
-*Segments.* A scheme deals all shingles to ``m`` segments by hash. A segment is
-either matched as a whole (it absorbs one difference) or also by its
-one-deletion neighbourhood (two). When the segments together absorb more than
-``H``, linked sets agree in one of them. How many segments get neighbourhoods is
-chosen per scheme by cost: signatures to index against the pairs expected to
-meet by chance, given the number of sets in the band.
+*Segments.* A scheme deals all shingles to segments by hash. A segment matched
+as a whole absorbs one difference; cut into parts, of which all subsets but
+``k`` parts are indexed, it absorbs ``k + 1``; matched also by its one-deletion
+neighbourhood it absorbs two. When the segments together absorb more than ``H``,
+linked sets agree in a signature. Which kinds a scheme takes is chosen by
+cost: signatures to index against the pairs expected to meet by chance, given
+the number of sets in the band.
+
+*Signatures* are made once. Of those that meet inside a batch of a task, all
+but one stay there; the rest goes, in packed bytes, to the bucket of its hash,
+where one task keeps one holder of each signature and passes on the signatures
+that have others.
 
 *Links.* Sets that share a signature are candidates and are verified exactly.
 First each signature's members meet one centre, the member with most shared
@@ -32,31 +38,40 @@ the whole sequence as one shingle; equal texts link. Rows with a null
 that is not null does, or null if there is none.
 """
 
+from itertools import combinations
+from math import comb
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import WordHasher, mix, ngram_hashes, slices, split_words
+from starloom.llm.words import byte_slices, mix, ngram_hashes, slices, text_word_hashes
 from starloom.session import work_folder
 
 SHINGLE = 3
 #: Least similarity, in hundredths.
 LEAST = 90
-#: Most shared signatures (8 bytes each) that are broadcast.
-BROADCAST_ROWS = 3_000_000
-
-
-def shingle_set(text, hasher, size=SHINGLE):
-    """Sorted hashes of the distinct shingles of a lower-cased (A-Z) text."""
-    words = split_words(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = hasher.hashes([w.lower() for w in words])
-    if len(words) < size:
-        return ngram_hashes(hashes, len(words), 0xA0761D6478BD642F + 2 * len(words))
-    return np.unique(ngram_hashes(hashes, size))
+#: Signatures of a batch that meet before the shuffle, and distinct ones in a bucket, about.
+BATCH_SIGNATURES, BUCKET_SIGNATURES = 1 << 19, 1 << 21
+
+
+def shingle_sets(texts, size=SHINGLE):
+    """Sorted hashes of the distinct shingles of each text (UTF-8 bytes or None, A to Z taken as lower case)."""
+    hashes, bounds = text_word_hashes(texts)
+    grams = ngram_hashes(hashes, size)
+    sets = []
+    for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if start == end:
+            sets.append(np.zeros(0, np.uint64))
+        elif end - start < size:
+            sets.append(ngram_hashes(hashes[start:end], end - start, 0xA0761D6478BD642F + 2 * (end - start)))
+        else:
+            found = np.sort(grams[start : end - size + 1])
+            sets.append(found[np.concatenate(([True], found[1:] != found[:-1]))])
+    return sets
 
 
 def set_id(shingles):
@@ -94,105 +109,232 @@ class Bands:
         return F.size(F.filter(F.array(*map(F.lit, self.lows)), lambda low: low <= size)) - 1
 
 
-def allocate(top, differences, sets):
-    """Segments with whole matching and with one-deletion neighbourhoods for ``sets`` sets of up to ``top`` shingles.
+class Plan(NamedTuple):
+    """Kinds of segments: ``groups`` cut into ``parts``, of which ``spare`` may differ, and ``deleted`` with neighbourhoods."""
+
+    groups: int
+    parts: int
+    spare: int
+    deleted: int
+
+    def absorbs(self):
+        return self.groups * (self.spare + 1) + 2 * self.deleted
+
 
-    The cost of a choice is the signatures to index plus the verification of
-    the pairs of unrelated sets that are expected to meet: both segments empty,
-    or one a single shingle next to an empty one for neighbourhoods.
+_KINDS = [(1, 0), *[(n, 1) for n in range(3, 8)], *[(n, 2) for n in range(4, 8)], *[(n, 3) for n in range(5, 9)]]
+
+
+def costs(top, differences, sets):
+    """For every choice of segments: ``(signatures, pairs by chance, plans)`` for ``sets`` sets of up to ``top`` shingles.
+
+    Unrelated sets meet where what is matched is empty in both, or one
+    shingle next to none in neighbourhoods.
     """
-    best = None
-    for deleted in range((differences + 1) // 2 + 1):
-        whole = max(0, differences + 1 - 2 * deleted)
-        load = top / (whole + deleted)
-        signature_rows = whole + deleted * (1 + load)
-        pairs = sets / 2 * np.exp(-2 * load) * (whole + deleted * (1 + 2 * load))
-        cost = signature_rows + pairs * max(1.0, top / 4)
-        if best is None or cost < best[0]:
-            best = cost, whole, deleted
-    return best[1:]
-
-
-def signatures(shingles, scheme, whole, deleted):
+    deleted = np.arange((differences + 1) // 2 + 1)
+    for parts, spare in _KINDS:
+        groups = -(-np.maximum(0, differences + 1 - 2 * deleted) // (spare + 1))
+        load = top / (groups + deleted)
+        indexed = groups * comb(parts, spare)
+        rows = indexed + deleted * (1 + load)
+        matched = load * (parts - spare) / parts
+        pairs = sets / 2 * (indexed * np.exp(-2 * matched) + deleted * np.exp(-2 * load) * (1 + 2 * load))
+        for choice in zip(rows.tolist(), pairs.tolist(), groups.tolist(), deleted.tolist()):
+            yield choice[0], choice[1], Plan(choice[2], parts, spare, choice[3])
+
+
+def allocate(top, differences, sets):
+    """The cheapest choice: signatures count one, the verification of a pair its share of a set."""
+    return min(costs(top, differences, sets), key=lambda c: (c[0] + c[1] * max(1.0, top / 4), c[2]))[2]
+
+
+def expected_signatures(plan, top):
+    return plan.groups * comb(plan.parts, plan.spare) + plan.deleted * (1 + top / (plan.groups + plan.deleted))
+
+
+def signatures(shingles, scheme, plan):
     """Signatures of a set in one scheme, and which of them are deletions."""
-    m = whole + deleted
+    groups, parts, spare, deleted = plan
     spread = mix(shingles ^ np.uint64(0x2545F4914F6CDD1D))
-    segment = ((spread >> np.uint64(32)) % np.uint64(m)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
-    segment, value = segment[order], mix(spread[order])
-    bounds = np.searchsorted(segment, np.arange(m + 1))
+    region = ((spread >> np.uint64(32)) % np.uint64(groups + deleted)).astype(np.int64)
+    part = (spread % np.uint64(parts)).astype(np.int64)
+    cell = np.where(region < groups, region * parts + part, groups * (parts - 1) + region)
+    order = np.argsort(cell, kind="stable")
+    cell, value = cell[order], mix(spread[order])
+    bounds = np.searchsorted(cell, np.arange(groups * parts + deleted + 1))
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
         total = sums[bounds[1:]] - sums[bounds[:-1]]
         count = np.diff(bounds).astype(np.uint64)
-        label = (np.uint64(scheme) << np.uint64(32)) + np.arange(m, dtype=np.uint64)
-        label = mix(label * np.uint64(_LABEL) + np.uint64(1))
+        subsets = np.array(list(combinations(range(parts), parts - spare)))
+        cut = total[: groups * parts].reshape(groups, parts)[:, subsets].sum(2, dtype=np.uint64).ravel()
+        cut_count = count[: groups * parts].reshape(groups, parts)[:, subsets].sum(2, dtype=np.uint64).ravel()
+        number = np.arange(len(cut) + deleted, dtype=np.uint64)
+        label = mix(((np.uint64(scheme) << np.uint64(32)) + number) * np.uint64(_LABEL) + np.uint64(1))
+        total, count = np.concatenate((cut, total[groups * parts :])), np.concatenate((cut_count, count[groups * parts :]))
         full = mix(mix(total + label) + count)
         if not deleted:
-            return full, np.zeros(m, bool)
-        # The last segments have neighbourhoods.
-        inside = segment >= whole
-        of = segment[inside]
+            return full, np.zeros(len(full), bool)
+        inside = cell >= groups * parts
+        of = cell[inside] - groups * parts + len(cut)
         less = mix(mix(total[of] - value[inside] + label[of]) + count[of] - np.uint64(1))
-    return np.concatenate((full, less)), np.concatenate((np.zeros(m, bool), np.ones(len(less), bool)))
+    return np.concatenate((full, less)), np.concatenate((np.zeros(len(full), bool), np.ones(len(less), bool)))
 
 
 _LABEL = 0xD1342543DE82EF95
 
 
-def _texts(batch):
-    column = batch.column(batch.schema.get_field_index("text"))
-    for i in range(batch.num_rows):
-        yield column[i].as_py()
+def _described(batches, size):
+    """Rows of a bounded number of bytes with their shingle sets."""
+    for batch in slices(batches):
+        start = 0
+        for texts in byte_slices(batch.column(batch.schema.get_field_index("text"))):
+            yield batch.slice(start, len(texts)), shingle_sets(texts, size)
+            start += len(texts)
 
 
 def _describe(size):
     def describe(batches):
-        hasher = WordHasher()
-        for batch in slices(batches):
-            nodes, counts = [], []
-            for text in _texts(batch):
-                shingles = shingle_set(text, hasher, size)
-                nodes.append(set_id(shingles) if len(shingles) else None)
-                counts.append(len(shingles))
-            columns = [*batch.columns[:-1], pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "node", "n"])
+        for rows, sets in _described(batches, size):
+            nodes = [set_id(s) if len(s) else None for s in sets]
+            columns = [*rows.columns[:-1], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names[:-1], "node", "n"])
 
     return describe
 
 
-def _emit_signatures(size, bands, plan):
+#: Holders of signatures: the signature, the set's id and size, whether it is a deletion.
+_HOLDER = np.dtype([("sig", np.uint64), ("node", np.int64), ("n", np.int32), ("deletion", bool)])
+
+
+def _in_order(holders):
+    """Distinct holders by signature, whole matches first, and where a signature's holders begin."""
+    sig = np.ascontiguousarray(holders["sig"])
+    order = np.argsort(sig)
+    sig = sig[order]
+    repeated = np.concatenate(([False], sig[1:] == sig[:-1])) if len(sig) else np.zeros(0, bool)
+    several = repeated | np.append(repeated[1:], False)
+    # Few signatures have several holders: only these are put in order.
+    some = holders[order[several]]
+    order[several] = order[several][np.lexsort((some["node"], some["deletion"], some["sig"]))]
+    holders = holders[order]
+    again = repeated.copy()
+    again[1:] &= holders["node"][1:] == holders["node"][:-1]
+    return holders[~again], np.flatnonzero(~repeated[~again])
+
+
+def _shared(holders, first):
+    """Holders of signatures that two sets or more have."""
+    sizes = np.diff(np.append(first, len(holders)))
+    low = np.minimum.reduceat(holders["node"], first) if len(first) else np.zeros(0, np.int64)
+    high = np.maximum.reduceat(holders["node"], first) if len(first) else np.zeros(0, np.int64)
+    return np.repeat(low != high, sizes)
+
+
+def _pack(holders):
+    """Holders of one bucket as bytes: a table of sets, then per holder six bytes of signature and a place in the table."""
+    nodes, first, place = np.unique(holders["node"], return_index=True, return_inverse=True)
+    place = place.astype(np.uint16) | (holders["deletion"].astype(np.uint16) << 15)
+    sig = holders["sig"].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    head = np.array([len(nodes), len(holders)], np.uint32)
+    return b"".join(x.tobytes() for x in (head, nodes, holders["n"][first], sig, place))
+
+
+def _unpack(payload, bucket):
+    nodes, count = np.frombuffer(payload, np.uint32, 2)
+    table = np.frombuffer(payload, np.int64, nodes, 8)
+    sizes = np.frombuffer(payload, np.int32, nodes, 8 + 8 * int(nodes))
+    at = 8 + 12 * int(nodes)
+    sig = np.zeros((count, 8), np.uint8)
+    sig[:, :6] = np.frombuffer(payload, np.uint8, 6 * int(count), at).reshape(-1, 6)
+    place = np.frombuffer(payload, np.uint16, count, at + 6 * int(count))
+    holders = np.empty(count, _HOLDER)
+    # The rest of the signature chose the bucket.
+    holders["sig"] = sig.view("<u8")[:, 0] | (np.uint64(bucket & 0xFFFF) << np.uint64(48))
+    holders["node"], holders["n"] = table[place & 0x7FFF], sizes[place & 0x7FFF]
+    holders["deletion"] = place >> 15
+    return holders
+
+
+def _emit_signatures(size, bands, plan, buckets):
+    """Texts -> packed holders per bucket: ``met`` ones have met another in their batch, of all others there is one each."""
+
+    def packed(found):
+        holders, first = _in_order(np.concatenate(found))
+        shared = _shared(holders, first)
+        rows = []
+        for met, some in ((True, holders[shared]), (False, holders[first])):
+            bucket = ((some["sig"] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            names, starts = np.unique(bucket[order], return_index=True)
+            rows += [(int(b), met, _pack(some[order[s:e]])) for b, s, e in zip(names, starts, np.append(starts[1:], len(some)))]
+        columns = zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in columns], ["bucket", "met", "holders"])
+
     def emit(batches):
-        hasher = WordHasher()
-        for batch in slices(batches):
-            sig, node, n, deletion = [], [], [], []
-            for text in _texts(batch):
-                shingles = shingle_set(text, hasher, size)
+        found, total, sets_held = [], 0, 0
+        for _, sets in _described(batches, size):
+            for shingles in sets:
                 if not len(shingles):
                     continue
                 name = set_id(shingles)
                 for scheme in bands.schemes(len(shingles)):
                     if scheme in plan:
-                        s, d = signatures(shingles, scheme, *plan[scheme])
-                        sig.append(s.view(np.int64))
-                        deletion.append(d)
-                        node.append(np.full(len(s), name))
-                        n.append(np.full(len(s), len(shingles), np.int32))
-            if sig:
-                columns = [pa.array(np.concatenate(c)) for c in (sig, node, n, deletion)]
-                yield pa.RecordBatch.from_arrays(columns, ["sig", "node", "n", "deletion"])
+                        sig, deletion = signatures(shingles, scheme, plan[scheme])
+                        holders = np.empty(len(sig), _HOLDER)
+                        holders["sig"], holders["deletion"] = sig, deletion
+                        holders["node"], holders["n"] = name, len(shingles)
+                        found.append(holders)
+                        total += len(sig)
+                sets_held += 1
+                if total >= BATCH_SIGNATURES or sets_held == 1 << 15:
+                    if found:
+                        yield packed(found)
+                    found, total, sets_held = [], 0, 0
+        if found:
+            yield packed(found)
 
     return emit
 
 
+def _match(batches):
+    """Packed holders of whole buckets -> holders of shared signatures.
+
+    One holder of each signature is kept; a later one of another set makes it shared.
+    """
+
+    def rows(holders):
+        columns = [pa.array(holders["sig"].view(np.int64)), *[pa.array(np.ascontiguousarray(holders[c])) for c in ("node", "n", "deletion")]]
+        return pa.RecordBatch.from_arrays(columns, ["sig", "node", "n", "deletion"])
+
+    known, waiting, size = np.empty(0, _HOLDER), [], 0
+
+    def settle():
+        nonlocal known, waiting, size
+        holders, first = _in_order(np.concatenate([known, *waiting]))
+        known, waiting, size = holders[first], [], 0
+        return rows(holders[_shared(holders, first)])
+
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(n)) for n in ("bucket", "met", "holders")]
+        for bucket, met, payload in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2]):
+            holders = _unpack(payload.as_buffer(), bucket)
+            if met:
+                yield rows(holders)
+            else:
+                waiting.append(holders)
+                size += len(holders)
+                if size >= BUCKET_SIGNATURES:
+                    yield settle()
+    if waiting:
+        yield settle()
+
+
 def _emit_sets(size):
     def emit(batches):
-        hasher = WordHasher()
-        for batch in slices(batches):
-            sets = [shingle_set(text, hasher, size) for text in _texts(batch)]
-            right = pa.array([set_id(m) == n.as_py() for m, n in zip(sets, batch.column(0))], pa.bool_())
+        for rows, sets in _described(batches, size):
+            right = pa.array([set_id(m) == n.as_py() for m, n in zip(sets, rows.column(0))], pa.bool_())
             members = pa.array([m.tobytes() for m in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), members], ["node", "members"]).filter(right)
+            yield pa.RecordBatch.from_arrays([rows.column(0), members], ["node", "members"]).filter(right)
 
     return emit
 
@@ -381,20 +523,17 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     counts = rows.where("n > 0").groupBy(bands.column(F.col("n")).alias("band")).count().collect()
     there = {r["band"]: r["count"] for r in counts}
     plan = {k: allocate(bands.top(k), bands.differences(k), n + there.get(k - 1, 0)) for k, n in there.items()}
-    signed = documents.select("text").mapInArrow(
-        _emit_signatures(size, bands, plan), "sig bigint, node bigint, n int, deletion boolean"
-    )
-    shared = _written(
-        signed.groupBy("sig")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("deletion").alias("deletion"))
-        .where("low <> high and not deletion")
-        .select("sig"),
-        folder,
-        "shared",
+    expected = sum((n + there.get(k - 1, 0)) * expected_signatures(plan[k], bands.top(k)) for k, n in there.items())
+    buckets = max(1, int(expected // BUCKET_SIGNATURES))
+    packed = documents.select("text").mapInArrow(
+        _emit_signatures(size, bands, plan, buckets), "bucket int, met boolean, holders binary"
     )
-    # Few of all signatures are shared. Up to a checked number they are broadcast; beyond it, the signatures are shuffled again.
-    way = "broadcast" if shared.count() <= BROADCAST_ROWS else "merge"
-    met = _written(signed.join(shared.hint(way), "sig").distinct(), folder, "met")
+    shared = packed.repartition(buckets, "bucket").mapInArrow(_match, "sig bigint, node bigint, n int, deletion boolean")
+    met = _written(shared.distinct(), folder, "met")
+    if any(p.deleted for p in plan.values()):
+        # Two deletions that agree are not a match.
+        whole = met.groupBy("sig").agg(F.min("deletion").alias("deletion")).where("not deletion").select("sig")
+        met = _written(met.join(_written(whole, folder, "whole"), "sig"), folder, "matched")
     degrees = met.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     firsts = (
         rows.join(degrees.hint("merge"), "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("row"))

@@ -97,9 +97,68 @@ def test_a_star_whose_ends_do_not_link(documents):
     check(documents(rows))
 
 
-def test_signatures_beyond_the_broadcast_limit(documents, monkeypatch):
-    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
-    check(documents(families(random.Random(2), 4, 5, 60)))
+@pytest.mark.parametrize(("batch", "bucket"), [(1, 40), (200, 300), (10**9, 10**9)])
+def test_signatures_meet_in_a_batch_or_in_their_bucket(documents, monkeypatch, batch, bucket):
+    """Whatever the batches and buckets, and however often a bucket is settled."""
+    monkeypatch.setattr(jaccard, "BATCH_SIGNATURES", batch)
+    monkeypatch.setattr(jaccard, "BUCKET_SIGNATURES", bucket)
+    check(documents(families(random.Random(2), 4, 5, 60)).repartition(3))
+
+
+KINDS = {
+    "whole": lambda h: jaccard.Plan(h + 1, 1, 0, 0),
+    "subsets of one spare part": lambda h: jaccard.Plan(-(-(h + 1) // 2), 3, 1, 0),
+    "subsets of three spare parts": lambda h: jaccard.Plan(-(-(h + 1) // 4), 6, 3, 0),
+    "neighbourhoods": lambda h: jaccard.Plan(0, 1, 0, h // 2 + 1),
+    "subsets and neighbourhoods": lambda h: jaccard.Plan(-(-max(0, h - 3) // 3), 4, 2, 2),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize(("least", "size"), [(90, 3), (80, 5)])
+def test_every_kind_of_segment_finds_all_links(documents, monkeypatch, kind, least, size):
+    monkeypatch.setattr(jaccard, "allocate", lambda top, differences, sets: KINDS[kind](differences))
+    check(documents(families(random.Random(5), 6, 8, 50)).repartition(2), least=least, size=size)
+
+
+def test_packed_holders():
+    draw = np.random.default_rng(3)
+    holders = np.empty(500, jaccard._HOLDER)
+    holders["sig"] = draw.integers(0, 2**64, 500, np.uint64)
+    holders["node"] = draw.choice(draw.integers(-(2**63), 2**63, 40), 500)
+    holders["n"] = holders["node"] % 1000
+    holders["deletion"] = draw.random(500) < 0.3
+    got = jaccard._unpack(jaccard._pack(holders), 70_001)
+    for c in ("node", "n", "deletion"):
+        assert (got[c] == holders[c]).all()
+    low = np.uint64(2**48 - 1)
+    assert (got["sig"] & low == holders["sig"] & low).all() and (got["sig"] >> np.uint64(48) == 70_001 & 0xFFFF).all()
+
+
+def test_vectorised_shingles():
+    """Sets of hashes are as large as the sets of shingles, equal texts have equal sets, and common shingles equal hashes."""
+    texts = [None, "", " \t", "a", "A  a", "a b", "a b c", "c b a", "É b c d", "é b c d", "w " * 50, "x" * 3_000_000 + " a b", "ab c d", "a bc d"]
+    texts += [" ".join(f"w{i * j % 7}" for i in range(40)) for j in range(5)]
+    for size in (3, 5):
+        sets = jaccard.shingle_sets([None if t is None else t.encode() for t in texts], size)
+        assert [len(s) for s in sets] == [len(shingles(t, size)) for t in texts]
+        alone = [jaccard.shingle_sets([(t or "").encode()], size)[0] for t in texts]
+        assert all((a == b).all() for a, b in zip(sets, alone))
+        for a, s in zip(sets, texts):
+            for b, t in zip(sets, texts):
+                assert len(np.intersect1d(a, b)) == len(shingles(s, size) & shingles(t, size))
+
+
+def test_words_longer_than_a_chunk(monkeypatch):
+    from starloom.llm import words
+
+    monkeypatch.setattr(words, "_CHUNK", 16)
+    monkeypatch.setattr(words, "_POWERS", [])
+    texts = [b"a bb ccc", b"x" * 16 + b" y", b"z" * 17 + b" y " + b"x" * 16, b"q" * 40, b"A bb  CCC " + b"x" * 16]
+    hashes, bounds = words.text_word_hashes(texts)
+    named = [w for t in texts for w in t.lower().split()]
+    assert len(hashes) == len(named) and np.diff(bounds).tolist() == [len(t.split()) for t in texts]
+    assert len(set(zip(named, hashes.tolist()))) == len(set(named)) == len(set(hashes.tolist()))
 
 
 def test_blocks_in_the_second_phase(documents, monkeypatch):
@@ -122,13 +181,18 @@ def test_linked_sets_share_a_signature(size, changes, seed, sets):
         scheme = bands.of(max(len(one), len(other)))
         assert scheme in bands.schemes(len(one)) and scheme in bands.schemes(len(other))
         plan = jaccard.allocate(bands.top(scheme), bands.differences(scheme), sets)
-        assert plan[0] + 2 * plan[1] > bands.differences(scheme)
-        a, b = (dict(zip(*(x.tolist() for x in jaccard.signatures(s, scheme, *plan)))) for s in (one, other))
-        assert any(not (a[k] and b[k]) for k in a.keys() & b.keys())
-
-
-def test_cost_model_uses_neighbourhoods_for_large_bands():
-    assert jaccard.allocate(200, 21, 1000)[1] == 0 and jaccard.allocate(200, 21, 10**11)[1] > 0
+        assert plan.absorbs() > bands.differences(scheme)
+        for choice in (plan, *[kind(bands.differences(scheme)) for kind in KINDS.values()]):
+            a, b = (dict(zip(*(x.tolist() for x in jaccard.signatures(s, scheme, choice)))) for s in (one, other))
+            assert any(not (a[k] and b[k]) for k in a.keys() & b.keys())
+
+
+def test_cost_model_takes_finer_signatures_for_larger_bands():
+    few, many, most = (jaccard.allocate(200, 21, sets) for sets in (10, 10**8, 10**11))
+    assert few == jaccard.Plan(22, 1, 0, 0) and many.spare > 0 and most.parts > many.parts
+    assert jaccard.allocate(60, 12, 10**5).deleted > 0
+    rows = [jaccard.expected_signatures(p, 200) for p in (few, many, most)]
+    assert rows == sorted(rows)
 
 
 def test_components(spark, tmp_path):
