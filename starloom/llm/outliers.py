@@ -1,21 +1,29 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source.
 
-Each text gets a vector of transformed statistics. For every ``(lang, source)``
-the minimum-covariance-determinant estimate of centre and scatter is found by
-concentration steps over all rows: distances under the present estimate, the
-nearest three quarters of the group, their mean and covariance, and again. A
-text is rejected when its Mahalanobis distance under the reweighted estimate is
-beyond ``CUTOFF``.
-
-A step is one aggregation: moments are summed per group and distance bin, so a
-hot group is combined on the map side and only bins are shuffled. Vectors are
+Each text gets a vector of transformed statistics. For every ``(lang, source)``,
+and for all texts together, the minimum-covariance-determinant estimate of
+centre and scatter is searched from three deterministic starts (quartiles,
+spatial signs, squashed correlations). A concentration step takes the nearest
+half of the group under an estimate, and their mean and covariance as the next
+one. After two steps the start with the least determinant goes on until the
+determinant stops falling. The estimate is then reweighted: all rows inside its
+97.5 % distance count. A text is rejected when its Mahalanobis distance is beyond
+``CUTOFF``.
+
+A component that is constant in the core is an exact fit. What remains of its
+scatter is the counting noise of a rate over so many words or lines: the mean
+noise of the group in the search, and the text's own noise in its distance, so
+that a rate of a short text counts for less. Groups draw on the estimate of all
+texts by their size: a group of ``SHRINK`` rows counts half.
+
+A step is one aggregation: moments are summed per group and distance ring, so a
+hot group is combined on the map side and only rings are shuffled. Vectors are
 whole numbers and moments are exact sums: results do not depend on row order.
 
 Defined results: a null or empty text has no words and fails the base rules, as
 does any text under ``MIN_WORDS`` words; a null language or source counts as
-''; groups with fewer than ``MIN_GROUP`` rows that pass the base rules share
-one pooled estimate; where even the pool is smaller, they pass. Repeated rows
-and ids are judged one by one, alike. Extra columns are not read.
+''; a single row is its group's centre. Repeated rows and ids are judged one by
+one, alike. Extra columns are not read.
 """
 
 from collections import defaultdict
@@ -30,17 +38,16 @@ from pyspark.sql.window import Window
 from starloom.session import work_folder
 
 MIN_WORDS = 50
-MIN_GROUP = 100
-#: Share of a group that the concentration steps keep.
-CORE = 0.75
-STEPS = 5
-#: Share of normal vectors inside the cut-off distance (5.78).
-CUTOFF = 1 - 1e-6
-#: Smallest standard deviation of each component, in thousandths. Cut-off distance times floor is less than the
-#: component can reach (1000 for repeated lines, 707 for repeated words under the base rule), so each can reject alone.
-FLOORS = (60.0, 60.0, 140.0, 100.0)
-
-_P = len(FLOORS)
+#: Rows with which a group's estimate counts as much as that of all texts.
+SHRINK = 20
+#: Share of normal vectors inside the cut-off distance (4.30).
+CUTOFF = 0.999
+#: Variance of a count over that of single events: what is counted comes in clumps.
+CLUMPS = 4
+
+_P = 4
+#: Rings of distance by which the nearest half is found: so many per e-fold.
+_RINGS = 32
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 _SPACES = np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8)
@@ -164,29 +171,59 @@ def distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _estimates(factor):
-    """Moments of groups -> centre and inverse scatter; works on small batches of groups."""
+_NOISE = [f"v{i}" for i in range(_P)]
+_MOMENTS = ["n", *[f"s{i}" for i in range(_P)], *[f"s{i}{j}" for i, j in _PAIRS]]
+_ESTIMATE = "part string, start int, centre array<double>, precision array<double>, scatter array<double>, logdet double, n bigint"
+
+
+def noise() -> list[Column]:
+    """Counting variance of each component, in square thousandths; whole numbers, so that sums are exact."""
+    n, lines = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "n_lines"))
+    return [F.rint(F.lit(CLUMPS * 250_000.0) / over).cast("bigint").alias(v) for v, over in zip(_NOISE, (n, n, lines, n))]
+
+
+def _matrix(values):
+    """Symmetric matrix of its upper triangle."""
+    full = np.zeros((_P, _P))
+    for value, (i, j) in zip(values, _PAIRS):
+        full[i, j] = full[j, i] = value
+    return full
+
+
+def _triangle(matrix):
+    return [float(matrix[i, j]) for i, j in _PAIRS]
+
+
+def estimate(moments, counting, factor):
+    """Centre, scatter (without noise), its inverse with noise and the logarithm of that determinant, from sums."""
+    n = float(moments[0])
+    centre = np.array([float(v) / n for v in moments[1 : 1 + _P]])
+    scatter = (_matrix([float(v) / n for v in moments[1 + _P :]]) - np.outer(centre, centre)) * factor
+    whole = scatter + np.diag(counting)
+    return centre, scatter, np.linalg.inv(whole), float(np.linalg.slogdet(whole)[1])
+
+
+def core_factor(share):
+    """Factor for the covariance of the nearest ``share`` of a group."""
+    return _consistency(share) if share < 1 else 1.0
+
+
+def _solve(reweighted):
+    """Moments of groups (``total`` rows, mean noise) -> estimates; works on small batches of groups."""
 
     def solve(batches):
         for pdf in batches:
             out = []
-            for row in pdf.itertuples(index=False):
-                n = float(row.n)
-                centre = [float(getattr(row, f"s{i}")) / n for i in range(_P)]
-                scatter = np.zeros((_P, _P))
-                for i, j in _PAIRS:
-                    scatter[i, j] = scatter[j, i] = float(getattr(row, f"s{i}{j}")) / n - centre[i] * centre[j]
-                scatter = scatter * factor + np.diag(np.square(FLOORS))
-                inverse = np.linalg.inv(scatter)
-                out.append((row.part, centre, [float(inverse[i, j]) for i, j in _PAIRS]))
-            yield pd.DataFrame(out, columns=["part", "centre", "precision"])
+            for row in pdf.to_dict("records"):
+                factor = _consistency(0.975) if reweighted else core_factor(float(row["n"]) / float(row["total"]))
+                found = estimate([row[m] for m in _MOMENTS], [float(row[v]) for v in _NOISE], factor)
+                centre, scatter, inverse, logdet = found
+                out.append((row["part"], row["start"], centre.tolist(), _triangle(inverse), _triangle(scatter), logdet, int(row["total"])))
+            yield pd.DataFrame(out, columns=["part", "start", "centre", "precision", "scatter", "logdet", "n"])
 
     return solve
 
 
-_ESTIMATE = "part string, centre array<double>, precision array<double>"
-
-
 def _moments():
     whole = "decimal(38,0)"
     return [
@@ -199,18 +236,13 @@ def _moments():
     ]
 
 
-def _summed(moments):
-    names = ["n", *[f"s{i}" for i in range(_P)], *[f"s{i}{j}" for i, j in _PAIRS]]
-    return moments.groupBy("part").agg(*[F.sum(c).alias(c) for c in names])
-
-
 def _written(df, folder, name):
     df.write.mode("overwrite").parquet(f"{folder}/{name}")
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def _start(rows):
-    """Medians and quartile ranges of each component: the first centre and a diagonal scatter."""
+def _middles(rows):
+    """Per part the number of rows, mean noise, medians and quartile deviations (at least the noise)."""
     counts = (
         rows.select("part", F.posexplode(F.array(*[f"x{i}" for i in range(_P)])).alias("i", "x"))
         .groupBy("part", "i", "x")
@@ -226,54 +258,148 @@ def _start(rows):
         *[F.max(F.when(F.col("i") == i, F.col("q2"))).cast("double").alias(f"m{i}") for i in range(_P)],
         *[F.max(F.when(F.col("i") == i, (F.col("q3") - F.col("q1")) / 1.349)).alias(f"d{i}") for i in range(_P)],
     )
-    return wide.select(
-        "part",
-        F.array(*[f"m{i}" for i in range(_P)]).alias("centre"),
-        F.array(
-            *[
-                F.lit(1.0) / (F.col(f"d{i}") * F.col(f"d{i}") + F.lit(FLOORS[i] ** 2)) if i == j else F.lit(0.0)
-                for i, j in _PAIRS
-            ]
-        ).alias("precision"),
+    sizes = rows.groupBy("part").agg(
+        F.count(F.lit(1)).alias("total"), *[(F.sum(v) / F.count(F.lit(1))).alias(v) for v in _NOISE]
+    )
+    least = [F.greatest(F.col(f"d{i}"), F.sqrt(f"v{i}")).alias(f"d{i}") for i in range(_P)]
+    return wide.join(sizes, "part").select("part", "total", *_NOISE, *[f"m{i}" for i in range(_P)], *least)
+
+
+#: Sums of squashed or sign vectors are whole numbers of this fraction.
+_UNIT = 1_000_000
+
+
+def _starts(rows, middles):
+    """Three first estimates per part: quartiles; covariances of spatial signs; correlations of squashed deviations."""
+    off = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}") for i in range(_P)]
+    length = F.sqrt(sum((z * z for z in off), F.lit(1e-12)))
+    kinds = {1: [z / length for z in off], 2: [F.tanh(z) for z in off]}
+    sums = [
+        F.sum(F.rint(kinds[k][i] * kinds[k][j] * _UNIT).cast("bigint").cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"k{k}{i}{j}")
+        for k in kinds
+        for i, j in _PAIRS
+    ]
+    found = rows.join(middles, "part").groupBy("part").agg(*sums).join(middles, "part")
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.to_dict("records"):
+                scale = np.array([row[f"d{i}"] for i in range(_P)])
+                shapes = [np.eye(_P)]
+                for k in (1, 2):
+                    shapes.append(_matrix([float(row[f"k{k}{i}{j}"]) / _UNIT / row["total"] for i, j in _PAIRS]))
+                for start, scatter in enumerate(first_scatters(scale, shapes)):
+                    whole = scatter + np.diag([row[v] for v in _NOISE])
+                    centre = [float(row[f"m{i}"]) for i in range(_P)]
+                    logdet = float(np.linalg.slogdet(whole)[1])
+                    out.append((row["part"], start, centre, _triangle(np.linalg.inv(whole)), _triangle(scatter), logdet, int(row["total"])))
+            yield pd.DataFrame(out, columns=["part", "start", "centre", "precision", "scatter", "logdet", "n"])
+
+    return found.mapInPandas(solve, _ESTIMATE)
+
+
+def first_scatters(scale, shapes):
+    """Scatters of the starts, given the quartile deviations, and identity, sign and squashed second moments."""
+    squashed = shapes[2] + 1e-3 * np.eye(_P)
+    root = np.sqrt(np.diag(squashed))
+    for shape in (shapes[0], _P * shapes[1], squashed / np.outer(root, root)):
+        yield shape * np.outer(scale, scale)
+
+
+def ring() -> Column:
+    return F.floor(F.log(F.col("d") + 1e-9) * _RINGS)
+
+
+def _concentrate(rows, now, middles):
+    """One concentration step for every part and start in ``now``."""
+    far = rows.join(now.select("part", "start", "centre", "precision"), "part").withColumn("d", distance())
+    rings = far.groupBy("part", "start", ring().alias("ring")).agg(*_moments())
+    upto = Window.partitionBy("part", "start").orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = middles.select("part", "total", *_NOISE)
+    # At least half of the rows: half of rows and dimensions, rounded up.
+    half = F.least(F.col("total"), F.floor((F.col("total") + _P + 1) / 2))
+    kept = (
+        rings.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).join(sizes, "part").where(F.col("before") < half)
     )
+    summed = kept.groupBy("part", "start", "total", *_NOISE).agg(*[F.sum(c).alias(c) for c in _MOMENTS])
+    return summed.mapInPandas(_solve(False), _ESTIMATE)
+
+
+def shrunk(own, pool, n):
+    """Centre and scatter of a group of ``n`` rows, drawn towards those of all texts."""
+    share = n / (n + SHRINK)
+    return tuple(share * np.asarray(a) + (1 - share) * np.asarray(b) for a, b in zip(own, pool))
+
+
+def noisy_distances(vectors, counting, centres, scatters):
+    """Mahalanobis distances, with the counting noise of each text in its scatter."""
+    off = vectors - centres
+    whole = scatters + counting[:, :, None] * np.eye(_P)
+    return np.sqrt(np.maximum(np.einsum("ni,ni->n", off, np.linalg.solve(whole, off[:, :, None])[:, :, 0]), 0))
+
+
+def text_distance() -> Column:
+    """Distance of each text under the columns ``centre`` and ``scatter``; null without them."""
+
+    @F.pandas_udf("double")
+    def distances(vectors: pd.Series, counting: pd.Series, centre: pd.Series, scatter: pd.Series) -> pd.Series:
+        found = pd.Series(np.nan, index=vectors.index)
+        known = centre.notna()
+        if known.any():
+            arrays = [np.array(c[known].tolist(), float) for c in (vectors, counting, centre)]
+            found[known] = noisy_distances(*arrays, np.array([_matrix(t) for t in scatter[known]]))
+        return found
+
+    return distances(F.array(*[c.cast("double") for c in vector()]), F.array(*[c.cast("double") for c in noise()]), "centre", "scatter")
 
 
 def fit_scatter(table: DataFrame, folder: str) -> DataFrame:
-    """``lang, source, centre, precision`` for the groups of a written statistics table.
+    """``lang, source, centre, scatter`` for the groups of a written statistics table.
 
     ``table`` has ``lang, source`` (no nulls) and the counts; rows that fail the
-    base rules are left out. The result has one row per group.
+    base rules are left out. The result has one row per group. On the driver are the
+    number of groups that still improve, and the estimate of all texts.
     """
-    rows = table.where(~base_failed()).select("lang", "source", *vector())
-    sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size"))
+    good = table.where(~base_failed())
     own = F.to_json(F.struct("lang", "source"))
-    parts = _written(
-        sizes.select("lang", "source", F.when(F.col("size") >= MIN_GROUP, own).otherwise("").alias("part")),
-        folder,
-        "parts",
+    # Every row counts in its group and in the part of all texts, which has no name.
+    rows = _written(
+        good.select("lang", "source", F.explode(F.array(own, F.lit(""))).alias("part"), *vector(), *noise()), folder, "vectors"
     )
-    inside = _chi_square_quantile(0.975, _P)
-    now = _written(parts.join(_start(rows.join(parts, ["lang", "source"])), "part"), folder, "start")
-    for step in range(STEPS + 1):
-        last = step == STEPS
-        far = rows.join(now, ["lang", "source"]).withColumn("d", distance())
-        if last:
-            # Reweighting: all rows inside the 97.5 % distance of the estimate.
-            moments = _summed(far.where(F.col("d") <= inside).groupBy("part").agg(*_moments()))
-        else:
-            ring = F.floor(F.log(F.col("d") + 1e-9) * 8)
-            rings = far.groupBy("part", ring.alias("ring")).agg(*_moments())
-            upto = Window.partitionBy("part").orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)
-            kept = (
-                rings.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-                .withColumn("total", F.sum("n").over(Window.partitionBy("part")))
-                .where(F.col("before") < F.ceil(F.lit(CORE) * F.col("total")))
-            )
-            moments = _summed(kept)
-        solved = moments.mapInPandas(_estimates(_consistency(0.975 if last else CORE)), _ESTIMATE)
-        now = _written(parts.join(solved, "part"), folder, f"step{step}")
-    pooled = rows.join(parts, ["lang", "source"]).where("part = ''").limit(MIN_GROUP).count()
-    return now if pooled >= MIN_GROUP else now.where("part <> ''")
+    middles = _written(_middles(rows), folder, "middles")
+    now = _written(_starts(rows, middles), folder, "starts")
+    for step in range(2):
+        now = _written(_concentrate(rows, now, middles), folder, f"start{step}")
+    least = now.groupBy("part").agg(F.min_by(F.struct("start", "centre", "precision", "scatter", "logdet", "n"), F.struct("logdet", "start")).alias("best"))
+    best = _written(least.select("part", "best.*", F.lit(True).alias("falling")), folder, "best0")
+    step = 0
+    while not best.where("falling").isEmpty():
+        step += 1
+        tried = _concentrate(rows, best.where("falling"), middles)
+        new = tried.select("part", F.struct("start", "centre", "precision", "scatter", "logdet", "n").alias("new"))
+        better = F.coalesce(F.col("new.logdet") < F.col("logdet") - 1e-6, F.lit(False))
+        names = ["start", "centre", "precision", "scatter", "logdet", "n"]
+        kept = [F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in names]
+        best = _written(best.join(new, "part", "left").select("part", *kept, better.alias("falling")), folder, f"best{step}")
+    far = rows.join(best.select("part", "start", "centre", "precision"), "part").withColumn("d", distance())
+    inside = far.where(F.col("d") <= _chi_square_quantile(0.975, _P)).groupBy("part", "start").agg(*_moments())
+    weighted = inside.join(middles.select("part", "total", *_NOISE), "part").mapInPandas(_solve(True), _ESTIMATE)
+    final = _written(weighted, folder, "final")
+    pool = [(r["centre"], _matrix(r["scatter"])) for r in final.where("part = ''").collect()]
+
+    def finish(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.to_dict("records"):
+                centre, scatter = shrunk((row["centre"], _matrix(row["scatter"])), pool[0], row["n"])
+                out.append((row["part"], centre.tolist(), _triangle(scatter)))
+            yield pd.DataFrame(out, columns=["part", "centre", "scatter"])
+
+    groups = final.where("part <> ''").select("part", "centre", "scatter", "n")
+    solved = groups.mapInPandas(finish, "part string, centre array<double>, scatter array<double>")
+    names = rows.where("part <> ''").select("lang", "source", "part").distinct()
+    return _written(names.join(solved, "part").select("lang", "source", "centre", "scatter"), folder, "fitted")
 
 
 def statistics_table(documents: DataFrame, *ids: str) -> DataFrame:
@@ -284,14 +410,14 @@ def statistics_table(documents: DataFrame, *ids: str) -> DataFrame:
 
 
 def judge(table: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Adds ``base_failed``, ``distance`` (null without an estimate or words) and ``kept``."""
-    judged = table.withColumn("base_failed", base_failed())
-    x = {f"x{i}": c for i, c in enumerate(vector())}
-    judged = judged.withColumns(x).join(estimates.select("lang", "source", "centre", "precision"), ["lang", "source"], "left")
-    judged = judged.withColumn("distance", F.when(~F.col("base_failed") & F.col("precision").isNotNull(), F.sqrt(distance())))
+    """Adds ``base_failed``, ``distance`` (null where the base rules fail) and ``kept``."""
+    known = estimates.select("lang", "source", "centre", "scatter")
+    judged = table.join(known, ["lang", "source"], "left").withColumn("base_failed", base_failed())
+    far = text_distance()
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), F.nanvl(far, F.lit(None).cast("double"))))
     limit = float(np.sqrt(_chi_square_quantile(CUTOFF, _P)))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
-    return judged.withColumn("kept", kept).drop("centre", "precision", *x)
+    return judged.withColumn("kept", kept).drop("centre", "scatter")
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:

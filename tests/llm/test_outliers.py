@@ -1,5 +1,6 @@
-"""Outlier rules: counts against brute force, the estimate against a direct one."""
+"""Outlier rules: counts against brute force, estimate and verdicts against a direct computation."""
 
+import math
 import random
 
 import numpy as np
@@ -64,29 +65,109 @@ def test_a_text_that_only_repeats_lines_or_words_goes(documents):
     assert not any(rows[i].kept or rows[i].base_failed for i in (1000, 1001))
 
 
-def test_estimate_equals_a_direct_one(spark, documents, tmp_path):
-    written = outliers.statistics_table(table(documents))
-    written.write.parquet(f"{tmp_path}/t")
-    written = spark.read.parquet(f"{tmp_path}/t")
-    got = outliers.fit_scatter(written, f"{tmp_path}/w").collect()
-    x = np.array([list(r) for r in written.where(~outliers.base_failed()).select(*outliers.vector()).collect()], float)
-    spread = (np.quantile(x, 0.75, 0, method="inverted_cdf") - np.quantile(x, 0.25, 0, method="inverted_cdf")) / 1.349
-    centre = np.quantile(x, 0.5, 0, method="inverted_cdf")
-    floor = np.diag(np.square(outliers.FLOORS))
-    precision = np.linalg.inv(np.diag(spread**2) + floor)
-    for step in range(outliers.STEPS + 1):
+def direct(x, noise):
+    """Reweighted estimate of one group, in memory: three starts, two steps each, the best until its determinant stops falling."""
+    total, p = x.shape
+    noise = noise.mean(0)
+    quarter = lambda q: np.quantile(x, q, 0, method="inverted_cdf")
+    scale, middle = np.maximum((quarter(0.75) - quarter(0.25)) / 1.349, np.sqrt(noise)), quarter(0.5)
+    z = (x - middle) / scale
+    sign, squashed = z / np.sqrt((z * z).sum(1, keepdims=True) + 1e-12), np.tanh(z)
+    shapes = [np.eye(p), sign.T @ sign / total, squashed.T @ squashed / total]
+
+    def near(centre, precision):
         off = x - centre
-        d = np.maximum(((off @ precision) * off).sum(1), 0)
-        if step == outliers.STEPS:
-            near, factor = d <= outliers._chi_square_quantile(0.975, 4), outliers._consistency(0.975)
-        else:
-            ring = np.floor(np.log(d + 1e-9) * 8)
-            limit = np.sort(ring)[int(np.ceil(outliers.CORE * len(d))) - 1]
-            near, factor = ring <= limit, outliers._consistency(outliers.CORE)
-        centre = x[near].mean(0)
-        precision = np.linalg.inv(np.cov(x[near].T, bias=True) * factor + floor)
-    assert len(got) == 1 and np.allclose(got[0].centre, centre)
-    assert np.allclose(got[0].precision, [precision[i, j] for i, j in outliers._PAIRS])
+        return np.maximum(((off @ precision) * off).sum(1), 0)
+
+    def solve(core, factor):
+        centre = x[core].mean(0)
+        scatter = np.cov(x[core].T, bias=True).reshape(p, p) * factor
+        return centre, scatter, np.linalg.inv(scatter + np.diag(noise)), np.linalg.slogdet(scatter + np.diag(noise))[1]
+
+    def step(centre, precision):
+        ring = np.floor(np.log(near(centre, precision) + 1e-9) * outliers._RINGS)
+        core = ring <= np.sort(ring)[min(total, (total + p + 1) // 2) - 1]
+        return solve(core, outliers.core_factor(core.sum() / total))
+
+    tried = []
+    for scatter in outliers.first_scatters(scale, shapes):
+        found = step(middle, np.linalg.inv(scatter + np.diag(noise)))
+        tried.append(step(found[0], found[2]))
+    best = min(tried, key=lambda f: f[3])
+    while (found := step(best[0], best[2]))[3] < best[3] - 1e-6:
+        best = found
+    inside = near(best[0], best[2]) <= outliers._chi_square_quantile(0.975, p)
+    return (*solve(inside, outliers._consistency(0.975))[:2], total)
+
+
+def verdicts(texts):
+    """``kept`` and distance of ``(key, text)`` rows by the direct estimate."""
+    counts = np.array([brute(t) for _, t in texts], float).reshape(len(texts), 6)
+    n, lines = np.maximum(counts[:, 0], 1), np.maximum(counts[:, 5], 1)
+    x = np.rint(1000 * np.stack((np.log(np.maximum(counts[:, 1], 1) / n), np.sqrt(counts[:, 2] / n), np.sqrt(counts[:, 3] / lines), np.sqrt(counts[:, 4] / n)), 1))
+    noise = np.rint(outliers.CLUMPS * 250_000 / np.stack((n, n, lines, n), 1))
+    ok = (counts[:, 0] >= 50) & (100 * counts[:, 4] <= 50 * counts[:, 0])
+    pool = direct(x[ok], noise[ok])
+    limit = math.sqrt(outliers._chi_square_quantile(outliers.CUTOFF, 4))
+    far = np.full(len(texts), np.nan)
+    for key in {k for k, _ in texts}:
+        rows = np.array([k == key for k, _ in texts]) & ok
+        if rows.any():
+            own = direct(x[rows], noise[rows])
+            centre, scatter = outliers.shrunk(own[:2], pool[:2], own[2])
+            for i in np.flatnonzero(rows):
+                off = x[i] - centre
+                far[i] = np.sqrt(max(0, off @ np.linalg.inv(scatter + np.diag(noise[i])) @ off))
+    return ok & ~(far > limit), far
+
+
+def compare(df):
+    """The operator against the direct estimate, row by row; returns the kept ids."""
+    rows = df.select("doc_id", "lang", "source", "text").collect()
+    kept, far = verdicts([((r.lang or "", r.source or ""), r.text) for r in rows])
+    got = sorted(((r.doc_id, r.kept, r.distance) for r in outliers.quality_rules(df).collect()), key=repr)
+    expected = sorted(((r.doc_id, bool(k), None if np.isnan(d) else d) for r, k, d in zip(rows, kept, far)), key=repr)
+    assert [(g[0], g[1]) for g in got] == [(e[0], e[1]) for e in expected]
+    assert np.allclose([g[2] or 0 for g in got], [e[2] or 0 for e in expected], rtol=1e-6)
+    return {r[0] for r in got if r[1]}
+
+
+def test_query_equals_the_direct_estimate(spark):
+    compare(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+def test_groups_of_all_sizes(documents):
+    df = table(documents).withColumn("source", F.when(F.col("doc_id") % 50 > 0, F.concat(F.lit("s"), F.floor(F.sqrt(F.col("doc_id") % 50)))))
+    compare(df.repartition(4))
+
+
+def test_a_group_with_forty_percent_bad_rows(documents):
+    """More than a quarter of a group, from its own and from the general estimate."""
+    draw = random.Random(3)
+
+    def junk(i):
+        return " ".join(w + "##" if draw.random() < 0.25 else w for w in prose(i).split())
+
+    pairs = [(i, prose(i)) for i in range(72)] + [(1000 + i, junk(i)) for i in range(48)]
+    assert compare(documents(pairs)) == set(range(72))
+
+
+def test_verdicts_are_not_fixed_thresholds(documents):
+    """The same texts are usual in a source of tables and outliers among prose."""
+    def cells(i):
+        return " ".join(w + "|" if k % 4 == 0 else w for k, w in enumerate(prose(i).split()))
+
+    df = documents([(i, prose(i)) for i in range(150)] + [(1000 + i, cells(i)) for i in range(3)] + [(2000 + i, cells(i)) for i in range(400)])
+    df = df.withColumn("source", F.when(F.col("doc_id") >= 2000, "tables").otherwise("prose"))
+    kept = compare(df)
+    assert {i for i in kept if i < 2000} == set(range(150)) and {i for i in kept if i >= 2000} == set(range(2000, 2400))
+
+
+def test_verdicts_hardly_depend_on_the_size_of_the_input(documents):
+    """A clear outlier goes in a table of 10, 90 and 900 rows alike."""
+    bad = " ".join(w + "***" for w in prose(77).split())
+    for n in (10, 90, 900):
+        assert compare(documents([(i, prose(i)) for i in range(n)] + [(5000, bad)])) == set(range(n))
 
 
 def test_small_groups_share_one_estimate_and_the_stage_keeps_columns(documents, odd_columns):
@@ -99,5 +180,6 @@ def test_small_groups_share_one_estimate_and_the_stage_keeps_columns(documents,
 
 def test_empty_table_and_too_few_rows(documents):
     assert outliers.quality_rules(documents([])).count() == 0
-    few = outliers.quality_rules(documents([(1, prose(1)), (2, prose(2) + " ###")])).collect()
-    assert all(r.kept and r.distance is None for r in few)
+    assert compare(documents([(1, prose(1)), (2, prose(2) + " ###")])) == {1, 2}
+    assert compare(documents([(1, prose(1))])) == {1}
+    assert outliers.quality_rules(documents([(1, "few words"), (2, None)])).where("kept").count() == 0
