@@ -1,22 +1,29 @@
-"""Substring dedup: runs of repeated windows, counted over content-defined blocks; no Lempel-Ziv parse.
+"""Substring dedup by relative Lempel-Ziv parsing against indexed blocks.
 
 Every text is cut into overlapping blocks at its own content: neighbouring
 35-word windows whose least 8-word hash (the block's *seed*) is the same one
 form a block, so that equal passages are cut alike wherever they stand. All
-blocks of all documents are indexed by their seed. A document is then parsed
-from left to right against the index:
-
-* a seed that occurs once has no copy: no factor passes through its block;
-* a seed whose occurrences all lie in equal blocks extends the factor by the whole block;
-* at any other seed the copies begin or end: these factor boundaries are checked
-  window by window against the windows of all blocks with such seeds.
-
-A factor is a run of repeated windows, without a reference position. Each window lies inside
-one block, so a factor is at least a window long, no repeated window is missed,
-and every word of a factor is in a repeated window: factors are the duplicate
-spans. Blocks and windows are counted with map-side sums and texts are shuffled
-once, by a key of the whole row; nothing is grouped by passage, so a passage that
-a third of all documents share costs one counter per task.
+blocks of all documents are reference blocks: they are indexed by seed and
+content, and a content that occurs twice or more keeps its least and its greatest
+place (document, block) as references. A document is parsed from left to right:
+
+* a block whose content occurs elsewhere begins a factor, a copy of the
+  reference from which most blocks can be copied on in the reference's own
+  order; the factor goes on while the next block follows in that reference;
+* a block with a seed that occurs elsewhere, but with other words around it, is
+  a factor boundary: copies begin or end in it. It is checked window by window
+  against the windows of all such blocks;
+* any other block has no copy of any of its windows, and no factor passes
+  through it.
+
+Factors and checked windows together are the duplicate spans. Each window lies
+inside one block, so a factor is at least a window long, no repeated window is
+missed, and every word of a span is in a repeated window. A factor is greedy
+over two references of each block, not over all occurrences: a passage that a
+third of all documents share costs one counter per task, and a longer copy in a
+third place may be told as two factors; the spans are the same. Blocks and
+windows are counted with map-side sums and texts are shuffled once, by a key of
+the whole row.
 
 Windows are compared by 96-bit hashes of their words.
 
@@ -119,21 +126,24 @@ def _emit_blocks(window, seed):
     def emit(batches):
         hasher = WordHasher()
         for batch in slices(batches):
-            k1, k2, number, seeds, content = [], [], [], [], []
-            for a, b, text in _rows(batch, "k1", "k2", "text"):
+            row, k1, k2, number, start, seeds, content = [], [], [], [], [], [], []
+            for i, (a, b, text) in enumerate(_rows(batch, "k1", "k2", "text")):
                 words = split_words(text)
                 if len(words) < window:
                     continue
                 hashes = hasher.hashes(words)
                 first, grams = cut_blocks(hashes, window, seed)
                 end = np.concatenate((first[1:], [len(words) - window + 1])) + window - 1
+                row.append(np.full(len(first), i))
                 k1.append(np.full(len(first), a))
                 k2.append(np.full(len(first), b, np.int32))
                 number.append(np.arange(len(first), dtype=np.int32))
+                start.append(first.astype(np.int32))
                 seeds.append(grams)
                 content.append(run_hashes(hashes, first, end))
-            columns = [_signed(k1), _signed(k2, np.int32), _signed(number, np.int32), _signed(seeds), _signed(content)]
-            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "block", "seed", "content"])
+            columns = [_signed(k1), *[_signed(c, np.int32) for c in (k2, number, start)], _signed(seeds), _signed(content)]
+            names = ["k1", "k2", "block", "first", "seed", "content", "doc"]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("doc").take(_signed(row))], names)
 
     return emit
 
@@ -172,20 +182,40 @@ def _emit_windows(window, seed):
     return emit
 
 
-def factors(words, copies, checked, hashes, window=WINDOW, seed=SEED):
-    """Spans ``(first word, end)`` of the greedy factors.
+def factors(copies):
+    """Greedy parse: ``(first block, number of blocks, reference)`` of each factor.
 
-    ``copies`` are blocks that are copied whole, ``checked`` the repeated
-    windows at factor boundaries.
+    ``copies`` are the blocks with a copy, in order: ``(block, references)``,
+    a reference being ``(document, block, ...)``. A factor takes the reference
+    that can be followed longest.
     """
-    n = len(words) - window + 1
-    if n <= 0 or not (len(copies) or len(checked)):
-        return []
-    repeated = _block_windows(hashes, np.array(copies, np.int64), window, seed) if len(copies) else np.zeros(n, bool)
+    runs = {}
+    for block, references in reversed(copies):
+        after = runs.get(block + 1, ())
+        runs[block] = [
+            (1 + max([n for n, other in after if other[0] == r[0] and other[1] == r[1] + 1], default=0), r) for r in references
+        ]
+    found, at = [], 0
+    for block, _ in copies:
+        if block >= at:
+            n, reference = max(runs[block], key=lambda run: run[0])
+            found.append((block, n, reference))
+            at = block + n
+    return found
+
+
+def duplicate_spans(hashes, parsed, checked, window=WINDOW, seed=SEED):
+    """Spans ``(first word, end)`` of the factors, and of these together with the repeated windows at factor boundaries."""
+    n = len(hashes) - window + 1
+    first = np.append(cut_blocks(hashes, window, seed)[0], n)
+    copied = [(int(first[b]), int(first[b + k]) + window - 1) for b, k, _ in parsed]
+    repeated = np.zeros(n, bool)
+    for a, b in copied:
+        repeated[a : b - window + 1] = True
     if len(checked):
         repeated[np.array(checked)] = True
     edge = np.flatnonzero(np.diff(np.concatenate(([False], repeated, [False])).astype(np.int8)))
-    return [(int(a), int(b) + window - 1) for a, b in zip(edge[::2], edge[1::2])]
+    return copied, [(int(a), int(b) + window - 1) for a, b in zip(edge[::2], edge[1::2])]
 
 
 def _kept_words(words, spans):
@@ -197,16 +227,27 @@ def _kept_words(words, spans):
     return kept + words[at:] if spans else words
 
 
+def _references(copies):
+    """Rows of a document's copied blocks -> ``(block, references)`` in order; a block is no copy of itself."""
+    places = [(c["block"], [((p["k1"], p["k2"]), p["block"], p) for p in (c["low"], c["high"])]) for c in copies]
+    return [(block, refs) for block, refs in sorted(places, key=lambda place: place[0])]
+
+
 def _apply(window, seed, digest):
     def apply(batches):
         hasher = WordHasher()
         for batch in slices(batches):
-            totals, removed, texts, all_spans = [], [], [], []
+            totals, removed, texts, all_spans, all_factors = [], [], [], [], []
             for text, copies, checked in _rows(batch, "text", "copies", "checked"):
                 words = split_words(text)
-                spans = []
+                spans, told = [], []
                 if copies or checked:
-                    spans = factors(words, copies or (), checked or (), hasher.hashes(words), window, seed)
+                    parsed = factors(_references(copies or ()))
+                    copied, spans = duplicate_spans(hasher.hashes(words), parsed, checked or (), window, seed)
+                    told = [
+                        {"first": a, "end": b, "doc": place["doc"], "doc_first": place["first"]}
+                        for (a, b), (_, _, (_, _, place)) in zip(copied, parsed)
+                    ]
                 kept = _kept_words(words, spans)
                 joined = b" ".join(kept)
                 totals.append(len(words))
@@ -216,60 +257,62 @@ def _apply(window, seed, digest):
                 else:
                     texts.append(joined.decode("utf-8") if spans else text)
                 all_spans.append([{"first": a, "end": b} for a, b in spans])
+                all_factors.append(told)
+            doc = batch.schema.field("copies").type.value_type.field("low").type.field("doc").type
+            kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("doc", doc), ("doc_first", pa.int32())]))
             columns = [
                 batch.column(batch.schema.get_field_index("row")),
                 pa.array(totals, pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array(texts, pa.string()),
                 pa.array(all_spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
+                pa.array(all_factors, kind),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_removed", "kept", "spans"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_removed", "kept", "spans", "factors"])
 
     return apply
 
 
 def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -> DataFrame:
-    """``row`` (struct of the columns ``carry`` without the text), ``n_words, n_removed, kept, spans`` of each document.
+    """``row`` (struct of the columns ``carry`` without the text), ``n_words, n_removed, kept, spans, factors`` of each document.
 
     ``kept`` is the text without its duplicate spans (words joined by one
     space; a text without such spans unchanged), or with ``digest`` the SHA-256
-    of the kept words joined by one space.
+    of the kept words joined by one space. A factor names its first word and end
+    and the document and first word it is a copy of.
     """
-    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(c) for c in carry if c != "text"])
+    carried = [c for c in carry if c != "text"]
+    # The columns lie in a struct of their own, whatever their names.
+    row = F.struct(F.lit(0).alias("none"), F.struct(*[F.col(f"`{c}`").alias(c) for c in carried] or [F.lit(0).alias("none")]).alias("columns"))
     keyed = documents.select(
-        F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"), "text", row.alias("row")
+        F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"), "text", row.alias("row"), F.col("doc_id").alias("doc")
     )
     keys = ["k1", "k2"]
     folder = work_folder(documents.sparkSession, "substrings")
+    fields = "k1 bigint, k2 int, block int, first int, seed bigint, content bigint"
+    doc = T.StructField("doc", documents.schema["doc_id"].dataType)
     blocks = _written(
-        keyed.select(*keys, "text").mapInArrow(
-            _emit_blocks(window, seed), "k1 bigint, k2 int, block int, seed bigint, content bigint"
+        keyed.select(*keys, "text", "doc").mapInArrow(
+            _emit_blocks(window, seed), T.StructType([*T.StructType.fromDDL(fields).fields, doc])
         ),
         folder,
         "blocks",
     )
-    index = (
-        blocks.groupBy("seed")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
-        .where("n > 1")
-        .select("seed", (F.col("low") == F.col("high")).alias("whole"))
-    )
-    mixed_only = [F.when(~F.col("whole"), F.col(c)).alias(c) for c in ("seed", "content")]
-    hits = _written(blocks.join(index.hint("merge"), "seed").select(*keys, "block", *mixed_only), folder, "hits")
-    # Seeds in unequal blocks: equal blocks are copies, and one of each content stands for its windows.
-    mixed = hits.where("seed is not null")
-    place = F.struct(*keys, "block")
-    contents = mixed.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    judged = mixed.join(contents.hint("merge"), ["seed", "content"]).select(
-        *keys,
-        F.when(F.col("n") > 1, F.col("block")).alias("copy"),
-        F.when((F.col("n") == 1) | (place == F.col("first")), F.col("block")).alias("edge"),
-    )
-    whole = hits.where("seed is null").select(*keys, F.col("block").alias("copy"), F.lit(None).cast("int").alias("edge"))
+    keyed = keyed.drop("doc")
+    # What is counted is written before it is joined: then Spark can split a seed or content that is very common.
+    index = blocks.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
+    index = _written(index.where("n > 1").select("seed", (F.col("low") == F.col("high")).alias("whole")), folder, "index")
+    hits = _written(blocks.join(index, "seed"), folder, "hits")
+    place = F.struct(*keys, "block", "first", "doc")
+    contents = hits.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    judged = hits.join(_written(contents, folder, "contents"), ["seed", "content"])
+    # Seeds in unequal blocks: one of each content stands for its windows.
+    first = (F.struct(*keys, "block") == F.struct("low.k1", "low.k2", "low.block")) | (F.col("n") == 1)
     found = _written(
-        whole.union(judged)
-        .groupBy(*keys)
-        .agg(F.collect_set("copy").alias("copies"), F.collect_set("edge").alias("edges")),
+        judged.groupBy(*keys).agg(
+            F.collect_list(F.when(F.col("n") > 1, F.struct("block", *_others()))).alias("copies"),
+            F.collect_set(F.when(~F.col("whole") & first, F.col("block"))).alias("edges"),
+        ),
         folder,
         "found",
     )
@@ -280,7 +323,10 @@ def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -
     )
     common = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
     checked = windows.join(common.hint("merge"), ["h1", "h2"]).groupBy(*keys).agg(F.collect_set("at").alias("checked"))
-    kind = T.StructType([keyed.schema["row"], *T.StructType.fromDDL(_RESULT).fields])
+    told = T.ArrayType(
+        T.StructType([*T.StructType.fromDDL("first int, end int").fields, T.StructField("doc", doc.dataType), T.StructField("doc_first", T.IntegerType())])
+    )
+    kind = T.StructType([keyed.schema["row"], *T.StructType.fromDDL(_RESULT).fields, T.StructField("factors", told)])
     return (
         keyed.join(found.select(*keys, "copies").hint("merge"), keys, "left")
         .join(checked.hint("merge"), keys, "left")
@@ -289,10 +335,19 @@ def parse(documents: DataFrame, carry, digest=False, window=WINDOW, seed=SEED) -
     )
 
 
+def _others():
+    """The references of a block: the least and greatest place of its content, or twice the other one if it is one itself."""
+    own, low, high = (F.struct(f"{p}k1", f"{p}k2", f"{p}block") for p in ("", "low.", "high."))
+    return [
+        F.when(own == low, F.col("high")).otherwise(F.col("low")).alias("low"),
+        F.when(own == high, F.col("low")).otherwise(F.col("high")).alias("high"),
+    ]
+
+
 def substring_digests(documents: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of each document."""
     parsed = parse(documents, ["doc_id"], digest=True)
-    return parsed.select("row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+    return parsed.select("row.columns.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 def drop_repeated(documents: DataFrame) -> DataFrame:
@@ -302,4 +357,4 @@ def drop_repeated(documents: DataFrame) -> DataFrame:
     """
     columns = documents.columns
     parsed = parse(documents, columns)
-    return parsed.select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in columns])
+    return parsed.select(*[F.col("kept").alias("text") if c == "text" else F.col("row.columns")[c].alias(c) for c in columns])
