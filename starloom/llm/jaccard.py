@@ -333,12 +333,80 @@ def _emit_sets(size):
     def emit(batches):
         for rows, sets in _described(batches, size):
             right = pa.array([set_id(m) == n.as_py() for m, n in zip(sets, rows.column(0))], pa.bool_())
-            members = pa.array([m.tobytes() for m in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([rows.column(0), members], ["node", "members"]).filter(right)
+            members, sketches = (pa.array([f(m) for m in sets], pa.binary()) for f in (np.ndarray.tobytes, sketch))
+            yield pa.RecordBatch.from_arrays([rows.column(0), members, sketches], ["node", "members", "sketch"]).filter(right)
 
     return emit
 
 
+def sketch(shingles):
+    """How many shingles fall in each of 256 classes, up to 255: the difference of two sketches is at most that of the sets."""
+    counts = np.bincount((mix(shingles) >> np.uint64(56)).astype(np.int64), minlength=256)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _may_link(one, other, sizes, others, least):
+    """Whether sets can link by their sketches (rows of counts that broadcast against each other) and sizes."""
+    apart = np.abs(one - other).sum(-1)
+    return apart * (100 + least) <= (100 - least) * (sizes + others)
+
+
+def _counts(column):
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, 256).astype(np.int16)
+
+
+def _sift_pairs(least):
+    """Pairs with sketches and sizes -> pairs that can link."""
+
+    def sift(batches):
+        for batch in slices(batches):
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("one", "other", "n", "m")]
+            keep = np.zeros(0, bool)
+            if batch.num_rows:
+                one, other = (_counts(c.to_pylist()) for c in columns[:2])
+                keep = _may_link(one, other, columns[2].to_numpy(), columns[3].to_numpy(), least)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sift
+
+
+_SIFTED = ["family", "block", "chunk", "role", "node", "component"]
+
+
+def _sift_blocks(least):
+    """Rows of ``across`` with sketches, held sets first -> those that can link with a set of another component there."""
+
+    def sift(batches):
+        key, held, hit, counts = None, [], None, None
+        for batch in batches:
+            rows = list(zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*_SIFTED, "n", "sketch")]))
+            out = []
+            for row in rows:
+                if row[:3] != key:
+                    out += [held[i] for i in np.flatnonzero(hit)] if hit is not None else []
+                    key, held, hit = row[:3], [], None
+                if row[3] == 0:
+                    held.append(row)
+                    continue
+                if hit is None:
+                    hit, counts = np.zeros(len(held), bool), _counts([r[7] for r in held])
+                    sizes, names = np.array([r[6] for r in held]), np.array([r[5] for r in held])
+                near = _may_link(counts, _counts([row[7]]), sizes, row[6], least) & (names != row[5])
+                if near.any():
+                    hit |= near
+                    out.append(row)
+            yield _sifted(out)
+        if hit is not None:
+            yield _sifted([held[i] for i in np.flatnonzero(hit)])
+
+    return sift
+
+
+def _sifted(rows):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], _SIFTED)
+
+
 def linked(a, b, least=LEAST):
     """Whether two sorted sets link."""
     both = np.concatenate((a, b))
@@ -460,19 +528,21 @@ class _Held:
                 yield self.node[i]
 
 
-def across(labelled, sets, hold, folder):
+def across(labelled, sets, hold, folder, sift=None):
     """Links between sets that share a signature and lie in different components.
 
     ``labelled`` has ``sig, node, component``, ``sets`` has ``node, members``;
-    ``hold`` makes the index of a block of ``(node, component, members)``.
+    ``hold`` makes the index of a block of ``(node, component, members)``. With
+    ``sift``, rows with the ``sketch`` and size ``n`` of the sets pass through it
+    first, and only what it leaves meets whole. Signatures of two sets are done.
 
     A set outside the largest component of one of its signatures is held in a
     block of its family (the least such component); all members of its
     signatures stream past the block, each once.
     """
     counts = labelled.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    apart = largest.where("parts > 1").select("sig", F.col("top.component").alias("main"))
+    largest = counts.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+    apart = largest.where("parts > 1 and n > 2").select("sig", F.col("top.component").alias("main"))
     members = _written(labelled.join(apart.hint("merge"), "sig").select("sig", "node", "component", "main"), folder, "apart")
     outside = members.where("component <> main")
     owners = outside.groupBy("node").agg(F.min("main").alias("family"), F.min("component").alias("component"))
@@ -495,7 +565,13 @@ def across(labelled, sets, hold, folder):
     chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("chunks")).alias("chunk")
     first = held.join(chunks, place).select(*place, every, F.lit(0).alias("role"), "node", "component")
     after = stream.join(chunks, place).select(*place, chunk, F.lit(1).alias("role"), "node", "component")
-    placed = first.union(after).join(sets.hint("merge"), "node").select(*_MEETING)
+    rows = first.union(after)
+    if sift:
+        rows = rows.join(sets.select("node", F.expr("length(members) div 8").alias("n"), "sketch").hint("merge"), "node")
+        rows = rows.select(*_SIFTED, "n", "sketch").repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
+        schema = "family bigint, block bigint, chunk bigint, role int, node bigint, component bigint"
+        rows = _written(rows.mapInArrow(sift, schema), folder, "sifted")
+    placed = rows.join(sets.select("node", "members").hint("merge"), "node").select(*_MEETING)
     dealt = placed.repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
     return dealt.mapInArrow(_meet(hold), "a bigint, b bigint").distinct()
 
@@ -539,7 +615,7 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
         rows.join(degrees.hint("merge"), "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("row"))
     ).select("node", "row.*")
     texts = _keyed(documents).join(firsts.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    sets = _written(texts.select("node", "text").mapInArrow(_emit_sets(size), "node bigint, members binary"), folder, "sets")
+    sets = _written(texts.select("node", "text").mapInArrow(_emit_sets(size), "node bigint, members binary, sketch binary"), folder, "sets")
 
     similar = F.lit(100) * F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
     centres = (
@@ -552,10 +628,14 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     stars = met.join(centres.hint("merge"), "sig").where((F.col("node") != F.col("to")) & similar)
     ends = F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")
     tested = _written(stars.select(*ends).distinct(), folder, "stars")
-    first = components(_links(tested, sets, least), f"{folder}/first")
+    sketches = sets.select("node", F.expr("length(members) div 8").alias("n"), "sketch")
+    one, other = (sketches.select(*[F.col(c).alias(d) for c, d in zip(sketches.columns, names)]) for names in (("a", "n", "one"), ("b", "m", "other")))
+    near = tested.join(one, "a").join(other, "b").select("a", "b", "one", "other", "n", "m")
+    near = _written(near.mapInArrow(_sift_pairs(least), "a bigint, b bigint"), folder, "near")
+    first = components(_links(near, sets, least), f"{folder}/first")
 
     labelled = met.join(first.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = _written(across(labelled, sets, lambda held: _Held(held, least), folder), folder, "across")
+    found = _written(across(labelled, sets, lambda held: _Held(held, least), folder, _sift_blocks(least)), folder, "across")
     if found.isEmpty():
         return first
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)

@@ -121,6 +121,26 @@ def test_every_kind_of_segment_finds_all_links(documents, monkeypatch, kind, lea
     check(documents(families(random.Random(5), 6, 8, 50)).repartition(2), least=least, size=size)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 10**6))
+def test_sketches_never_part_linked_sets(size, changes, seed):
+    random = np.random.default_rng(seed)
+    one = np.unique(random.integers(0, 2**63, size, dtype=np.uint64))
+    other = np.unique(np.concatenate((one[changes // 2 :], random.integers(0, 2**63, changes // 2, dtype=np.uint64))))
+    a, b = (jaccard._counts([jaccard.sketch(s)]) for s in (one, other))
+    for least in (90, 80, 60):
+        may = jaccard._may_link(a, b, np.array([len(one)]), np.array([len(other)]), least)[0]
+        assert may or not jaccard.linked(one, other, least)
+
+
+def test_sketches_part_unrelated_sets():
+    random = np.random.default_rng(1)
+    for size in (30, 300, 2000):
+        sets = [random.integers(0, 2**63, size, dtype=np.uint64) for _ in range(60)]
+        counts = jaccard._counts([jaccard.sketch(s) for s in sets])
+        assert not any(jaccard._may_link(counts[i], counts[j], size, size, 80) for i in range(60) for j in range(i))
+
+
 def test_packed_holders():
     draw = np.random.default_rng(3)
     holders = np.empty(500, jaccard._HOLDER)
