@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import WordHasher, mix, ngram_hashes, split_words, slices
+from starloom.llm.words import UNCHANGED, byte_slices, mix, ngram_hashes, slices, text_word_hashes
 from starloom.session import work_folder
 
 WINDOW = 35
@@ -106,10 +106,24 @@ def run_hashes(hashes, first, end):
         return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
 
 
-def _rows(batch, *names):
-    columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-    for i in range(batch.num_rows):
-        yield [c[i].as_py() for c in columns]
+def _hashed(batch):
+    """``(row, text as bytes, word hashes)`` of each text of a batch."""
+    row = 0
+    for texts in byte_slices(batch.column(batch.schema.get_field_index("text"))):
+        hashes, bounds = text_word_hashes(texts, UNCHANGED)
+        for text, start, end in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield row, text, hashes[start:end]
+            row += 1
+
+
+def _numbers(batch, name):
+    return batch.column(batch.schema.get_field_index(name)).to_numpy()
+
+
+def _lists(column):
+    """Values of a list column, and where each row's begin and end; a null is an empty list."""
+    lengths = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    return column.flatten(), np.concatenate(([0], lengths.cumsum()))
 
 
 def _written(df, folder, name):
@@ -124,26 +138,23 @@ def _signed(parts, kind=np.int64):
 
 def _emit_blocks(window, seed):
     def emit(batches):
-        hasher = WordHasher()
         for batch in slices(batches):
-            row, k1, k2, number, start, seeds, content = [], [], [], [], [], [], []
-            for i, (a, b, text) in enumerate(_rows(batch, "k1", "k2", "text")):
-                words = split_words(text)
-                if len(words) < window:
+            a, b = _numbers(batch, "k1"), _numbers(batch, "k2")
+            row, number, start, seeds, content = [], [], [], [], []
+            for i, _, hashes in _hashed(batch):
+                if len(hashes) < window:
                     continue
-                hashes = hasher.hashes(words)
                 first, grams = cut_blocks(hashes, window, seed)
-                end = np.concatenate((first[1:], [len(words) - window + 1])) + window - 1
+                end = np.concatenate((first[1:], [len(hashes) - window + 1])) + window - 1
                 row.append(np.full(len(first), i))
-                k1.append(np.full(len(first), a))
-                k2.append(np.full(len(first), b, np.int32))
                 number.append(np.arange(len(first), dtype=np.int32))
                 start.append(first.astype(np.int32))
                 seeds.append(grams)
                 content.append(run_hashes(hashes, first, end))
-            columns = [_signed(k1), *[_signed(c, np.int32) for c in (k2, number, start)], _signed(seeds), _signed(content)]
+            row = np.concatenate(row) if row else np.zeros(0, np.int64)
+            columns = [pa.array(a[row]), pa.array(b[row]), _signed(number, np.int32), _signed(start, np.int32), _signed(seeds), _signed(content)]
             names = ["k1", "k2", "block", "first", "seed", "content", "doc"]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column("doc").take(_signed(row))], names)
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("doc").take(pa.array(row))], names)
 
     return emit
 
@@ -164,19 +175,20 @@ def _block_windows(hashes, blocks, window, seed):
 
 def _emit_windows(window, seed):
     def emit(batches):
-        hasher = WordHasher()
         for batch in slices(batches):
-            k1, k2, at, h1, h2 = [], [], [], [], []
-            for a, b, text, edges in _rows(batch, "k1", "k2", "text", "edges"):
-                hashes = hasher.hashes(split_words(text))
-                place = np.flatnonzero(_block_windows(hashes, np.array(edges), window, seed))
+            a, b = _numbers(batch, "k1"), _numbers(batch, "k2")
+            edges, bounds = _lists(batch.column(batch.schema.get_field_index("edges")))
+            edges = edges.to_numpy()
+            row, at, h1, h2 = [], [], [], []
+            for i, _, hashes in _hashed(batch):
+                place = np.flatnonzero(_block_windows(hashes, edges[bounds[i] : bounds[i + 1]], window, seed))
                 one, two = _window_hashes(hashes, window)
-                k1.append(np.full(len(place), a))
-                k2.append(np.full(len(place), b, np.int32))
+                row.append(np.full(len(place), i))
                 at.append(place.astype(np.int32))
                 h1.append(one[place])
                 h2.append(two[place])
-            columns = [_signed(k1), _signed(k2, np.int32), _signed(at, np.int32), _signed(h1), _signed(h2, np.int32)]
+            row = np.concatenate(row) if row else np.zeros(0, np.int64)
+            columns = [pa.array(a[row]), pa.array(b[row]), _signed(at, np.int32), _signed(h1), _signed(h2, np.int32)]
             yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "at", "h1", "h2"])
 
     return emit
@@ -227,27 +239,54 @@ def _kept_words(words, spans):
     return kept + words[at:] if spans else words
 
 
-def _references(copies):
-    """Rows of a document's copied blocks -> ``(block, references)`` in order; a block is no copy of itself."""
-    places = [(c["block"], [((p["k1"], p["k2"]), p["block"], p) for p in (c["low"], c["high"])]) for c in copies]
-    return [(block, refs) for block, refs in sorted(places, key=lambda place: place[0])]
+class _Copies:
+    """The copied blocks of a batch of documents, each with two references."""
+
+    def __init__(self, column):
+        values, self.bounds = _lists(column)
+        self.blocks = values.field("block").to_numpy()
+        self.places, self.docs = [], []
+        for name in ("low", "high"):
+            place = values.field(name)
+            self.places.append([place.field(c).to_numpy() for c in ("k1", "k2", "block", "first")])
+            self.docs.append(place.field("doc"))
+
+    def of(self, row):
+        """``(block, references)`` of a document, in order; the third part of a reference says where it is kept."""
+        start, end = self.bounds[row : row + 2]
+        if start == end:
+            return []
+        order = start + np.argsort(self.blocks[start:end], kind="stable")
+        columns = [[c[order].tolist() for c in side[:3]] for side in self.places]
+        sides = [zip(zip(k1, k2), block, [(side, at) for at in order.tolist()]) for side, (k1, k2, block) in enumerate(columns)]
+        return list(zip(self.blocks[order].tolist(), zip(*sides)))
+
+    def told(self, spans):
+        """Lists of factors for ``(row's spans, references)``."""
+        kind = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("doc", self.docs[0].type), ("doc_first", pa.int32())])
+        lengths = [len(s) for s in spans]
+        flat = [f for s in spans for f in s]
+        docs = [self.docs[side][at].as_py() for _, _, (side, at) in flat]
+        firsts = [int(self.places[side][3][at]) for _, _, (side, at) in flat]
+        columns = [[f[0] for f in flat], [f[1] for f in flat], docs, firsts]
+        values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], fields=list(kind))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), values)
 
 
 def _apply(window, seed, digest):
     def apply(batches):
-        hasher = WordHasher()
         for batch in slices(batches):
             totals, removed, texts, all_spans, all_factors = [], [], [], [], []
-            for text, copies, checked in _rows(batch, "text", "copies", "checked"):
-                words = split_words(text)
-                spans, told = [], []
-                if copies or checked:
-                    parsed = factors(_references(copies or ()))
-                    copied, spans = duplicate_spans(hasher.hashes(words), parsed, checked or (), window, seed)
-                    told = [
-                        {"first": a, "end": b, "doc": place["doc"], "doc_first": place["first"]}
-                        for (a, b), (_, _, (_, _, place)) in zip(copied, parsed)
-                    ]
+            copies = _Copies(batch.column(batch.schema.get_field_index("copies")))
+            checked, bounds = _lists(batch.column(batch.schema.get_field_index("checked")))
+            checked = checked.to_numpy()
+            for i, text, hashes in _hashed(batch):
+                copied, windows = copies.of(i), checked[bounds[i] : bounds[i + 1]]
+                words, spans, told = (text or b"").split(), [], []
+                if copied or len(windows):
+                    parsed = factors(copied)
+                    places, spans = duplicate_spans(hashes, parsed, windows, window, seed)
+                    told = [(a, b, where) for (a, b), (_, _, (_, _, where)) in zip(places, parsed)]
                 kept = _kept_words(words, spans)
                 joined = b" ".join(kept)
                 totals.append(len(words))
@@ -255,18 +294,16 @@ def _apply(window, seed, digest):
                 if digest:
                     texts.append(hashlib.sha256(joined).hexdigest())
                 else:
-                    texts.append(joined.decode("utf-8") if spans else text)
+                    texts.append(joined.decode("utf-8") if spans else None if text is None else text.decode("utf-8"))
                 all_spans.append([{"first": a, "end": b} for a, b in spans])
                 all_factors.append(told)
-            doc = batch.schema.field("copies").type.value_type.field("low").type.field("doc").type
-            kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("doc", doc), ("doc_first", pa.int32())]))
             columns = [
                 batch.column(batch.schema.get_field_index("row")),
                 pa.array(totals, pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array(texts, pa.string()),
                 pa.array(all_spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
-                pa.array(all_factors, kind),
+                copies.told(all_factors),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_removed", "kept", "spans", "factors"])
 

@@ -61,6 +61,8 @@ _CHUNK = 1 << 20
 _RANDOM = np.random.default_rng(20)
 #: Bytes of one word and their neighbours: A to Z lower case, all separators a space.
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b for b in range(256))
+#: All separators a space, other bytes unchanged.
+UNCHANGED = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b for b in range(256))
 _VALUES = _RANDOM.integers(0, 2**64, 256, np.uint64)
 _BASE = 0xD1342543DE82EF95
 _POWERS = []
@@ -110,10 +112,13 @@ def folded_word_hashes(folded):
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def text_word_hashes(texts):
-    """For texts as UTF-8 bytes (or None), A to Z taken as lower case: hashes of all words and the bounds of each text's words."""
+def text_word_hashes(texts, table=_FOLD):
+    """For texts as UTF-8 bytes (or None): hashes of all words and the bounds of each text's words.
+
+    ``table`` takes A to Z as lower case, or leaves words ``UNCHANGED``.
+    """
     texts = [t or b"" for t in texts]
-    hashes, starts = folded_word_hashes(b" ".join(texts).translate(_FOLD))
+    hashes, starts = folded_word_hashes(b" ".join(texts).translate(table))
     ends = np.cumsum([0, *[len(t) + 1 for t in texts]])
     return hashes, np.searchsorted(starts, ends)
 
