@@ -54,8 +54,8 @@ from starloom.session import work_folder
 SHINGLE = 3
 #: Least similarity, in hundredths.
 LEAST = 90
-#: Signatures of a batch that meet before the shuffle, and distinct ones in a bucket, about.
-BATCH_SIGNATURES, BUCKET_SIGNATURES = 1 << 19, 1 << 21
+#: Signatures of a batch that meet before the shuffle or in a bucket at a time, and distinct ones in a bucket, about.
+BATCH_SIGNATURES, BUCKET_SIGNATURES = 1 << 18, 1 << 20
 
 
 def shingle_sets(texts, size=SHINGLE):
@@ -310,8 +310,11 @@ def _match(batches):
 
     def settle():
         nonlocal known, waiting, size
-        holders, first = _in_order(np.concatenate([known, *waiting]))
-        known, waiting, size = holders[first], [], 0
+        waiting.append(known)
+        known = np.concatenate(waiting)
+        waiting, size = [], 0
+        holders, first = _in_order(known)
+        known = holders[first]
         return rows(holders[_shared(holders, first)])
 
     for batch in batches:
@@ -323,7 +326,7 @@ def _match(batches):
             else:
                 waiting.append(holders)
                 size += len(holders)
-                if size >= BUCKET_SIGNATURES:
+                if size >= BATCH_SIGNATURES:
                     yield settle()
     if waiting:
         yield settle()

@@ -114,8 +114,7 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("kind", KINDS)
-@pytest.mark.parametrize(("least", "size"), [(90, 3), (80, 5)])
+@pytest.mark.parametrize(("kind", "least", "size"), [(kind, *((90, 3), (80, 5))[i % 2]) for i, kind in enumerate(KINDS)])
 def test_every_kind_of_segment_finds_all_links(documents, monkeypatch, kind, least, size):
     monkeypatch.setattr(jaccard, "allocate", lambda top, differences, sets: KINDS[kind](differences))
     check(documents(families(random.Random(5), 6, 8, 50)).repartition(2), least=least, size=size)
