@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Codes in a block, and queries that stream past a block in one task.
+#: Codes in a block, and queries that stream past a block in one task: at most, and at least if tasks would be idle.
 BLOCK_ROWS = 200_000
 CHUNK_QUERIES = 100_000
+LEAST_QUERIES = 500
 _BITS = 16
 _VALUES = np.arange(1 << _BITS, dtype=np.uint16)
 #: Differences of a segment by their number of bits.
@@ -147,7 +148,9 @@ def nearest_codes(vectors: DataFrame, queries: DataFrame, k=10, block_rows=BLOCK
     entries = few.groupBy("bits", "code").agg(F.collect_list("id").alias("ids"))
     asked = coded(queries).dropDuplicates(["id", "bits", "code"])
     blocks = max(1, -(-vectors.count() // block_rows))
-    chunks = max(1, -(-queries.count() // CHUNK_QUERIES))
+    number = queries.count()
+    idle = vectors.sparkSession.sparkContext.defaultParallelism // blocks
+    chunks = max(1, -(-number // CHUNK_QUERIES), min(idle, number // LEAST_QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")
     base = entries.select("bits", block.alias("block"), every(chunks).alias("chunk"), F.lit(0).alias("role"), "code", "ids")

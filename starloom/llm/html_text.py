@@ -4,10 +4,11 @@ A page is cut into tags and text. The tree builder keeps the stack of open
 elements, closes those that a tag implies to be over (``head`` before what is not
 its content, ``p`` before a block, list items, table parts and cells, options) and
 opens table parts that are missing.
-The layout follows its start and end events: hidden elements give nothing, blocks
+The layout follows its start and end events: elements that are not displayed give
+nothing; in invisible ones only what is made visible again gives text. Blocks
 start on a new line, paragraphs, headings, lists and tables have a blank line
 around them, list items are marked and indented, ``pre`` keeps its spaces, and
-the cells of a table are aligned in columns.
+the cells of a table are aligned in columns, also past cells that span rows.
 
 Defined results: a null page gives null, a page without visible text ''. Unclosed
 tags, quotes and comments end with the page; unknown tags are inline. Other
@@ -241,11 +242,11 @@ class Layout:
 
     def __init__(self):
         self.flows = [_Flow()]
-        self.hidden, self.kept = 0, 0
+        self.hidden, self.kept, self.visible = 0, 0, True
         self.frames, self.lists, self.tables = [], [], []
 
     def text(self, text):
-        if self.hidden or not text or self._closed_details("text"):
+        if self.hidden or not self.visible or not text or self._closed_details("text"):
             return
         if self.tables and len(self.flows) == self.tables[-1][1]:
             if not text.strip():
@@ -257,12 +258,12 @@ class Layout:
             flow.add(text)
 
     def void(self, name, attributes):
-        if self.hidden:
+        if self.hidden or not self.visible:
             return
         flow = self.flows[-1]
         if name == "br":
             flow.next_line(keep_empty=True)
-        elif name == "hr" and not _is_hidden(name, attributes):
+        elif name == "hr" and not _is_hidden(name, attributes) and _visibility(attributes, True):
             flow.blank_line()
             flow.add("---")
             flow.blank_line()
@@ -272,10 +273,12 @@ class Layout:
     def start(self, name, attributes):
         concealed = bool(self.hidden) or _is_hidden(name, attributes) or self._closed_details(name)
         flow = self.flows[-1]
-        self.frames.append((name, concealed, flow.indent, "open" in _attributes(attributes) if name == "details" else True))
+        is_open = "open" in _attributes(attributes) if name == "details" else True
+        self.frames.append((name, concealed, flow.indent, is_open, self.visible))
         if concealed:
             self.hidden += 1
             return
+        self.visible = _visibility(attributes, self.visible)
         if name in BLOCKS:
             if name in SPACED and not (name in LISTS and self.lists):
                 flow.blank_line()
@@ -289,7 +292,7 @@ class Layout:
             flow.indent += 2
         elif name in ("blockquote", "dd"):
             flow.indent += 2
-        elif name == "li":
+        elif name == "li" and self.visible:
             numbered = self.lists and self.lists[-1][0] == "ol"
             flow.mark = f"{self.lists[-1][1]}. " if numbered else "- "
             if numbered:
@@ -299,19 +302,23 @@ class Layout:
         elif name == "tr":
             self.tables[-1][0].append([])
         elif name in CELLS:
-            span = _attributes(attributes).get("colspan") or "1"
+            known = _attributes(attributes)
+            span = known.get("colspan") or "1"
             span = min(1000, max(1, int(span))) if span.isdecimal() and len(span) < 6 else 1
-            self.tables[-1][0][-1].append([None, span])
+            rows = known.get("rowspan") or "1"
+            rows = min(65_534, int(rows)) if rows.isdecimal() and len(rows) < 9 else 1
+            self.tables[-1][0][-1].append([None, span, rows or 65_534])
             self.flows.append(_Flow())
 
     def _closed_details(self, name):
         return bool(self.frames) and self.frames[-1][0] == "details" and not self.frames[-1][3] and name != "summary"
 
     def end(self, name):
-        _, concealed, indent, _ = self.frames.pop()
+        _, concealed, indent, _, visible = self.frames.pop()
         if concealed:
             self.hidden -= 1
             return
+        self.visible = visible
         flow = self.flows[-1]
         if name in ("pre", "textarea", "xmp"):
             self.kept -= 1
@@ -346,15 +353,21 @@ class Layout:
 
 def _aligned(rows):
     """Lines of a table: columns as wide as their widest cell, two spaces apart."""
-    widths = {}
-    placed = []
+    widths, placed = {}, []
+    # Columns that cells of earlier rows reach into, and for how many rows more.
+    taken = {}
     for row in rows:
-        at, cells = 0, []
-        for lines, span in row:
+        at, cells, reaching = 0, [], {}
+        for lines, span, deep in row:
+            while taken.get(at):
+                at += 1
             cells.append((at, lines))
             if span == 1:
                 widths[at] = max([widths.get(at, 0), *map(len, lines)])
+            if deep > 1:
+                reaching |= dict.fromkeys(range(at, at + span), deep - 1)
             at += span
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | reaching
         placed.append(cells)
     last = max(widths, default=-1)
     start, total = [], 0
@@ -381,18 +394,35 @@ def _attributes(source):
     return found
 
 
+def _style(known):
+    """Declarations of a style attribute, the last of a name; without comments and marks of importance."""
+    source = re.sub(r"/\*.*?(?:\*/|\Z)", " ", known.get("style", ""), flags=re.S).lower()
+    pairs = (part.partition(":") for part in source.split(";"))
+    return {name.strip(): re.sub(r"\s*!\s*important$", "", value.strip()) for name, colon, value in pairs if colon}
+
+
 def _is_hidden(name, attributes):
+    """Whether an element and all in it is not displayed."""
     if name in HIDDEN:
         return True
-    if "hidden" in attributes.lower() or "display" in attributes or "style" in attributes.lower():
-        known = _attributes(attributes)
-        style = re.sub(r"\s", "", known.get("style", "").lower())
-        return "hidden" in known or "display:none" in style or "visibility:hidden" in style or (
-            name == "input" and known.get("type", "").lower() == "hidden"
-        )
+    lowered = attributes.lower()
+    known = _attributes(attributes) if "hidden" in lowered or "style" in lowered else {}
+    if "hidden" in known or name == "input" and known.get("type", "").lower() == "hidden":
+        return True
+    style = _style(known)
+    if style.get("display") == "none" or style.get("content-visibility") == "hidden":
+        return True
     return name == "dialog" and "open" not in _attributes(attributes)
 
 
+def _visibility(attributes, inherited):
+    """Whether the text of an element is visible, given that of its parent."""
+    if "visibility" not in attributes.lower():
+        return inherited
+    value = _style(_attributes(attributes)).get("visibility")
+    return {"visible": True, "initial": True, "hidden": False, "collapse": False}.get(value, inherited)
+
+
 def render(source):
     """Visible text of a page; None for None."""
     if source is None:

@@ -9,6 +9,8 @@ the least padding. Inside a bucket with boundary ``b`` every batch has
 Pieces are numbered in two levels: a bucket is dealt by hash to shards of about
 ``SHARD_ROWS`` pieces, numbered inside a shard, and moved up by the sizes of the
 shards before. A hot bucket is thus many tasks, and batches run on across shards.
+Lengths are counted once and written, with a number for each row, so that rows
+that repeat an id (or have none) are dealt to different shards.
 
 Defined results: documents without tokens (also null) have one row with
 ``n_tokens`` 0 and no bucket or batch. Repeated rows are packed one by one;
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starloom.session import work_folder
+
 MAX_LENGTH = 2048
 BUCKETS = 16
 #: Padded tokens in a batch.
@@ -71,17 +75,23 @@ def pack(documents: DataFrame, tokens: Column, max_length=MAX_LENGTH, buckets=BU
     ``bucket`` is the padded length, ``batch`` counts from 0 in each bucket.
     """
     whole = F.lit(max_length).cast("bigint")
-    counted = documents.select("doc_id", tokens.alias("total"))
+    folder = work_folder(documents.sparkSession, "packing")
+    documents.select("doc_id", tokens.alias("total"), F.monotonically_increasing_id().alias("row")).write.parquet(folder)
+    counted = documents.sparkSession.read.parquet(folder)
     last = F.when(F.col("total") > 0, F.floor((F.col("total") - 1) / whole))
-    pieces = counted.select("doc_id", "total", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
+    pieces = counted.select("doc_id", "total", "row", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
     first = F.coalesce(F.col("piece") * whole, F.lit(0))
     pieces = pieces.select(
-        "doc_id", F.coalesce("piece", F.lit(0)).alias("piece"), first.alias("first_token"), F.least(F.col("total") - first, whole).alias("n_tokens")
+        "doc_id",
+        F.coalesce("piece", F.lit(0)).alias("piece"),
+        first.alias("first_token"),
+        F.least(F.col("total") - first, whole).alias("n_tokens"),
+        "row",
     )
     histogram = {r["n_tokens"]: r["count"] for r in pieces.where("n_tokens > 0").groupBy("n_tokens").count().collect()}
     bounds = best_boundaries(histogram, buckets)
     if not bounds:
-        return pieces.select("*", F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("bigint").alias("batch"))
+        return pieces.drop("row").select("*", F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("bigint").alias("batch"))
     sizes = [sum(c for v, c in histogram.items() if low < v <= b) for low, b in zip([0, *bounds], bounds)]
     shards = [-(-s // SHARD_ROWS) for s in sizes]
 
@@ -91,7 +101,7 @@ def pack(documents: DataFrame, tokens: Column, max_length=MAX_LENGTH, buckets=BU
             chosen = F.when(F.col("n_tokens") <= b, F.lit(value).cast("bigint")).otherwise(chosen)
         return F.when(F.col("n_tokens") > 0, chosen)
 
-    spread = F.xxhash64("doc_id", "piece")
+    spread = F.xxhash64("row", "piece")
     dealt = pieces.select("*", by_bucket(bounds).alias("bucket"), F.pmod(spread, by_bucket(shards)).alias("shard"))
     packed, empty = dealt.where("bucket is not null"), dealt.where("bucket is null")
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,7 +110,7 @@ def pack(documents: DataFrame, tokens: Column, max_length=MAX_LENGTH, buckets=BU
         .count()
         .select("bucket", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     )
-    inside = Window.partitionBy("bucket", "shard").orderBy(spread, "doc_id", "piece", "n_tokens")
+    inside = Window.partitionBy("bucket", "shard").orderBy(spread, "row", "piece")
     number = F.row_number().over(inside) - 1
     packed = packed.withColumn("number", number).join(offsets, ["bucket", "shard"])
     batch = F.floor((F.col("number") + F.col("offset")) / by_bucket([max(1, budget // b) for b in bounds]))

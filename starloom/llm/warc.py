@@ -1,23 +1,29 @@
 """WARC archives of pages, and a reader that salvages damaged ones.
 
-*Writing.* Every record is a gzip member of its own. Spark's text writer puts
-the members into files, with an empty member as separator, so that each file is
-a valid ``.warc.gz`` stream. Of records with equal payloads of at least
-``LEAST_REVISIT`` bytes, that with the smallest page id is the response and the
-others are revisits that name it; smaller ones are all responses.
+*Writing.* Every record is a gzip member of its own. A task joins members to
+pieces of about ``FILE_BYTES`` and Spark's text writer makes each a file, with an
+empty member as separator, so that each file is a valid ``.warc.gz`` stream. Of
+records with equal payloads of at least ``LEAST_REVISIT`` bytes, that with the
+smallest page id is the response and the others are revisits that name it;
+smaller ones are all responses. Payloads are not moved to find that out: ids and
+digests are counted, and only digests that occur twice are joined.
 
 *Reading.* A file is read member by member, or, where it is not compressed,
 record by record. A member or record that fails a check (member checksum,
 version line, header, length, end mark, block digest) is not trusted: the reader
 searches for the next member or version line at which a valid record starts, and
 logs the bytes between as a quarantined gap with the reason. Later records are
-thus recovered.
+thus recovered. The same search runs inside a member: a damaged record costs only
+itself, and its bytes of the decompressed content are logged. Of a member whose
+data break or whose checksum differs, the records before the last one found are
+recovered if their block digests hold.
 
 Defined results: a null html is an empty payload; a null url an empty target.
 Rows that repeat the smallest page id of a payload are all responses; a null id
 counts as the largest and is read back as null. Extra columns are not read.
 """
 
+import base64
 import gzip
 import hashlib
 import re
@@ -27,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.session import work_folder
+
 LEAST_REVISIT = 100
-#: Records in a file; a file is read by one task.
-FILE_RECORDS = 5_000
+#: Bytes of a written file, about; a file is read by one task.
+FILE_BYTES = 16 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -72,24 +80,36 @@ def build_record(page_id, url, payload, digest, first, date=DATE):
     return b"WARC/1.1\r\n" + head.encode("utf-8") + b"\r\n" + block + _END
 
 
-def _members(batches):
-    for batch in batches:
-        rows = zip(*[batch.column(i) for i in range(5)])
-        out = [gzip.compress(build_record(*(v.as_py() for v in row)), 6, mtime=0) for row in rows]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+def _members(file_bytes):
+    def members(batches):
+        joined, size = [], 0
+        for batch in batches:
+            for row in zip(*[batch.column(i) for i in range(5)]):
+                joined.append(gzip.compress(build_record(*(v.as_py() for v in row)), 6, mtime=0))
+                size += len(joined[-1])
+                if size >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(joined)], pa.binary())], ["members"])
+                    joined, size = [], 0
+        if joined:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(joined)], pa.binary())], ["members"])
 
+    return members
 
-def write_archives(pages: DataFrame, folder: str, records=FILE_RECORDS) -> None:
+
+def write_archives(pages: DataFrame, folder: str, file_bytes=FILE_BYTES) -> None:
     """Write ``page_id, url, html`` as files of gzip members below ``folder``."""
+    spark = pages.sparkSession
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     large = F.octet_length("payload") >= LEAST_REVISIT
     firsts = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = firsts.where("n > 1").select("digest", "first")
-    named = rows.join(firsts.hint("merge"), "digest", "left")
+    # Written before it is joined, so that Spark can split a digest that is very common.
+    kept = work_folder(spark, "revisits")
+    firsts.where("n > 1").select("digest", "first").write.parquet(kept)
+    named = rows.join(spark.read.parquet(kept), "digest", "left")
     again = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    members = named.select("page_id", "url", "payload", "digest", again.alias("first")).mapInArrow(_members, "member binary")
-    writer = members.select(F.col("member").cast("string")).write.option("maxRecordsPerFile", records)
+    files = named.select("page_id", "url", "payload", "digest", again.alias("first")).mapInArrow(_members(file_bytes), "members binary")
+    writer = files.select(F.col("members").cast("string")).write.option("maxRecordsPerFile", 1)
     # Members are bytes: the separator is given as Latin-1, the values are written as they are.
     writer.option("encoding", "ISO-8859-1").option("lineSep", _NO_RECORD.decode("latin-1")).text(folder)
 
@@ -119,66 +139,115 @@ def parse_record(data, at=0):
     if data[end : end + len(_END)] != _END:
         raise BadRecord("length does not meet the end mark")
     block = data[start:end]
-    digest = headers.get("warc-block-digest", "")
-    if digest.startswith("sha256:") and hashlib.sha256(block).hexdigest() != digest[7:]:
+    if digest_holds(headers, block) is False:
         raise BadRecord("block digest differs")
     return headers, block, end + len(_END)
 
 
+def digest_holds(headers, block):
+    """Whether the block digest of a record is right, in hex or base32; None without one that is known."""
+    kind, _, value = headers.get("warc-block-digest", "").partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if kind not in ("sha1", "sha256", "sha512", "md5") or not value.strip():
+        return None
+    found, value = hashlib.new(kind, block).digest(), value.strip().lower()
+    return value in (found.hex(), base64.b32encode(found).decode().lower(), base64.b32encode(found).decode().rstrip("=").lower())
+
+
 def read_member(data, at):
-    """``(content, end)`` of the gzip member at a place."""
-    machine, parts = zlib.decompressobj(31), []
+    """``(content, end, problem)`` of the gzip member at a place; of a broken one what could be read, and no end."""
+    machine, parts, bite_size = zlib.decompressobj(31), [], _BITE
     while not machine.eof:
         # Bounded bites: what a member leaves over is copied.
-        bite = data[at : at + _BITE]
+        bite = data[at : at + bite_size]
         if not bite:
-            raise BadRecord("member without end")
+            return b"".join(parts), None, "member without end"
+        before = machine.copy()
         try:
             parts.append(machine.decompress(bite))
-        except zlib.error as problem:
-            raise BadRecord("member checksum or data") from problem
+        except zlib.error:
+            if bite_size == 1:
+                return b"".join(parts), None, "member checksum or data"
+            machine, bite_size = before, max(1, bite_size // 16)  # Closer to the byte at which the data break.
+            continue
         at += len(bite)
-    return b"".join(parts), at - len(machine.unused_data)
-
+    return b"".join(parts), at - len(machine.unused_data), None
 
-def _at(data, at):
-    """Records that start at a place, and where they end; an empty member has none."""
-    if data.startswith(_MEMBER, at):
-        content, end = read_member(data, at)
-        records, inner = [], 0
-        while inner < len(content):
-            headers, block, inner = parse_record(content, inner)
-            records.append((headers, block))
-        return records, end
-    headers, block, end = parse_record(data, at)
-    return [(headers, block)], end
 
-
-def salvage(data):
-    """Yields ``(offset, length, headers, block, reason)``: records with reason None, gaps with headers None."""
+def inner_records(content):
+    """Yields ``(offset, length, headers, block, reason)`` of a member's content: records, and gaps up to the next valid one."""
     at, gap, reason = 0, None, None
-    while at < len(data):
+    while at < len(content):
         try:
-            records, end = _at(data, at)
+            headers, block, end = parse_record(content, at)
         except BadRecord as problem:
             if gap is None:
                 gap, reason = at, str(problem)
-            following = _START.search(data, at + 1)
-            at = following.start() if following else len(data)
+            following = _VERSION.search(content, at + 1)
+            at = following.start() if following else len(content)
             continue
         if gap is not None:
             yield gap, at - gap, None, None, reason
             gap = None
-        for headers, block in records:
-            yield at, end - at, headers, block, None
+        yield at, end - at, headers, block, None
+        at = end
+    if gap is not None:
+        yield gap, len(content) - gap, None, None, reason
+
+
+def _recovered(content):
+    """Records of a broken member's content that can be trusted: digest right, and not the last that was found."""
+    found = [row for row in inner_records(content) if row[2] is not None]
+    return [row for row in found[:-1] if digest_holds(row[2], row[3])]
+
+
+def salvage(data):
+    """Yields ``(offset, length, headers, block, reason, inner offset, inner length)``.
+
+    Records have reason None, gaps headers None. Offset and length tell the
+    member, plain record or gap in the file; inside a member the inner ones tell the
+    place in its content.
+    """
+    at, gap, reason, saved = 0, None, None, []
+    while at < len(data):
+        rows = None
+        if data.startswith(_MEMBER, at):
+            content, end, problem = read_member(data, at)
+            if problem is None:
+                rows = [(h, b, r, inner, size) for inner, size, h, b, r in inner_records(content)]
+                if rows and all(row[0] is None for row in rows):
+                    rows, problem = None, rows[0][2]
+            else:
+                saved += [(h, b, None, inner, size) for inner, size, h, b, _ in _recovered(content)]
+        else:
+            try:
+                headers, block, end = parse_record(data, at)
+                rows = [(headers, block, None, None, None)]
+            except BadRecord as found:
+                problem = str(found)
+        if rows is None:
+            if gap is None:
+                gap, reason = at, problem
+            following = _START.search(data, at + 1)
+            at = following.start() if following else len(data)
+            continue
+        if gap is not None:
+            yield gap, at - gap, None, None, reason, None, None
+            for row in saved:
+                yield gap, at - gap, *row
+            gap, saved = None, []
+        for row in rows:
+            yield at, end - at, *row
         at = end
     if gap is not None:
-        yield gap, len(data) - gap, None, None, reason
+        yield gap, len(data) - gap, None, None, reason, None, None
+        for row in saved:
+            yield gap, len(data) - gap, *row
 
 
 def _read(batches):
-    names = ["path", "offset", "length", "headers", "block", "gap_reason"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.string()]
+    names = ["path", "offset", "length", "headers", "block", "gap_reason", "inner_offset", "inner_length"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.string(), pa.int64(), pa.int64()]
     for batch in batches:
         for path, data in zip(batch.column(0), batch.column(1)):
             rows, size = [], 0
@@ -198,13 +267,15 @@ def _record_batch(rows, names, kinds):
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Records and gaps of all files: ``path, offset, length, headers, block, gap_reason``.
+    """Records and gaps of all files: ``path, offset, length, headers, block, gap_reason, inner_offset, inner_length``.
 
     ``headers`` (lower-case names) and ``block`` are null for a quarantined gap,
-    ``gap_reason`` is null for a record.
+    ``gap_reason`` is null for a record. The inner columns tell the place in the
+    content of a member. A file is one row here, so it must be below 2 GB.
     """
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    schema = "path string, offset bigint, length bigint, headers map<string,string>, block binary, gap_reason string"
+    schema = "path string, offset bigint, length bigint, headers map<string,string>, block binary, gap_reason string,"
+    schema += " inner_offset bigint, inner_length bigint"
     return files.mapInArrow(_read, schema)
 
 

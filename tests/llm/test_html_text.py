@@ -44,6 +44,20 @@ CASES = {
     "<p>a<svg d='x=1/'/>b<math/>c<svg><title/></svg>d": "abcd",
     "a<svg width=1/>b</svg>c<svg / >d</svg>e": "ace",
     "<head><svg/>a": "a",
+    "<table><tr><td rowspan=2>A<td>B<tr><td>C</table>": "A  B\n   C",
+    "<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i<td>j</table>": "a  b  c\nd     e\nf     g\nh  i  j",
+    "<table><tr><td colspan=2 rowspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>": "ab    c\n      d\ne  f  g",
+    "<table><tr><td rowspan=0>A<td>B<tr><td>C<tr><td>D</table>": "A  B\n   C\n   D",
+    "<div style='visibility:hidden'>a<b style='visibility: visible'>b<i>c</i></b>d</div>e": "bc\ne",
+    "<p style='visibility:hidden'>a<span style='visibility:hidden'>b</span></p>c": "c",
+    "<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>": "  - b",
+    "<div style='display:none'><b style='visibility:visible;display:block'>a</b></div>b": "b",
+    "<p style='content-visibility:hiddenx;color:red'>a</p>": "a",
+    "<p style='x-display:none; font-family: \"display\"'>a</p>": "a",
+    "<p style='display:block;DISPLAY : NONE !important'>a</p>b": "b",
+    "<p style='/* display:none */ color:red'>a</p>": "a",
+    "<p style='display:none;display:block'>a</p>": "a",
+    "<p data-note='display:none hidden visibility:hidden'>a</p>": "a",
 }
 
 

@@ -62,6 +62,24 @@ def test_batches(documents, odd_columns, monkeypatch, shard):
     check(rows, [(i, len(split(t))) for i, t in pairs], 50, 300)
 
 
+def test_rows_without_id_fill_many_shards(spark, documents, monkeypatch):
+    """Rows that repeat an id, or have none, are numbered in different shards."""
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    df = documents([(None if i % 2 else 7, "a b c") for i in range(2_000)])
+    seen = []
+    real = packing.F.pmod
+    monkeypatch.setattr(packing.F, "pmod", lambda a, b: seen.append(real(a, b)) or seen[-1])
+    packed = packing.pack(df, packing.word_tokens(F.col("text")), budget=30)
+    check(packed.collect(), [(None if i % 2 else 7, 3) for i in range(2_000)], packing.MAX_LENGTH, 30)
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(row#" in plan and "xxhash64(doc_id#" not in plan and len(seen) == 1
+
+
+def test_lengths_are_counted_once(documents):
+    packed = packing.pack(documents([(1, "a b")]), packing.word_tokens(F.col("text")))
+    assert "regexp" not in packed._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_empty_tables(documents):
     assert packing.pack(documents([]), packing.word_tokens(F.col("text"))).count() == 0
     rows = packing.pack(documents([(1, None), (2, "")]), packing.word_tokens(F.col("text"))).collect()

@@ -1,8 +1,10 @@
 """WARC archives: round trip, revisits and salvage of damaged files."""
 
+import base64
 import glob
 import gzip
 import hashlib
+import os
 import random
 
 import pytest
@@ -44,6 +46,47 @@ def test_damage_costs_only_the_damaged_records():
     assert ids(b"".join(plain)) == [0, 2, 3] and gaps(b"".join(plain)) == [(len(plain[0]), len(plain[1]))]
 
 
+def test_a_damaged_record_inside_a_member_costs_only_itself():
+    parts = [record(i, b"payload %d " % i * 40) for i in range(5)]
+    parts[2] = parts[2].replace(b"payload 2 payload", b"payload 2 paXload", 1)
+    member = gzip.compress(b"".join(parts))
+    rows = list(warc.salvage(gzip.compress(record(8)) + member + gzip.compress(record(9))))
+    assert ids(gzip.compress(record(8)) + member + gzip.compress(record(9))) == [8, 0, 1, 3, 4, 9]
+    gap = next(r for r in rows if r[4])
+    start = sum(map(len, parts[:2]))
+    assert gap[2] is None and gap[4] == "block digest differs" and gap[5:] == (start, len(parts[2]))
+    assert {(r[0], r[1]) for r in rows[1:-1]} == {(rows[1][0], len(member))}
+
+
+def test_a_member_that_breaks_gives_what_lies_before():
+    parts = [record(i, bytes(random.Random(i).randbytes(400)).hex().encode()) for i in range(30)]
+    whole = gzip.compress(b"".join(parts))
+    cut = whole[: len(whole) // 2]
+    found = ids(cut + gzip.compress(record(99)))
+    assert found[-1] == 99 and found[:-1] == list(range(len(found) - 1)) and len(found) > 8
+    flipped = bytearray(whole)
+    flipped[len(whole) // 2] ^= 255
+    found = ids(bytes(flipped) + gzip.compress(record(99)))
+    assert found[-1] == 99 and found[:-1] == sorted(found[:-1]) and len(found) > 8
+    assert gaps(bytes(flipped) + gzip.compress(record(99))) == [(0, len(whole))]
+    # A lone record in a broken member is not trusted.
+    assert ids(gzip.compress(record(1))[:-3] + gzip.compress(record(2))) == [2]
+
+
+@pytest.mark.parametrize("form", ["hex", "base32", "BASE32 without padding"])
+@pytest.mark.parametrize("kind", ["sha1", "sha256", "md5"])
+def test_block_digests(kind, form):
+    block = b"some block"
+    raw = hashlib.new(kind, block).digest()
+    value = raw.hex() if form == "hex" else base64.b32encode(raw).decode()
+    value = value.rstrip("=") if "without" in form else value
+    assert warc.digest_holds({"warc-block-digest": f"{kind}:{value}"}, block) is True
+    assert warc.digest_holds({"warc-block-digest": f"{kind}:{value}"}, block + b"x") is False
+    good = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Block-Digest: {kind}:{value}\r\nX-Page-ID: 1\r\nContent-Length: 10\r\n\r\n".encode()
+    assert ids(good + block + b"\r\n\r\n") == [1] and ids(good + block[::-1] + b"\r\n\r\n") == []
+    assert warc.digest_holds({"warc-block-digest": "crc:12"}, block) is None and warc.digest_holds({}, block) is None
+
+
 def test_payload_that_looks_like_a_record():
     inner = record(7) + gzip.compress(record(8))
     assert ids(record(1, inner) + record(2)) == [1, 2]
@@ -57,7 +100,7 @@ def test_every_byte_is_a_record_or_in_a_gap(packed, seed, size):
     at = draw.randrange(len(data))
     data = data[:at] + draw.randbytes(size) + data[at + draw.randrange(20) :]
     end = 0
-    for offset, length, *_ in warc.salvage(data):
+    for offset, length in dict.fromkeys(row[:2] for row in warc.salvage(data)):
         assert offset == end
         end = offset + length
     assert end == len(data) and len(ids(data)) >= len(packed) - 3
@@ -72,7 +115,7 @@ def test_round_trip(spark, tmp_path):
     rows += [(6, "u", "a" * 99), (7, "", None), (8, "u", ""), (10, "u", long), (11, "u", long), (3, None, "a" * 100)]
     rows += [(None, "u", "a" * 100), (None, "u", "b"), (12, "u", "\r\n\r\nWARC/1.1\r\n\x1f\x8b\x08" * 9)]
     df = spark.createDataFrame(rows, PAGE).withColumns({"digest": F.lit(1), "first": F.lit(2), "member": F.lit(3)})
-    warc.write_archives(df, f"{tmp_path}/w", records=3)
+    warc.write_archives(df, f"{tmp_path}/w", file_bytes=1_000)
     got = warc.pages_of(warc.read_archives(spark, f"{tmp_path}/w")).collect()
     assert len(got) == len(rows)
     first = {"a" * 100: 3, long: 10}
@@ -89,6 +132,15 @@ def test_round_trip(spark, tmp_path):
             assert gzip.decompress(f.read()).startswith(b"WARC/1.1\r\n")
 
 
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(i, "u", draw.randbytes(5_000).hex()) for i in range(100)]
+    warc.write_archives(spark.createDataFrame(rows, PAGE).coalesce(1), f"{tmp_path}/w", file_bytes=50_000)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{tmp_path}/w/part-*")]
+    assert max(sizes) < 60_000 and len(sizes) >= sum(sizes) // 60_000 > 5
+    assert warc.pages_of(warc.read_archives(spark, f"{tmp_path}/w")).select("page_id").distinct().count() == 100
+
+
 def test_gaps_are_logged(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.warc.gz").write_bytes(gzip.compress(record(1)) + b"\x1f\x8b\x08broken" + gzip.compress(record(2)))
