@@ -14,12 +14,13 @@ def valid_rows(log: DataFrame, user="userId", session="sessionId") -> DataFrame:
 
 
 def plays_by_hour(log: DataFrame, ts="ts", page="page", play="NextSong") -> DataFrame:
-    return group_count(log.where(F.col(page) == play), F.hour(ts).alias("hour"))
+    """Plays of each hour of the day, in the order of the hours."""
+    return group_count(log.where(F.col(page) == play), F.hour(ts).alias("hour")).orderBy("hour")
 
 
 def pages_not_visited(log: DataFrame, who: Column, page="page") -> DataFrame:
-    """Pages in the log that the chosen rows never show."""
-    return anti_values(log, log.where(who), page)
+    """Pages in the log that the chosen rows never show, in order."""
+    return anti_values(log, log.where(who), page).orderBy(page)
 
 
 def distinct_users(log: DataFrame, who: Column, user="userId") -> DataFrame:

@@ -6,6 +6,7 @@ from starloom.operators.clean import drop_missing, first_per_key
 from starloom.operators.joins import contains_lookup, keep_ids
 from starloom.operators.writes import write_partitioned
 
+# Column names of the tables.
 IMMIGRATION_COLUMNS = ["i94yr", "i94mon", "i94cit", "i94port", "arrdate", "i94mode", "depdate", "i94visa"]
 TEMPERATURE_COLUMNS = ["AverageTemperature", "City", "Country", "Latitude", "Longitude", "i94port"]
 

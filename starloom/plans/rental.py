@@ -37,37 +37,41 @@ def held_by_customer(rental: DataFrame) -> DataFrame:
 
 # Customers
 
-def customer_balance(
-    customer: DataFrame, rental: DataFrame, inventory: DataFrame, film: DataFrame, payment: DataFrame, as_of
-) -> DataFrame:
+def _late_days() -> Column:
+    """Whole days beyond the film's rental duration; NULL for open rentals."""
+    late = F.greatest(F.date_diff("return_date", "rental_date") - F.col("rental_duration"), F.lit(0))
+    return F.when(F.col("return_date").isNotNull(), late).cast("long")
+
+
+def balances(customer: DataFrame, moves: DataFrame, as_of) -> DataFrame:
     """Per customer: rental fees plus one unit per day late minus payments, up to a date.
 
-    A rental is late by the whole days beyond the film's rental duration. Open
-    rentals are not late yet. Customers without rentals or payments have 0.
+    ``moves`` has ``customer_id`` and, as far as known, ``rental_date,
+    return_date, rental_rate, rental_duration`` of a rental and ``payment_date,
+    amount`` of a payment; a row may be both. One aggregation takes all three sums.
+    Open rentals are not late yet. Customers without rentals or payments have 0.
     """
     as_of = F.lit(as_of).cast("timestamp")
-    late = F.greatest(F.date_diff("return_date", "rental_date") - F.col("rental_duration"), F.lit(0))
+    rented = F.col("rental_date") <= as_of
+    due = F.when(rented, F.col("rental_rate")), F.when(rented, _late_days())
+    paid = F.when(F.col("payment_date") <= as_of, F.col("amount"))
+    sums = moves.groupBy("customer_id").agg(F.sum(due[0]).alias("_fees"), F.sum(due[1]).alias("_late"), F.sum(paid).alias("_paid"))
+    none = F.lit(0)
+    total = F.coalesce("_fees", none) + F.coalesce("_late", none) - F.coalesce("_paid", none)
+    return customer.select("customer_id").join(sums, "customer_id", "left").select("customer_id", total.alias("balance"))
+
+
+def customer_balance(
+    customer: DataFrame, rental: DataFrame, inventory: DataFrame, film: DataFrame, payment: DataFrame, as_of
+) -> DataFrame:
+    """``balances`` from the tables of the database."""
     fees = (
-        rental.where(F.col("rental_date") <= as_of)
+        rental.select("customer_id", "inventory_id", "rental_date", "return_date")
         .join(inventory.select("inventory_id", "film_id"), "inventory_id")
         .join(film.select("film_id", "rental_rate", "rental_duration"), "film_id")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("rental_rate").alias("_fees"),
-            F.sum(F.when(F.col("return_date").isNotNull(), late).cast("long")).alias("_late"),
-        )
-    )
-    paid = payment.where(F.col("payment_date") <= as_of).groupBy("customer_id").agg(F.sum("amount").alias("_paid"))
-    none = F.lit(0)
-    return (
-        customer.select("customer_id")
-        .join(fees, "customer_id", "left")
-        .join(paid, "customer_id", "left")
-        .select(
-            "customer_id",
-            (F.coalesce("_fees", none) + F.coalesce("_late", none) - F.coalesce("_paid", none)).alias("balance"),
-        )
     )
+    moves = fees.unionByName(payment.select("customer_id", "payment_date", "amount"), allowMissingColumns=True)
+    return balances(customer, moves, as_of)
 
 
 def rewards_report(customer: DataFrame, payment: DataFrame, min_purchases, min_amount, as_of) -> DataFrame:

@@ -5,7 +5,7 @@ import importlib
 QUERIES = {}
 ORACLES = {}
 
-_MODULES = ("sales", "cubes", "rental", "activity", "music", "texts", "loads", "bikes", "immigration", "checks", "stored")
+_MODULES = ("sales", "cubes", "rental", "activity", "music", "texts", "loads", "bikes", "immigration", "checks", "stored", "chains")
 
 
 def query(sql=None):

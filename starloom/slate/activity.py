@@ -223,14 +223,14 @@ def sql_plays_by_hour(spark, d):
 select distinct event_type as page from events
 except select event_type from events where user_id = 7 and cast(ts as date) = date '2024-01-05'""")
 def sql_pages_not_visited(spark, d):
-    """Right join with IS NULL."""
+    """A correlated NOT EXISTS, which Spark turns into an anti join; pages in order."""
     _view(spark, d)
     return spark.sql("""
-        select all_pages.page
-        from (select distinct page from log_table
-              where user_id = 7 and to_date(timestamp_millis(ts)) = date'2024-01-05') as user_pages
-        right join (select distinct page from log_table) as all_pages on user_pages.page = all_pages.page
-        where user_pages.page is null""")
+        select distinct shown.page from log_table shown
+        where not exists (
+          select 1 from log_table seen
+          where seen.page = shown.page and seen.user_id = 7 and to_date(timestamp_millis(seen.ts)) = date'2024-01-05')
+        order by shown.page""")
 
 
 @query("""

@@ -109,6 +109,20 @@ def immigration_fact(spark, d):
     return immigration.immigration_fact(records, cities)
 
 
+@query(_TEMPERATURE + """
+select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
+       cast(o_custkey % 300 as integer) as city, i94port,
+       cast(datediff('day', date '1960-01-01', cast(o_orderdate as date)) as integer) as arrival_date,
+       cast(o_orderkey % 3 as integer) as reason, temperature
+from orders join located on printf('P%02d', day(o_orderdate)) = i94port where i94port in ('P03', 'P17')""")
+def immigration_port_rows(spark, d):
+    """The stored fact as read back, for two ports: only their folders are read."""
+    folder = work_folder(spark, "immigration")
+    immigration.write_tables(_arrivals(spark, d), _temperature(spark, d), ports(spark, d), folder, ["c_custkey"])
+    fact = spark.read.parquet(f"{folder}/fact").where(F.col("i94port").isin("P03", "P17"))
+    return fact.select("year", "month", "city", "i94port", "arrival_date", "reason", "temperature")
+
+
 @query(_TEMPERATURE + """
 select 'immigration' as "check", count(*) as records, count(*) > 0 as passed from orders where day(o_orderdate) < 25
 union all select 'temperature', count(*), count(*) > 0 from located

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starloom.functions.money import cents_to_money, hundredths
 from starloom.operators import keyed_state, snapshots
 from starloom.operators import upsert as keyed
 from starloom.operators.query_table import lookup
@@ -104,13 +105,14 @@ def normalise_lists(spark, d):
     return denormalise(parents, children, "key").select("key.conv_id", "key.turn", "role", "position", "line")
 
 
-@query("select p_brand, count(*) as parts, sum(p_retailprice) > 0 as priced from part group by 1")
+@query("""
+select p_brand, count(*) as parts, cast(sum(cast(p_retailprice as decimal(12,2))) as double) as price from part group by 1""")
 def normalise_brands(spark, d):
     """Brands moved to a keyed table, then joined again by key."""
-    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_retailprice")
+    part = read_table(spark, d, "part").select("p_partkey", "p_brand", hundredths("p_retailprice").cast("decimal(18,0)").alias("cents"))
     brands, keyed_parts = normalise_values(part, "p_brand", "brand_id")
-    per_key = keyed_parts.groupBy("brand_id").agg(F.count("*").alias("parts"), (F.sum("p_retailprice") > 0).alias("priced"))
-    return denormalise(brands, per_key, "brand_id").select("p_brand", "parts", "priced")
+    per_key = keyed_parts.groupBy("brand_id").agg(F.count("*").alias("parts"), cents_to_money(F.sum("cents")).alias("price"))
+    return denormalise(brands, per_key, "brand_id").select("p_brand", "parts", "price")
 
 
 @query("""

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import add_dense_keys
-from starloom.functions.money import units_to_money
+from starloom.functions.money import net_units, units_to_money
 from starloom.operators.aggregate import concat_by
 from starloom.plans import rental, rental_star
 from starloom.session import read_table
@@ -215,10 +215,25 @@ select c_custkey as customer_id,
        {money('coalesce(cast(fees as decimal(20,2)), 0) + coalesce(late, 0) - coalesce(paid, 0)')} as balance
 from customer left join f on c_custkey = f.o_custkey left join p on c_custkey = p.o_custkey""")
 def customer_balance(spark, d):
-    paid = roles.payment(spark, d).withColumn("amount", (F.col("amount") * F.lit("0.0001").cast("decimal(4,4)")))
-    balance = rental.customer_balance(
-        roles.customer(spark, d), roles.rental(spark, d), roles.inventory(spark, d), roles.film(spark, d), paid, AS_OF
+    """Lines are rentals and their payments at once: lines, orders and parts are read once."""
+    part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
+    dated = roles.orders(spark, d).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("rental_date")
     )
+    lines = read_table(spark, d, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_shipdate").alias("payment_date"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("return_date"),
+        (net_units() * F.lit("0.0001").cast("decimal(4,4)")).alias("amount"),
+    )
+    moves = lines.join(dated, "l_orderkey").join(part, "l_partkey").withColumns(
+        {
+            "rental_rate": (F.col("p_size") % 5 + F.lit("0.99").cast("decimal(4,2)")).cast("decimal(4,2)"),
+            "rental_duration": F.col("p_size") % 7 + 3,
+        }
+    )
+    balance = rental.balances(roles.customer(spark, d), moves, AS_OF)
     return balance.withColumn("balance", F.round("balance", 2).cast("double"))
 
 
