@@ -332,26 +332,28 @@ def shrunk(own, pool, n):
     return tuple(share * np.asarray(a) + (1 - share) * np.asarray(b) for a, b in zip(own, pool))
 
 
-def noisy_distances(vectors, counting, centres, scatters):
-    """Mahalanobis distances, with the counting noise of each text in its scatter."""
-    off = vectors - centres
-    whole = scatters + counting[:, :, None] * np.eye(_P)
-    return np.sqrt(np.maximum(np.einsum("ni,ni->n", off, np.linalg.solve(whole, off[:, :, None])[:, :, 0]), 0))
+def with_distance(rows: DataFrame) -> DataFrame:
+    """Adds ``distance`` of ``x0..`` under ``centre`` and ``scatter`` with the text's own noise ``v0..``; null without an estimate.
 
-
-def text_distance() -> Column:
-    """Distance of each text under the columns ``centre`` and ``scatter``; null without them."""
-
-    @F.pandas_udf("double")
-    def distances(vectors: pd.Series, counting: pd.Series, centre: pd.Series, scatter: pd.Series) -> pd.Series:
-        found = pd.Series(np.nan, index=vectors.index)
-        known = centre.notna()
-        if known.any():
-            arrays = [np.array(c[known].tolist(), float) for c in (vectors, counting, centre)]
-            found[known] = noisy_distances(*arrays, np.array([_matrix(t) for t in scatter[known]]))
-        return found
-
-    return distances(F.array(*[c.cast("double") for c in vector()]), F.array(*[c.cast("double") for c in noise()]), "centre", "scatter")
+    The matrix is factored as lower triangle times diagonal, column by column.
+    """
+    entry = {(j, i): F.col("scatter")[k] for k, (i, j) in enumerate(_PAIRS)}
+    rows = rows.withColumns({f"o{i}": F.col(f"x{i}") - F.col("centre")[i] for i in range(_P)})
+    made = [f"o{i}" for i in range(_P)]
+    for i in range(_P):
+        held = [F.col(f"l{i}{k}") * F.col(f"l{i}{k}") * F.col(f"d{k}") for k in range(i)]
+        step = {f"d{i}": entry[i, i] + F.col(f"v{i}") - sum(held, F.lit(0.0))}
+        rows = rows.withColumns(step | {f"y{i}": F.col(f"o{i}") - sum((F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))})
+        below = {
+            f"l{j}{i}": (entry[j, i] - sum((F.col(f"l{j}{k}") * F.col(f"l{i}{k}") * F.col(f"d{k}") for k in range(i)), F.lit(0.0)))
+            / F.col(f"d{i}")
+            for j in range(i + 1, _P)
+        }
+        if below:
+            rows = rows.withColumns(below)
+        made += [*step, f"y{i}", *below]
+    total = sum((F.col(f"y{i}") * F.col(f"y{i}") / F.col(f"d{i}") for i in range(_P)), F.lit(0.0))
+    return rows.withColumn("distance", F.sqrt(total)).drop(*made)
 
 
 def fit_scatter(table: DataFrame, folder: str) -> DataFrame:
@@ -413,11 +415,11 @@ def judge(table: DataFrame, estimates: DataFrame) -> DataFrame:
     """Adds ``base_failed``, ``distance`` (null where the base rules fail) and ``kept``."""
     known = estimates.select("lang", "source", "centre", "scatter")
     judged = table.join(known, ["lang", "source"], "left").withColumn("base_failed", base_failed())
-    far = text_distance()
-    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), F.nanvl(far, F.lit(None).cast("double"))))
+    extra = {f"x{i}": c for i, c in enumerate(vector())} | dict(zip(_NOISE, noise()))
+    judged = with_distance(judged.withColumns(extra)).withColumn("distance", F.when(~F.col("base_failed"), F.col("distance")))
     limit = float(np.sqrt(_chi_square_quantile(CUTOFF, _P)))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
-    return judged.withColumn("kept", kept).drop("centre", "scatter")
+    return judged.withColumn("kept", kept).drop("centre", "scatter", *extra)
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:

@@ -55,6 +55,8 @@ def slices(batches):
     for batch in batches:
         for start in range(0, batch.num_rows, _SLICE):
             yield batch.slice(start, _SLICE)
+    # Workers live on for other tasks: what this one no longer needs goes back.
+    pa.default_memory_pool().release_unused()
 
 
 _CHUNK = 1 << 20
