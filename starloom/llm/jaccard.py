@@ -55,7 +55,7 @@ SHINGLE = 3
 #: Least similarity, in hundredths.
 LEAST = 90
 #: Signatures of a batch that meet before the shuffle or in a bucket at a time, and distinct ones in a bucket, about.
-BATCH_SIGNATURES, BUCKET_SIGNATURES = 1 << 18, 1 << 20
+BATCH_SIGNATURES, BUCKET_SIGNATURES = 1 << 18, 1 << 21
 
 
 def shingle_sets(texts, size=SHINGLE):
@@ -255,8 +255,17 @@ def _unpack(payload, bucket):
     return holders
 
 
-def _emit_signatures(size, bands, plan, buckets):
+def even_keys(spark, parts):
+    """A key for each of ``parts`` partitions that Spark's hash deals to it, so that no task gets several buckets."""
+    keys = spark.range(32 * parts).select(F.col("id").cast("int").alias("key"))
+    found = keys.groupBy(F.pmod(F.hash("key"), F.lit(parts)).alias("part")).agg(F.min("key").alias("key")).collect()
+    named = {r["part"]: r["key"] for r in found}
+    return [named.get(p, p) for p in range(parts)]
+
+
+def _emit_signatures(size, bands, plan, keys):
     """Texts -> packed holders per bucket: ``met`` ones have met another in their batch, of all others there is one each."""
+    buckets, keys = len(keys), np.array(keys)
 
     def packed(found):
         holders, first = _in_order(np.concatenate(found))
@@ -266,7 +275,7 @@ def _emit_signatures(size, bands, plan, buckets):
             bucket = ((some["sig"] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             names, starts = np.unique(bucket[order], return_index=True)
-            rows += [(int(b), met, _pack(some[order[s:e]])) for b, s, e in zip(names, starts, np.append(starts[1:], len(some)))]
+            rows += [(int(keys[b]), met, _pack(some[order[s:e]])) for b, s, e in zip(names, starts, np.append(starts[1:], len(some)))]
         columns = zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary()))
         return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in columns], ["bucket", "met", "holders"])
 
@@ -326,7 +335,7 @@ def _match(batches):
             else:
                 waiting.append(holders)
                 size += len(holders)
-                if size >= BATCH_SIGNATURES:
+                if size >= max(BATCH_SIGNATURES, BUCKET_SIGNATURES // 4):
                     yield settle()
     if waiting:
         yield settle()
@@ -604,8 +613,9 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     plan = {k: allocate(bands.top(k), bands.differences(k), n + there.get(k - 1, 0)) for k, n in there.items()}
     expected = sum((n + there.get(k - 1, 0)) * expected_signatures(plan[k], bands.top(k)) for k, n in there.items())
     buckets = max(1, int(expected // BUCKET_SIGNATURES))
+    spark = documents.sparkSession
     packed = documents.select("text").mapInArrow(
-        _emit_signatures(size, bands, plan, buckets), "bucket int, met boolean, holders binary"
+        _emit_signatures(size, bands, plan, even_keys(spark, buckets)), "bucket int, met boolean, holders binary"
     )
     shared = packed.repartition(buckets, "bucket").mapInArrow(_match, "sig bigint, node bigint, n int, deletion boolean")
     met = _written(shared.distinct(), folder, "met")

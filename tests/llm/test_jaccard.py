@@ -140,6 +140,13 @@ def test_sketches_part_unrelated_sets():
         assert not any(jaccard._may_link(counts[i], counts[j], size, size, 80) for i in range(60) for j in range(i))
 
 
+@pytest.mark.parametrize("parts", [1, 7, 100])
+def test_keys_are_dealt_one_to_each_partition(spark, parts):
+    keys = jaccard.even_keys(spark, parts)
+    df = spark.createDataFrame([(k,) for k in keys], "bucket int").repartition(parts, "bucket")
+    assert len(keys) == parts and df.rdd.glom().map(len).collect() == [1] * parts
+
+
 def test_packed_holders():
     draw = np.random.default_rng(3)
     holders = np.empty(500, jaccard._HOLDER)
