@@ -38,6 +38,7 @@ the whole sequence as one shingle; equal texts link. Rows with a null
 that is not null does, or null if there is none.
 """
 
+import gc
 from itertools import combinations
 from math import comb
 from typing import NamedTuple
@@ -605,6 +606,19 @@ def _keyed(documents, *more):
     return documents.select(*keys, *more, "doc_id", "text")
 
 
+def _meet_in_buckets(documents, folder, emit, buckets):
+    """Written table of the holders of shared signatures."""
+    packed = documents.select("text").mapInArrow(emit, "bucket int, met boolean, holders binary")
+    shared = packed.repartition(buckets, "bucket").mapInArrow(_match, "sig bigint, node bigint, n int, deletion boolean")
+    return _written(shared.distinct(), folder, "met")
+
+
+def _let_go(spark):
+    """Have the files of finished shuffles removed: Spark does so once the plans that made them are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST, size=SHINGLE) -> DataFrame:
     """``node, component`` of the sets that link with others. ``rows`` comes from ``describe``."""
     bands = Bands(least)
@@ -613,12 +627,8 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     plan = {k: allocate(bands.top(k), bands.differences(k), n + there.get(k - 1, 0)) for k, n in there.items()}
     expected = sum((n + there.get(k - 1, 0)) * expected_signatures(plan[k], bands.top(k)) for k, n in there.items())
     buckets = max(1, int(expected // BUCKET_SIGNATURES))
-    spark = documents.sparkSession
-    packed = documents.select("text").mapInArrow(
-        _emit_signatures(size, bands, plan, even_keys(spark, buckets)), "bucket int, met boolean, holders binary"
-    )
-    shared = packed.repartition(buckets, "bucket").mapInArrow(_match, "sig bigint, node bigint, n int, deletion boolean")
-    met = _written(shared.distinct(), folder, "met")
+    met = _meet_in_buckets(documents, folder, _emit_signatures(size, bands, plan, even_keys(documents.sparkSession, buckets)), buckets)
+    _let_go(documents.sparkSession)
     if any(p.deleted for p in plan.values()):
         # Two deletions that agree are not a match.
         whole = met.groupBy("sig").agg(F.min("deletion").alias("deletion")).where("not deletion").select("sig")
@@ -646,6 +656,7 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     near = tested.join(one, "a").join(other, "b").select("a", "b", "one", "other", "n", "m")
     near = _written(near.mapInArrow(_sift_pairs(least), "a bigint, b bigint"), folder, "near")
     first = components(_links(near, sets, least), f"{folder}/first")
+    _let_go(documents.sparkSession)
 
     labelled = met.join(first.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     found = _written(across(labelled, sets, lambda held: _Held(held, least), folder, _sift_blocks(least)), folder, "across")
