@@ -3,14 +3,22 @@
 from pyspark.sql import DataFrame
 
 
-#: Bytes of a bucket, about.
-BUCKET_BYTES = 256 << 20
+#: Bytes of a bucket's rows, about.
+BUCKET_BYTES = 32 << 20
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the rows when read: their number times Spark's width of their types, or its size estimate if that is more.
+
+    Files hold repeated values in far fewer bytes than tasks do. Counting a Parquet table reads its footers.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(estimate, df.count() * (8 + df._jdf.schema().defaultSize()))
 
 
 def bucket_count(*tables: DataFrame, bucket_bytes=BUCKET_BYTES) -> int:
-    """Buckets for tables that are joined with each other: enough for the largest, by Spark's size estimate."""
-    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in tables]
-    return max(1, -(-max(sizes) // bucket_bytes))
+    """Buckets for tables that are joined with each other: enough for the largest, as one task sorts a bucket."""
+    return max(1, -(-max(map(table_bytes, tables)) // bucket_bytes))
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, *keys, path=None) -> DataFrame:

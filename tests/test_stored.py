@@ -103,6 +103,14 @@ def test_buckets_follow_the_larger_table(spark):
     assert bucket_count(region, lines, bucket_bytes=10_000) == bucket_count(lines, bucket_bytes=10_000) > 3
 
 
+@pytest.mark.parametrize(("count", "most"), [(1_000_000, 1), (4_000_000, 3)])
+def test_buckets_follow_the_rows_not_their_files(spark, tmp_path, count, most):
+    """Repeated values take hardly any bytes in files; a task that sorts a bucket holds them all."""
+    path = str(tmp_path / "t")
+    spark.range(count).select(F.lit(7).cast("bigint").alias("k"), F.lit(1.5).alias("v")).write.parquet(path)
+    assert bucket_count(spark.read.parquet(path)) == most
+
+
 # Table functions
 
 
