@@ -143,8 +143,9 @@ def costs(top, differences, sets):
 
 
 def allocate(top, differences, sets):
-    """The cheapest choice: signatures count one, the verification of a pair its share of a set."""
-    return min(costs(top, differences, sets), key=lambda c: (c[0] + c[1] * max(1.0, top / 4), c[2]))[2]
+    """The cheapest choice: signatures count one, a pair its sketches, as few unrelated sets meet whole."""
+    pair = min(max(1.0, top / 4), 64 + top / 64)
+    return min(costs(top, differences, sets), key=lambda c: (c[0] + c[1] * pair, c[2]))[2]
 
 
 def expected_signatures(plan, top):
@@ -196,8 +197,9 @@ def _describe(size):
     def describe(batches):
         for rows, sets in _described(batches, size):
             nodes = [set_id(s) if len(s) else None for s in sets]
-            columns = [*rows.columns[:-1], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names[:-1], "node", "n"])
+            sketches = (pa.array([f(s) for s in sets], pa.binary()) for f in (sketch, fine_sketch))
+            columns = [*rows.columns[:-1], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *sketches]
+            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names[:-1], "node", "n", "sketch", "fine"])
 
     return describe
 
@@ -345,8 +347,8 @@ def _emit_sets(size):
     def emit(batches):
         for rows, sets in _described(batches, size):
             right = pa.array([set_id(m) == n.as_py() for m, n in zip(sets, rows.column(0))], pa.bool_())
-            members, sketches = (pa.array([f(m) for m in sets], pa.binary()) for f in (np.ndarray.tobytes, sketch))
-            yield pa.RecordBatch.from_arrays([rows.column(0), members, sketches], ["node", "members", "sketch"]).filter(right)
+            members = pa.array([m.tobytes() for m in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column(0), members], ["node", "members"]).filter(right)
 
     return emit
 
@@ -357,6 +359,25 @@ def sketch(shingles):
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def fine_sketch(shingles):
+    """A sketch with a class for eight shingles or fewer; empty where the 256 classes of the other are as fine."""
+    bits = max(1, (len(shingles) - 1) // 8).bit_length()
+    if bits <= 8:
+        return b""
+    counts = np.bincount((mix(shingles) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _may_link_finely(one, other, size, other_size, least):
+    """Whether two sets can link by their fine sketches: the longer is folded to the classes of the other."""
+    classes = min(len(one), len(other))
+    if not classes:
+        return True
+    counts = (np.frombuffer(x, np.uint8).reshape(classes, -1).sum(1, dtype=np.int64) for x in (one, other))
+    one, other = (np.minimum(c, 255) for c in counts)
+    return bool(_may_link(one, other, size, other_size, least))
+
+
 def _may_link(one, other, sizes, others, least):
     """Whether sets can link by their sketches (rows of counts that broadcast against each other) and sizes."""
     apart = np.abs(one - other).sum(-1)
@@ -367,14 +388,16 @@ def _counts(column):
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, 256).astype(np.int16)
 
 
-def _sift_pairs(least):
-    """Pairs with sketches and sizes -> pairs that can link."""
+def _sift_pairs(least, fine=False):
+    """Pairs with sketches (or fine ones) and sizes -> pairs that can link."""
 
     def sift(batches):
         for batch in slices(batches):
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("one", "other", "n", "m")]
             keep = np.zeros(0, bool)
-            if batch.num_rows:
+            if fine:
+                keep = np.array([_may_link_finely(*row, least) for row in zip(*[c.to_pylist() for c in columns])], bool)
+            elif batch.num_rows:
                 one, other = (_counts(c.to_pylist()) for c in columns[:2])
                 keep = _may_link(one, other, columns[2].to_numpy(), columns[3].to_numpy(), least)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -385,8 +408,8 @@ def _sift_pairs(least):
 _SIFTED = ["family", "block", "chunk", "role", "node", "component"]
 
 
-def _sift_blocks(least):
-    """Rows of ``across`` with sketches, held sets first -> those that can link with a set of another component there."""
+def _sift_blocks(least, fine=False):
+    """Rows of ``across`` with sketches (or fine ones), held sets first -> those that can link with a set of another component there."""
 
     def sift(batches):
         key, held, hit, counts = None, [], None, None
@@ -401,11 +424,16 @@ def _sift_blocks(least):
                     held.append(row)
                     continue
                 if hit is None:
-                    hit, counts = np.zeros(len(held), bool), _counts([r[7] for r in held])
+                    hit, counts = np.zeros(len(held), bool), None if fine else _counts([r[7] for r in held])
                     sizes, names = np.array([r[6] for r in held]), np.array([r[5] for r in held])
-                near = _may_link(counts, _counts([row[7]]), sizes, row[6], least) & (names != row[5])
-                if near.any():
-                    hit |= near
+                near = (names != row[5]) & (100 * np.minimum(sizes, row[6]) >= least * np.maximum(sizes, row[6]))
+                near = np.flatnonzero(near)
+                if fine:
+                    near = [i for i in near if _may_link_finely(held[i][7], row[7], sizes[i], row[6], least)]
+                elif len(near):
+                    near = near[_may_link(counts[near], _counts([row[7]]), sizes[near], row[6], least)]
+                if len(near):
+                    hit[near] = True
                     out.append(row)
             yield _sifted(out)
         if hit is not None:
@@ -540,13 +568,15 @@ class _Held:
                 yield self.node[i]
 
 
-def across(labelled, sets, hold, folder, sift=None):
+def across(labelled, sets, hold, folder, nodes=None, sift=None):
     """Links between sets that share a signature and lie in different components.
 
     ``labelled`` has ``sig, node, component``, ``sets`` has ``node, members``;
     ``hold`` makes the index of a block of ``(node, component, members)``. With
-    ``sift``, rows with the ``sketch`` and size ``n`` of the sets pass through it
-    first, and only what it leaves meets whole. Signatures of two sets are done.
+    ``sift``, rows with the size ``n`` and the ``sketch`` of the sets (columns of
+    ``nodes``) pass through each of its functions first, by the name of the
+    sketch, and only what they leave meets whole: ``sets`` is then a function of
+    the nodes needed. Signatures of two sets are done.
 
     A set outside the largest component of one of its signatures is held in a
     block of its family (the least such component); all members of its
@@ -578,23 +608,25 @@ def across(labelled, sets, hold, folder, sift=None):
     first = held.join(chunks, place).select(*place, every, F.lit(0).alias("role"), "node", "component")
     after = stream.join(chunks, place).select(*place, chunk, F.lit(1).alias("role"), "node", "component")
     rows = first.union(after)
-    if sift:
-        rows = rows.join(sets.select("node", F.expr("length(members) div 8").alias("n"), "sketch").hint("merge"), "node")
+    for name, function in (sift or {}).items():
+        rows = rows.join(nodes.select("node", "n", F.col(name).alias("sketch")).hint("merge"), "node")
         rows = rows.select(*_SIFTED, "n", "sketch").repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
         schema = "family bigint, block bigint, chunk bigint, role int, node bigint, component bigint"
-        rows = _written(rows.mapInArrow(sift, schema), folder, "sifted")
+        rows = _written(rows.mapInArrow(function, schema), folder, f"sifted_{name}")
+    if sift:
+        sets = sets(rows.select("node").distinct())
     placed = rows.join(sets.select("node", "members").hint("merge"), "node").select(*_MEETING)
     dealt = placed.repartition(*place, "chunk").sortWithinPartitions(*place, "chunk", "role")
     return dealt.mapInArrow(_meet(hold), "a bigint, b bigint").distinct()
 
 
 def describe(documents: DataFrame, folder, size=SHINGLE) -> DataFrame:
-    """Written table of ``k1, k2`` (key of the row), ``doc_id, node, n``."""
+    """Written table of ``k1, k2`` (key of the row), ``doc_id, node, n`` and the sketches of the set."""
     schema = T.StructType(
         [
             *T.StructType.fromDDL("k1 bigint, k2 int").fields,
             T.StructField("doc_id", documents.schema["doc_id"].dataType),
-            *T.StructType.fromDDL("node bigint, n bigint").fields,
+            *T.StructType.fromDDL("node bigint, n bigint, sketch binary, fine binary").fields,
         ]
     )
     return _written(_keyed(documents).mapInArrow(_describe(size), schema), folder, "rows")
@@ -624,11 +656,14 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
         whole = met.groupBy("sig").agg(F.min("deletion").alias("deletion")).where("not deletion").select("sig")
         met = _written(met.join(_written(whole, folder, "whole"), "sig"), folder, "matched")
     degrees = met.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    firsts = (
-        rows.join(degrees.hint("merge"), "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("row"))
-    ).select("node", "row.*")
-    texts = _keyed(documents).join(firsts.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    sets = _written(texts.select("node", "text").mapInArrow(_emit_sets(size), "node bigint, members binary, sketch binary"), folder, "sets")
+    described = rows.groupBy("node").agg(F.min(F.struct("k1", "k2", "n", "sketch", "fine")).alias("row"))
+    nodes = _written(described.join(degrees.hint("merge"), "node").select("node", "row.*"), folder, "nodes")
+
+    def sets_of(needed, name):
+        """Written table of ``node, members`` of the needed nodes, made from one text of each."""
+        firsts = nodes.select("node", "k1", "k2").join(needed.hint("merge"), "node")
+        texts = _keyed(documents).join(firsts.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+        return _written(texts.select("node", "text").mapInArrow(_emit_sets(size), "node bigint, members binary"), folder, name)
 
     similar = F.lit(100) * F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
     centres = (
@@ -640,15 +675,19 @@ def node_components(documents: DataFrame, rows: DataFrame, folder, least=LEAST,
     )
     stars = met.join(centres.hint("merge"), "sig").where((F.col("node") != F.col("to")) & similar)
     ends = F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")
-    tested = _written(stars.select(*ends).distinct(), folder, "stars")
-    sketches = sets.select("node", F.expr("length(members) div 8").alias("n"), "sketch")
-    one, other = (sketches.select(*[F.col(c).alias(d) for c, d in zip(sketches.columns, names)]) for names in (("a", "n", "one"), ("b", "m", "other")))
-    near = tested.join(one, "a").join(other, "b").select("a", "b", "one", "other", "n", "m")
-    near = _written(near.mapInArrow(_sift_pairs(least), "a bigint, b bigint"), folder, "near")
-    first = components(_links(near, sets, least), f"{folder}/first")
+    near = _written(stars.select(*ends).distinct(), folder, "stars")
+    for kind in ("sketch", "fine"):
+        one = nodes.select(F.col("node").alias("a"), "n", F.col(kind).alias("one"))
+        other = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col(kind).alias("other"))
+        pairs = near.join(one.hint("merge"), "a").join(other.hint("merge"), "b").select("a", "b", "one", "other", "n", "m")
+        near = _written(pairs.mapInArrow(_sift_pairs(least, kind == "fine"), "a bigint, b bigint"), folder, f"near_{kind}")
+    ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
+    first = components(_links(near, sets_of(ends, "sets"), least), f"{folder}/first")
 
     labelled = met.join(first.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    found = _written(across(labelled, sets, lambda held: _Held(held, least), folder, _sift_blocks(least)), folder, "across")
+    sift = {"sketch": _sift_blocks(least), "fine": _sift_blocks(least, fine=True)}
+    rest = across(labelled, lambda needed: sets_of(needed, "sets_across"), lambda held: _Held(held, least), folder, nodes, sift)
+    found = _written(rest, folder, "across")
     if found.isEmpty():
         return first
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found)

@@ -140,6 +140,41 @@ def test_sketches_part_unrelated_sets():
         assert not any(jaccard._may_link(counts[i], counts[j], size, size, 80) for i in range(60) for j in range(i))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1_500, 12_000), st.integers(0, 2_500), st.integers(0, 10**6))
+def test_fine_sketches_never_part_linked_sets(size, changes, seed):
+    random = np.random.default_rng(seed)
+    one = np.unique(random.integers(0, 2**63, size, dtype=np.uint64))
+    other = np.unique(np.concatenate((one[min(changes, size) // 2 :], random.integers(0, 2**63, changes, dtype=np.uint64))))
+    a, b = jaccard.fine_sketch(one), jaccard.fine_sketch(other)
+    for least in (90, 80, 60):
+        assert jaccard._may_link_finely(a, b, len(one), len(other), least) or not jaccard.linked(one, other, least)
+
+
+@pytest.mark.parametrize("size", [2_500, 9_000, 20_000])
+def test_fine_sketches_part_long_unrelated_sets(size):
+    """Also where the classes of the short sketches are so full that these no longer part them."""
+    random = np.random.default_rng(2)
+    sets = [random.integers(0, 2**63, round(size * part), dtype=np.uint64) for part in (0.9, 1, 1, 1.1)]
+    pairs = [(a, b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert not any(jaccard._may_link_finely(*map(jaccard.fine_sketch, p), *map(len, p), 80) for p in pairs)
+
+
+def test_only_sets_that_can_link_move_whole(documents, tmp_path, monkeypatch):
+    """Unrelated long texts that meet by chance are told apart by their sketches: no set is made of them."""
+    draw = random.Random(3)
+    far = [(i, " ".join(f"f{draw.randrange(10**9)}" for _ in range(9_000)) + " the end") for i in range(3)]
+    near = " ".join(f"n{draw.randrange(10**9)}" for _ in range(3_000))
+    df = documents([*far, (10, near), (11, near + " more")])
+    folder = str(tmp_path)
+    # Signatures so coarse that all sets meet.
+    monkeypatch.setattr(jaccard, "signatures", lambda shingles, scheme, plan: (np.array([1], np.uint64), np.zeros(1, bool)))
+    found = jaccard.node_components(df, jaccard.describe(df, folder, 5), folder, 80, 5)
+    assert len({r.component for r in found.collect()}) == 1 and found.count() == 2
+    made = [df.sparkSession.read.parquet(f"{folder}/{name}") for name in ("sets", "sets_across")]
+    assert sum(sets.count() for sets in made) <= 2
+
+
 @pytest.mark.parametrize("parts", [1, 7, 100])
 def test_keys_are_dealt_one_to_each_partition(spark, parts):
     keys = jaccard.even_keys(spark, parts)
