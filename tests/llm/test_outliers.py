@@ -183,3 +183,10 @@ def test_empty_table_and_too_few_rows(documents):
     assert compare(documents([(1, prose(1)), (2, prose(2) + " ###")])) == {1, 2}
     assert compare(documents([(1, prose(1))])) == {1}
     assert outliers.quality_rules(documents([(1, "few words"), (2, None)])).where("kept").count() == 0
+
+
+def test_the_stage_counts_each_text_once_and_filters_by_a_column(documents):
+    plan = outliers.keep_good(table(documents))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    # Written out in the filter, the distance is thousands of lines of code that no compiler takes.
+    assert all("SQRT" not in line for line in plan.split("\n") if line.lstrip(" +-:*()0123456789").startswith("Filter"))
