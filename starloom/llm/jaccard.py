@@ -233,27 +233,27 @@ def _shared(holders, first):
 
 
 def _pack(holders):
-    """Holders of one bucket as bytes: a table of sets, then per holder six bytes of signature and a place in the table."""
-    nodes, first, place = np.unique(holders["node"], return_index=True, return_inverse=True)
-    place = place.astype(np.uint16) | (holders["deletion"].astype(np.uint16) << 15)
+    """Holders of one bucket as bytes: a table of runs of one set, then per holder six bytes of signature and a bit."""
+    node = holders["node"]
+    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    lengths = np.diff(np.append(first, len(node))).astype(np.uint32)
     sig = holders["sig"].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    head = np.array([len(nodes), len(holders)], np.uint32)
-    return b"".join(x.tobytes() for x in (head, nodes, holders["n"][first], sig, place))
+    head = np.array([len(first), len(node)], np.uint32)
+    return b"".join(x.tobytes() for x in (head, node[first], holders["n"][first], lengths, sig, np.packbits(holders["deletion"])))
 
 
 def _unpack(payload, bucket):
-    nodes, count = np.frombuffer(payload, np.uint32, 2)
-    table = np.frombuffer(payload, np.int64, nodes, 8)
-    sizes = np.frombuffer(payload, np.int32, nodes, 8 + 8 * int(nodes))
-    at = 8 + 12 * int(nodes)
+    runs, count = np.frombuffer(payload, np.uint32, 2).tolist()
+    nodes = np.frombuffer(payload, np.int64, runs, 8)
+    sizes, lengths = (np.frombuffer(payload, kind, runs, 8 + at * runs) for kind, at in ((np.int32, 8), (np.uint32, 12)))
+    at = 8 + 16 * runs
     sig = np.zeros((count, 8), np.uint8)
-    sig[:, :6] = np.frombuffer(payload, np.uint8, 6 * int(count), at).reshape(-1, 6)
-    place = np.frombuffer(payload, np.uint16, count, at + 6 * int(count))
+    sig[:, :6] = np.frombuffer(payload, np.uint8, 6 * count, at).reshape(-1, 6)
+    deletion = np.unpackbits(np.frombuffer(payload, np.uint8, -1, at + 6 * count), count=count)
     holders = np.empty(count, _HOLDER)
     # The rest of the signature chose the bucket.
     holders["sig"] = sig.view("<u8")[:, 0] | (np.uint64(bucket & 0xFFFF) << np.uint64(48))
-    holders["node"], holders["n"] = table[place & 0x7FFF], sizes[place & 0x7FFF]
-    holders["deletion"] = place >> 15
+    holders["node"], holders["n"], holders["deletion"] = np.repeat(nodes, lengths), np.repeat(sizes, lengths), deletion
     return holders
 
 
@@ -275,7 +275,8 @@ def _emit_signatures(size, bands, plan, keys):
         rows = []
         for met, some in ((True, holders[shared]), (False, holders[first])):
             bucket = ((some["sig"] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            # Sets in runs: they are packed as one entry each.
+            order = np.lexsort((some["node"], bucket))
             names, starts = np.unique(bucket[order], return_index=True)
             rows += [(int(keys[b]), met, _pack(some[order[s:e]])) for b, s, e in zip(names, starts, np.append(starts[1:], len(some)))]
         columns = zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary()))
@@ -578,20 +579,21 @@ def across(labelled, sets, hold, folder, nodes=None, sift=None):
     sketch, and only what they leave meets whole: ``sets`` is then a function of
     the nodes needed. Signatures of two sets are done.
 
-    A set outside the largest component of one of its signatures is held in a
-    block of its family (the least such component); all members of its
-    signatures stream past the block, each once.
+    The largest component of a signature names its family. A set outside it is
+    held in a block of that family; all members of the signatures of the block's
+    sets in this family stream past the block, each once. So a block takes at
+    most one row for each member of a signature of its family.
     """
     counts = labelled.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
     apart = largest.where("parts > 1 and n > 2").select("sig", F.col("top.component").alias("main"))
     members = _written(labelled.join(apart.hint("merge"), "sig").select("sig", "node", "component", "main"), folder, "apart")
     outside = members.where("component <> main")
-    owners = outside.groupBy("node").agg(F.min("main").alias("family"), F.min("component").alias("component"))
+    owners = outside.select(F.col("main").alias("family"), "node", "component").distinct()
     blocks = owners.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
     held = _written(owners.join(blocks.hint("merge"), "family").select("family", block, "node", "component"), folder, "held")
-    touched = outside.select("sig", "node").join(held.drop("component").hint("merge"), "node")
+    touched = outside.select("sig", F.col("main").alias("family"), "node").join(held.drop("component").hint("merge"), ["family", "node"])
     stream = _written(
         touched.select("sig", "family", "block")
         .distinct()

@@ -196,6 +196,16 @@ def test_packed_holders():
     assert (got["sig"] & low == holders["sig"] & low).all() and (got["sig"] >> np.uint64(48) == 70_001 & 0xFFFF).all()
 
 
+def test_packed_holders_name_a_set_once():
+    """Each holder costs its six bytes of signature and a bit, a set in a row 16 bytes."""
+    holders = np.zeros(8_000, jaccard._HOLDER)
+    holders["node"], holders["n"] = np.repeat([5, -7, 9, 5], 2_000), np.repeat([50, 70, 90, 50], 2_000)
+    holders["sig"], holders["deletion"] = np.arange(8_000), np.arange(8_000) % 3 == 0
+    packed = jaccard._pack(holders)
+    assert len(packed) == 8 + 4 * 16 + 8_000 * 6 + 1_000
+    assert (jaccard._unpack(packed, 0) == holders).all()
+
+
 def test_vectorised_shingles():
     """Sets of hashes are as large as the sets of shingles, equal texts have equal sets, and common shingles equal hashes."""
     texts = [None, "", " \t", "a", "A  a", "a b", "a b c", "c b a", "É b c d", "é b c d", "w " * 50, "x" * 3_000_000 + " a b", "ab c d", "a bc d"]
@@ -228,6 +238,23 @@ def test_blocks_in_the_second_phase(documents, monkeypatch):
     check(documents(families(random.Random(9), 6, 20, 60)))
 
 
+def test_sets_that_meet_by_chance_stream_once_a_signature(spark, tmp_path):
+    """Few rows are made of sets in many small signatures, and no link between components is lost."""
+    draw, folder = random.Random(4), str(tmp_path)
+    sets = [frozenset(draw.randrange(10**9) for _ in range(30)) for _ in range(180)]
+    sets += [s | {1} for s in sets[:20]]
+    groups = [draw.sample(range(200), 4) for _ in range(600)] + [[i, 180 + i, 100 + i] for i in range(20)]
+    component = [i - i % 3 if i < 30 else i for i in range(200)]
+    rows = [(sig, i, component[i]) for sig, group in enumerate(groups) for i in group]
+    members = [(i, np.array(sorted(s), np.uint64).tobytes()) for i, s in enumerate(sets)]
+    labelled = spark.createDataFrame(rows, "sig long, node long, component long")
+    members = spark.createDataFrame(members, "node long, members binary")
+    links = jaccard.across(labelled, members, lambda held: jaccard._Held(held, 90), folder).collect()
+    wanted = {(component[i], component[180 + i]) for i in range(20)}
+    assert {tuple(sorted((component[r.a], component[r.b]))) for r in links} == wanted
+    assert spark.read.parquet(f"{folder}/stream").count() <= spark.read.parquet(f"{folder}/apart").count()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(2, 150), st.integers(0, 30), st.integers(0, 10**6), st.sampled_from([1, 10**9, 10**12, 10**15]))
 def test_linked_sets_share_a_signature(size, changes, seed, sets):
